@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.hashing import with_row_hash
+from .functions.literal import literal_frame
 from .functions.timeutil import ts_lit
 from .operators.transform import add_system_columns
 from .plans.control import current_status
@@ -158,8 +159,8 @@ def narrow_target(spark, d):
 
 
 def catalog(spark, d):
-    tmpl = spark.createDataFrame(
-        CATALOG_TEMPLATE, "table_idx int, table_name string, ordinal_position int, "
+    tmpl = literal_frame(
+        spark, CATALOG_TEMPLATE, "table_idx int, table_name string, ordinal_position int, "
                           "column_name string, column_type string, key_ordinal int")
     c = table(spark, d, "customer")
     tenants = c.select(

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .literal import literal_frame
+
 # --- Fixed values: must equal the reference's type map ---------------------
 # source base type -> target type; anything not listed becomes STRING.
 MYSQL_TO_TARGET = {
@@ -77,7 +79,7 @@ def target_type_py(type_text: str) -> str:
 def type_map_frame(spark: SparkSession) -> DataFrame:
     """The fixed map as a 24-row DataFrame (size bounded: safe to broadcast)."""
     rows = sorted(MYSQL_TO_TARGET.items())
-    return spark.createDataFrame(rows, "source_base_type string, _mapped_target string")
+    return literal_frame(spark, rows, "source_base_type string, _mapped_target string")
 
 
 def map_types(catalog: DataFrame, type_col: str = "column_type",

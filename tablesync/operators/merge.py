@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import row_hash
 
 TENANT = "tenant_id"
 
@@ -35,19 +34,22 @@ def _anti_on(left: DataFrame, right_keys: DataFrame, keys: Sequence[str]) -> Dat
 # ---------------------------------------------------------------- W-05
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
                    tiebreak: Column | None = None) -> DataFrame:
-    """W-05: one row per key: newest ``order_col``, ties broken by the
-    largest row hash (rows equal in every column are interchangeable).
-
-    Written as ``max_by`` aggregation rather than ``row_number()`` so the
-    map side reduces each key before the shuffle: a hot key costs one row
-    per input partition, not one task holding all its rows."""
+    """W-05: one row per key: the newest ``order_col``; ties are broken by
+    the row itself (columns compared in name order, NULL lowest), so equal
+    rows are interchangeable and the choice is deterministic.
+
+    Written as ``max(struct(order, row))`` aggregation rather than
+    ``row_number()`` so the map side reduces each key before the shuffle: a
+    hot key costs one row per input partition, not one task holding all its
+    rows.  No hashing or string formatting per row."""
     cols = df.columns
-    tb = tiebreak if tiebreak is not None else row_hash(df, exclude=())
-    packed = F.struct(*[F.col(f"`{c}`") for c in cols])
-    order = F.struct(F.col(f"`{order_col}`").alias("o"), tb.alias("t"))
+    fields = [F.col(f"`{order_col}`").alias("_o")]
+    if tiebreak is not None:
+        fields.append(tiebreak.alias("_t"))
+    fields += [F.col(f"`{c}`").alias(c) for c in sorted(cols)]
     return (df.groupBy(*[F.col(f"`{k}`") for k in keys])
-            .agg(F.max_by(packed, order).alias("_r"))
-            .select("_r.*"))
+            .agg(F.max(F.struct(*fields)).alias("_r"))
+            .select(*[F.col(f"_r.`{c}`").alias(c) for c in cols]))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,7 +91,7 @@ def merge_on_timestamp(target: DataFrame, source: DataFrame, ts_col: str,
                        tenant_col: str = TENANT) -> DataFrame:
     """J-04: upsert on (timestamp, tenant).  Distinct source rows sharing a
     timestamp would collide, so the source is first reduced to one row per
-    key (largest row hash wins)."""
+    key (W-05 tie-break)."""
     return merge_on_key(target, source, [ts_col], tenant_col=tenant_col, latest_by=ts_col)
 
 

@@ -41,6 +41,11 @@ def hash_sql(cols: dict[str, str], prefix: str = "") -> str:
     return "md5(concat_ws(chr(31), " + ", ".join(parts) + "))"
 
 
+def row_order(cols) -> str:
+    """Tie-break of W-05: every column, name order, descending, NULL lowest."""
+    return ", ".join(f"{c} DESC NULLS LAST" for c in sorted(cols))
+
+
 def ts(v: str) -> str:
     return f"TIMESTAMP '{v}'"
 
@@ -101,8 +106,11 @@ FIX["history"] = (
     "CASE WHEN o_orderstatus = 'F' THEN 'FULL' ELSE 'INCREMENTAL' END AS sync_mode, "
     f"CASE WHEN {_failed} THEN 0 ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS records_synced, "
     f"CASE WHEN {_failed} THEN 'timeout' END AS error_message, {_at} AS updated_at FROM orders")
+HIST_COLS = ["tenant_id", "table_name", "last_sync_time", "sync_status", "sync_mode", "records_synced",
+             "error_message", "updated_at"]
 FIX["current"] = ("SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY tenant_id, table_name "
-                  "ORDER BY TRY_CAST(updated_at AS TIMESTAMP) DESC) = 1")
+                  "ORDER BY TRY_CAST(updated_at AS TIMESTAMP) DESC NULLS LAST, " + row_order(HIST_COLS) +
+                  ") = 1")
 FIX["run_stats"] = ("SELECT tenant_id AS database, table_name, sync_status AS status, sync_mode, "
                     "records_synced, TRY_CAST(updated_at AS TIMESTAMP) AS started_at, "
                     "CAST(records_synced % 120 AS DOUBLE) AS duration_sec FROM history")
@@ -309,7 +317,7 @@ O["merge_on_hash"] = with_("hashed_target", extra=[
 O["merge_on_timestamp"] = with_("events_target", extra=[
     ("src", "SELECT * REPLACE (value + 1 AS value) FROM fe WHERE ts > TIMESTAMP '2024-01-19 00:00:00'"),
     ("red", "SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY event_time, tenant_id "
-            f"ORDER BY event_time DESC, {hash_sql(FE_COLS)} DESC) = 1")]) + \
+            f"ORDER BY event_time DESC NULLS LAST, {row_order(FE_COLS)}) = 1")]) + \
     "SELECT * FROM red UNION ALL " + anti("events_target", "red", ["event_time", "tenant_id"])
 _shared = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "tenant_id"]
 O["merge_shared_columns"] = with_("narrow_target", "source_orders") + \
@@ -325,7 +333,7 @@ O["append_blind"] = with_("target_orders", "source_orders") + \
     "SELECT * FROM target_orders UNION ALL SELECT * FROM source_orders"
 O["latest_per_key"] = with_("fl") + \
     ("SELECT * FROM fl QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, tenant_id "
-     f"ORDER BY l_shipdate DESC, {hash_sql(FL_COLS)} DESC) = 1")
+     f"ORDER BY l_shipdate DESC NULLS LAST, {row_order(FL_COLS)}) = 1")
 O["union_tenants"] = "SELECT *, o_orderpriority AS tenant_id FROM orders"
 
 # aggregates
@@ -502,7 +510,7 @@ O["legacy_incremental"] = with_("events_history", extra=[
     ("src", f"SELECT *, {ts(QQ.LEGACY_NOW)} AS sync_timestamp, 'INCREMENTAL' AS sync_mode FROM "
             "(SELECT * FROM hist UNION ALL SELECT * FROM fresh)"),
     ("red", "SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY ts, tenant_id "
-            f"ORDER BY ts DESC, {hash_sql(_FE_S)} DESC) = 1")]) + \
+            f"ORDER BY ts DESC NULLS LAST, {row_order(_FE_S)}) = 1")]) + \
     "SELECT * FROM red UNION ALL " + anti("tgt", "red", ["ts", "tenant_id"])
 O["stream_upsert"] = with_("fe") + \
     ("SELECT * REPLACE (CASE WHEN ts > TIMESTAMP '2024-01-20 00:00:00' THEN value + 1 ELSE value END AS value), "
