@@ -180,14 +180,16 @@ def _priority_table():
     return expr
 
 
-def history(spark, d):
-    """Control records: one per order (a sync run of one tenant table)."""
-    o = table(spark, d, "orders")
+def history(spark, d, orders: DataFrame | None = None, tenant=None):
+    """Control records: one per order (a sync run of one tenant table).
+    Tenant: the customer (default) or a given column expression."""
+    o = orders if orders is not None else table(spark, d, "orders")
     at = F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey").cast("double"))
     iso = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
     failed = (F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 7 == 0)
+    tenant = tenant if tenant is not None else F.concat(F.lit("shop"), F.col("o_custkey").cast("string"))
     return o.select(
-        F.concat(F.lit("shop"), F.col("o_custkey").cast("string")).alias("tenant_id"),
+        tenant.alias("tenant_id"),
         _priority_table().alias("table_name"),
         F.when(F.col("o_orderkey") % 97 == 0, F.lit("not-a-time"))
         .when(F.col("o_orderkey") % 89 == 0, F.lit(None).cast("string"))
@@ -205,6 +207,20 @@ def current(spark, d):
     return current_status(history(spark, d))
 
 
+def history_by_nation(spark, d):
+    """Control records of all orders with the customer's nation as tenant:
+    state documents are files per tenant, so their count follows the tenant
+    count (25), while every order still feeds them."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    oc = o.join(c, "o_custkey")
+    return history(spark, d, oc, F.concat(F.lit("nation"), F.col("c_nationkey").cast("string")))
+
+
+def current_by_nation(spark, d):
+    return current_status(history_by_nation(spark, d))
+
+
 def run_stats(spark, d):
     h = history(spark, d)
     return h.select(

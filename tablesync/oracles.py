@@ -67,6 +67,8 @@ INT_NUM = "'[+-]?[0-9]+'"
 
 # ------------------------------------------------------------------ fixtures
 FIX: dict[str, str] = {}
+HIST_COLS = ["tenant_id", "table_name", "last_sync_time", "sync_status", "sync_mode", "records_synced",
+             "error_message", "updated_at"]
 FIX["fo"] = "SELECT *, o_orderpriority AS tenant_id FROM orders"
 FIX["fo_changed"] = ("SELECT * REPLACE (CASE WHEN o_orderdate > TIMESTAMP '1997-12-02 00:00:00' "
                      "THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM fo")
@@ -106,8 +108,13 @@ FIX["history"] = (
     "CASE WHEN o_orderstatus = 'F' THEN 'FULL' ELSE 'INCREMENTAL' END AS sync_mode, "
     f"CASE WHEN {_failed} THEN 0 ELSE CAST(trunc(o_totalprice) AS BIGINT) END AS records_synced, "
     f"CASE WHEN {_failed} THEN 'timeout' END AS error_message, {_at} AS updated_at FROM orders")
-HIST_COLS = ["tenant_id", "table_name", "last_sync_time", "sync_status", "sync_mode", "records_synced",
-             "error_message", "updated_at"]
+FIX["history_n"] = FIX["history"].replace(
+    "SELECT 'shop' || CAST(o_custkey AS VARCHAR) AS tenant_id",
+    "SELECT 'nation' || CAST(c_nationkey AS VARCHAR) AS tenant_id").replace(
+    "FROM orders", "FROM orders JOIN customer ON c_custkey = o_custkey")
+FIX["current_n"] = ("SELECT * FROM history_n QUALIFY row_number() OVER (PARTITION BY tenant_id, table_name "
+                    "ORDER BY TRY_CAST(updated_at AS TIMESTAMP) DESC NULLS LAST, " + row_order(HIST_COLS) +
+                    ") = 1")
 FIX["current"] = ("SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY tenant_id, table_name "
                   "ORDER BY TRY_CAST(updated_at AS TIMESTAMP) DESC NULLS LAST, " + row_order(HIST_COLS) +
                   ") = 1")
@@ -124,6 +131,7 @@ DEPS = {
     "events_target": ["fe"], "events_history": ["events_target"], "fo_null": ["fo"],
     "dirty_wide": ["dirty"], "hashed_target": ["fo"], "hashed_source": ["fo"],
     "narrow_target": ["target_orders"], "current": ["history"], "run_stats": ["history"],
+    "current_n": ["history_n"],
     "loaded_orders": ["target_orders", "source_orders"],
 }
 
@@ -242,12 +250,12 @@ O["keyset_scan"] = with_("fe") + \
      f"AND event_id > {QQ.KEYSET_ID}) ORDER BY ts, event_id")
 O["catalog_candidates"] = with_("catalog") + \
     f"SELECT * FROM catalog WHERE {base_type_sql('column_type')} IN ('timestamp', 'datetime', 'int', 'bigint')"
-O["status_scan"] = with_("current") + "SELECT * FROM current"
-O["legacy_status_scan"] = with_("current") + \
+O["status_scan"] = with_("current_n") + "SELECT * FROM current_n"
+O["legacy_status_scan"] = with_("current_n") + \
     ("SELECT tenant_id, table_name AS file_table, table_name, last_sync_time, sync_status, "
      "CASE WHEN table_name = 'logs' THEN NULL ELSE sync_mode END AS sync_mode, "
      "CASE WHEN table_name = 'users' THEN NULL ELSE records_synced END AS records_synced, "
-     "error_message, updated_at FROM current WHERE table_name <> 'order_status_log'")
+     "error_message, updated_at FROM current_n WHERE table_name <> 'order_status_log'")
 
 # sinks
 O["write_truncate"] = with_("target_orders") + "SELECT * FROM target_orders"
@@ -402,11 +410,11 @@ O["append_outcome"] = with_("hashed_target", "hashed_source") + \
      "LEFT JOIN (SELECT DISTINCT tenant_id, data_hash FROM hashed_target WHERE data_hash IS NOT NULL) h "
      "ON h.tenant_id = s.tenant_id AND h.data_hash = s.data_hash GROUP BY ROLLUP (s.tenant_id)")
 O["key_columns"] = with_("catalog") + KEYS_SQL
-O["migrate_status"] = with_("current", extra=[(
+O["migrate_status"] = with_("current_n", extra=[(
     "lg", "SELECT tenant_id, table_name AS table_key, table_name, last_sync_time, "
           "sync_status, CASE WHEN table_name = 'logs' THEN 'UNKNOWN' ELSE sync_mode END AS sync_mode, "
           "CASE WHEN table_name = 'users' THEN 0 ELSE records_synced END AS records_synced, "
-          "error_message, updated_at FROM current WHERE table_name <> 'order_status_log'")]) + \
+          "error_message, updated_at FROM current_n WHERE table_name <> 'order_status_log'")]) + \
     ("SELECT lg.*, count(*) OVER (PARTITION BY tenant_id) AS total_tables FROM lg")
 _cmp = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 O["reconcile"] = with_("fo", extra=[

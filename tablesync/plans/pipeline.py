@@ -90,9 +90,9 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
     full_changes = changes.where(F.col("sync_mode") == "FULL")
     if exists:
         target = spark.read.parquet(target_path)
-        incr_tenants = plan.where(F.col("sync_mode") == "INCREMENTAL").select(TENANT)
-        t = target.join(incr_changes.select(TENANT).distinct(), TENANT, "left_semi")
-        t = t.join(incr_tenants, TENANT, "left_semi")
+        # only INCREMENTAL tenants with changes are read (partition pruning)
+        # and rewritten; FULL tenants are replaced from the source alone
+        t = W.prune_to_tenants(target, W.touched_tenants(incr_changes))
         src = align_to_target(incr_changes, target.schema)
         if keys:
             merged = M.merge_on_key(t, src, keys)
@@ -241,9 +241,9 @@ def legacy_incremental(source: DataFrame, target_path: str, run_time: datetime |
     known = S.last_value_per_tenant(target, watermark).select(TENANT)
     fresh = S.bootstrap_recent(source, watermark, run_time, bootstrap_hours).join(
         known, TENANT, "left_anti")
-    src = add_system_columns(with_hist.unionByName(fresh), None, run_time, "INCREMENTAL")
-    touched = src.select(TENANT).distinct()
-    t = target.join(touched, TENANT, "left_semi")
+    src = W.stage(add_system_columns(with_hist.unionByName(fresh), None, run_time, "INCREMENTAL"),
+                  "legacy-src")
+    t = W.prune_to_tenants(target, W.touched_tenants(src))
     if shared_columns:
         merged = M.merge_shared_columns(t, src, [key or watermark], latest_by=watermark)
     else:

@@ -155,12 +155,12 @@ def _catalog_candidates(spark, d):
 def _status_scan(spark, d):
     """SC-14: per-tenant JSON documents written, then scanned back."""
     path = scratch_path(spark, "state")
-    ST.write_status_documents(ST.tenant_documents(X.current(spark, d), X.RUN_TIME), path)
+    ST.write_status_documents(ST.tenant_documents(X.current_by_nation(spark, d), X.RUN_TIME), path)
     return ST.status_scan(spark, path)
 
 
 def _legacy_rows(spark, d):
-    cur = X.current(spark, d)
+    cur = X.current_by_nation(spark, d)
     return cur.select(
         "tenant_id",
         F.when(F.col("table_name") == "order_status_log", F.lit(None)).otherwise(F.col("table_name"))

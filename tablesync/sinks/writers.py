@@ -45,20 +45,47 @@ def _ensure_dynamic(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
+ROWS_PER_FILE = 2_000_000
+
+
 def layout(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None = None,
-           files_per_partition: int = 4) -> DataFrame:
-    """Shuffle rows to writer tasks by partition value plus a salt, so each
-    output partition gets at most ``files_per_partition`` files and a hot
-    tenant is written by that many tasks in parallel."""
+           rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Shuffle rows to writer tasks by partition value plus a salt whose
+    range grows with the partition's row count: a small tenant is written
+    as one file by one task, a tenant holding a third of all rows by
+    ``rows / rows_per_file`` tasks in parallel.
+
+    The per-partition counts are one small aggregate (a row per output
+    partition, not per data row); AQE broadcasts it from its measured size."""
     if not partition_cols:
         return df
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
-    out = df.repartition(*[F.col(c) for c in partition_cols], salt)
+    cols = df.columns
+    pc = list(partition_cols)
+    counts = df.groupBy(*pc).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(*[F.col(c).alias(f"_p_{c}") for c in pc], "_n")
+    cond = [df[c].eqNullSafe(counts[f"_p_{c}"]) for c in pc]
+    j = df.join(counts, cond, "inner")
+    buckets = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_file))).cast("bigint")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), buckets)
+    out = j.repartition(*[F.col(c) for c in pc], salt).select(*[F.col(f"`{c}`") for c in cols])
     if sort_col:
-        out = out.sortWithinPartitions(*partition_cols, sort_col)
+        out = out.sortWithinPartitions(*pc, sort_col)
     return out
 
 
+def touched_tenants(df: DataFrame, col: str = TENANT) -> list:
+    """Distinct tenants present in ``df``: a list bounded by the number of
+    tenants (metadata), used for static partition pruning of the target."""
+    return [r[0] for r in df.select(col).distinct().collect()]
+
+
+def prune_to_tenants(target: DataFrame, tenants: list, col: str = TENANT) -> DataFrame:
+    """Partition filter on the target's tenant column (``PartitionFilters``)."""
+    if not tenants:
+        return target.limit(0)
+    return target.where(F.col(col).isin(tenants))
+
+
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of the table at ``path``; None when there is no table or it
     holds no data file yet (an empty partitioned table has none)."""
@@ -195,9 +222,8 @@ def merge_into_table(source: DataFrame, path: str, keys: Sequence[str],
         overwrite_partitions(first, path, (TENANT,), sort_col)
         return
     target = spark.read.parquet(path)
-    src = align_to_target(source, target.schema)
-    touched = src.select(TENANT).distinct()
-    t = target.join(touched, TENANT, "left_semi")
+    src = stage(align_to_target(source, target.schema), "merge-src")
+    t = prune_to_tenants(target, touched_tenants(src))
     merged = stage(merge_on_key(t, src, keys, latest_by=latest_by), "merge")
     overwrite_partitions(merged, path, (TENANT,), sort_col)
 

@@ -82,11 +82,20 @@ def tenant_documents(current: DataFrame, run_time_text: str | None = None) -> Da
                     "tables"))
 
 
-def write_status_documents(docs: DataFrame, path: str) -> None:
-    """One JSON document per tenant: one task per tenant partition writes a
-    single file, like the reference's ``{tenant}.json``."""
-    (docs.repartition("tenant_id")
-     .write.mode("overwrite").partitionBy("tenant_id").json(path))
+def write_status_documents(docs: DataFrame, path: str, one_file_per_tenant: bool = True,
+                           files: int | None = None) -> None:
+    """Tenant documents as JSON.
+
+    ``one_file_per_tenant``: the reference's layout (``{tenant}`` directory
+    holding one single-document file; read with ``multi_line=True``).  Cost
+    is per file, so with very many tenants prefer ``False``: JSON lines, many
+    tenants per file, ``files`` files (read with ``multi_line=False``)."""
+    if one_file_per_tenant:
+        (docs.repartition("tenant_id")
+         .write.mode("overwrite").partitionBy("tenant_id").json(path))
+    else:
+        out = docs.repartition(files, "tenant_id") if files else docs
+        out.write.mode("overwrite").json(path)
 
 
 def write_legacy_documents(rows: DataFrame, path: str) -> None:

@@ -126,3 +126,11 @@ def test_stream_resumes_from_checkpoint(spark, tmp_table):
     e.where("ts > TIMESTAMP_NTZ'2024-01-14 00:00:00'").write.parquet(inp, mode="append")
     stream_upsert(spark, inp, e.schema, out, ["event_id"], "sync_timestamp", ckpt)
     assert spark.read.parquet(out).count() == e.count()
+
+
+def test_status_documents_as_json_lines(spark, tmp_table):
+    path = tmp_table("state-lines")
+    cur = CT.current_status(X.history(spark, SF_SMALL))
+    ST.write_status_documents(ST.tenant_documents(cur), path, one_file_per_tenant=False, files=3)
+    back = ST.status_scan(spark, path, multi_line=False)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, cur.collect()))
