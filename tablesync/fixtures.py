@@ -128,7 +128,8 @@ def fl(spark, d):
 
 def fo_null(spark, d):
     return fo(spark, d).withColumn(
-        "o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, F.lit(None).cast("bigint"))
+        "o_orderkey", F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"),
+                             F.lit(None).cast("bigint"))
         .otherwise(F.col("o_orderkey")))
 
 
@@ -147,7 +148,8 @@ def dirty_wide(spark, d):
 
 
 def hashed_target(spark, d):
-    return with_row_hash(fo(spark, d).where(F.col("o_orderkey") % 2 == 0))
+    """Rows loaded at the last sync, with their hash."""
+    return with_row_hash(target_orders(spark, d))
 
 
 def hashed_source(spark, d):

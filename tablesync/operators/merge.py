@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 TENANT = "tenant_id"
@@ -38,18 +39,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     the row itself (columns compared in name order, NULL lowest), so equal
     rows are interchangeable and the choice is deterministic.
 
-    Written as ``max(struct(order, row))`` aggregation rather than
-    ``row_number()`` so the map side reduces each key before the shuffle: a
-    hot key costs one row per input partition, not one task holding all its
-    rows.  No hashing or string formatting per row."""
+    ``row_number() ... = 1`` is planned with a partial ``WindowGroupLimit``
+    before the shuffle: every map task keeps only its best row per key, so a
+    hot key ships one row per input partition, never all its rows to one
+    task.  No hashing or string formatting per row."""
     cols = df.columns
-    fields = [F.col(f"`{order_col}`").alias("_o")]
+    orderable = [f.name for f in df.schema.fields
+                 if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [F.col(f"`{order_col}`").desc_nulls_last()]
     if tiebreak is not None:
-        fields.append(tiebreak.alias("_t"))
-    fields += [F.col(f"`{c}`").alias(c) for c in sorted(cols)]
-    return (df.groupBy(*[F.col(f"`{k}`") for k in keys])
-            .agg(F.max(F.struct(*fields)).alias("_r"))
-            .select(*[F.col(f"_r.`{c}`").alias(c) for c in cols]))
+        order.append(tiebreak.desc_nulls_last())
+    order += [F.col(f"`{c}`").desc_nulls_last() for c in sorted(orderable)]
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
+    return (df.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") == 1).select(*[F.col(f"`{c}`") for c in cols]))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -81,13 +81,14 @@ FIX["fe"] = ("SELECT event_id, ts, epoch_us(ts) // 1000000 AS event_time, "
 FIX["events_target"] = f"SELECT * FROM fe WHERE ts <= {ts(X.EVENTS_TARGET_END)}"
 FIX["events_history"] = "SELECT * FROM events_target WHERE tenant_id <> 'shop3'"
 FIX["fl"] = "SELECT *, l_returnflag AS tenant_id FROM lineitem"
-FIX["fo_null"] = ("SELECT * REPLACE (CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey END "
+FIX["fo_null"] = ("SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' "
+                  "THEN NULL ELSE o_orderkey END "
                   "AS o_orderkey) FROM fo")
 FIX["dirty"] = ("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'abc' "
                 "WHEN 2 THEN '12.5' WHEN 3 THEN CAST(o_orderkey AS VARCHAR) END AS raw FROM orders")
 FIX["dirty_wide"] = ("SELECT o_orderkey, raw AS v_int, raw AS v_double, raw AS v_decimal, "
                      "raw AS v_text FROM dirty")
-FIX["hashed_target"] = f"SELECT *, {hash_sql(FO_COLS)} AS data_hash FROM fo WHERE o_orderkey % 2 = 0"
+FIX["hashed_target"] = f"SELECT *, {hash_sql(FO_COLS)} AS data_hash FROM target_orders"
 FIX["hashed_source"] = f"SELECT *, {hash_sql(FO_COLS)} AS data_hash FROM fo"
 FIX["narrow_target"] = "SELECT * EXCLUDE (o_orderstatus), 'keep' AS note FROM target_orders"
 _tmpl = ", ".join("(" + ", ".join(_sq(v) for v in row) + ")" for row in X.CATALOG_TEMPLATE)
@@ -129,7 +130,7 @@ FIX["loaded_orders"] = (
 DEPS = {
     "fo_changed": ["fo"], "target_orders": ["fo"], "source_orders": ["fo_changed"],
     "events_target": ["fe"], "events_history": ["events_target"], "fo_null": ["fo"],
-    "dirty_wide": ["dirty"], "hashed_target": ["fo"], "hashed_source": ["fo"],
+    "dirty_wide": ["dirty"], "hashed_target": ["target_orders"], "hashed_source": ["fo"],
     "narrow_target": ["target_orders"], "current": ["history"], "run_stats": ["history"],
     "current_n": ["history_n"],
     "loaded_orders": ["target_orders", "source_orders"],
@@ -320,7 +321,8 @@ O["merge_on_key_only"] = with_("target_orders", "source_orders", extra=[
     ("src", "SELECT * REPLACE ('single' AS tenant_id) FROM source_orders")]) + \
     "SELECT * FROM src UNION ALL " + anti("target_orders", "src", ["o_orderkey"])
 O["merge_on_hash"] = with_("hashed_target", extra=[
-    ("src", f"SELECT *, {hash_sql(FO_COLS)} AS data_hash FROM fo WHERE o_orderkey % 3 = 0")]) + \
+    ("src", f"SELECT *, {hash_sql(FO_COLS)} AS data_hash FROM fo WHERE o_orderdate > "
+            f"TIMESTAMP '1997-12-02 00:00:00' AND o_orderdate <= {ts(X.ORDERS_NOW)}")]) + \
     "SELECT * FROM src UNION ALL " + anti("hashed_target", "src", ["data_hash", "tenant_id"])
 O["merge_on_timestamp"] = with_("events_target", extra=[
     ("src", "SELECT * REPLACE (value + 1 AS value) FROM fe WHERE ts > TIMESTAMP '2024-01-19 00:00:00'"),
@@ -418,10 +420,11 @@ O["migrate_status"] = with_("current_n", extra=[(
     ("SELECT lg.*, count(*) OVER (PARTITION BY tenant_id) AS total_tables FROM lg")
 _cmp = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 O["reconcile"] = with_("fo", extra=[
-    ("s", "SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END "
+    ("s", "SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END "
           "AS o_totalprice) FROM fo"),
-    ("t", "SELECT * FROM fo WHERE o_orderkey % 4 <> 1 UNION ALL "
-          "SELECT * REPLACE (o_orderkey + 100000000 AS o_orderkey) FROM fo WHERE o_orderkey % 4 = 1")]) + \
+    ("t", "SELECT * FROM fo WHERE o_orderdate <= TIMESTAMP '2000-01-01 00:00:00' UNION ALL "
+          "SELECT * REPLACE (o_orderkey + 100000000 AS o_orderkey) FROM fo "
+          "WHERE o_orderdate > TIMESTAMP '2000-06-01 00:00:00'")]) + \
     ("SELECT coalesce(s.tenant_id, t.tenant_id) AS tenant_id, CASE WHEN t.o_orderkey IS NULL THEN 'missing' "
      "WHEN s.o_orderkey IS NULL THEN 'extra' WHEN " +
      " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in _cmp) +
@@ -498,8 +501,10 @@ O["sync_all_report"] = with_("fo", "fe") + \
      "'SUCCESS' FROM fe GROUP BY 1")
 O["multitenant_load"] = "SELECT o_orderpriority AS tenant_id, count(*) AS row_count FROM orders GROUP BY 1"
 O["safe_append"] = with_("fo") + \
-    ("SELECT tenant_id, count(*) AS source_rows, count(*) FILTER (WHERE o_orderkey % 2 <> 0) AS new_rows, "
-     "count(*) FILTER (WHERE o_orderkey % 2 = 0) AS duplicate_rows FROM fo GROUP BY ROLLUP (tenant_id)")
+    ("SELECT tenant_id, count(*) AS source_rows, "
+     f"count(*) FILTER (WHERE o_orderdate > {ts(X.ORDERS_LAST)}) AS new_rows, "
+     f"count(*) FILTER (WHERE o_orderdate <= {ts(X.ORDERS_LAST)}) AS duplicate_rows "
+     "FROM fo GROUP BY ROLLUP (tenant_id)")
 _FO_M = dict(FO_COLS, sync_mode=STR)
 O["dedup_merge"] = with_("target_orders", "fo_changed", extra=[
     ("a", f"SELECT *, {ts(X.ORDERS_LAST)} AS sync_timestamp, 'FULL' AS sync_mode FROM target_orders"),

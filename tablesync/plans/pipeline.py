@@ -100,8 +100,9 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
             merged = t.unionByName(M.append_new_by_hash(t, src))
         result = align_to_target(full_changes, target.schema).unionByName(merged)
     else:
-        result = changes
-    staged = W.stage(result, "result")
+        result = None
+    # the first load writes the staged changes as they are
+    staged = changes if result is None else W.stage(result, "result")
     W.overwrite_partitions(staged, target_path, (TENANT,), watermark)
 
     # FULL tenants without source rows must not keep stale rows (Q8)

@@ -336,7 +336,10 @@ def _merge_on_key_only(spark, d):
 
 
 def _hash_source_third(spark, d):
-    return with_row_hash(X.fo(spark, d).where(F.col("o_orderkey") % 3 == 0))
+    """Unchanged rows of the last 30 days before the last sync onward."""
+    f = X.fo(spark, d)
+    return with_row_hash(S.incremental_window(f, "o_orderdate", X.ORDERS_LAST, X.ORDERS_NOW,
+                                              X.ORDERS_LOOKBACK_MIN))
 
 
 @query("merge_on_hash")
@@ -498,10 +501,13 @@ def _migrate_status(spark, d):
 
 def _reconcile_inputs(spark, d):
     f = X.fo(spark, d)
-    src = f.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 10 == 0, F.col("o_totalprice") + 1)
+    # source: open orders changed price; target: loaded up to 2000-01-01, and
+    # rows after 2000-06-01 stored under another key (extra + missing)
+    src = f.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1)
                        .otherwise(F.col("o_totalprice")))
-    keep = f.where(F.col("o_orderkey") % 4 != 1)
-    extra = f.where(F.col("o_orderkey") % 4 == 1).withColumn("o_orderkey", F.col("o_orderkey") + 100000000)
+    keep = f.where(F.col("o_orderdate") <= ts_lit("2000-01-01 00:00:00"))
+    extra = (f.where(F.col("o_orderdate") > ts_lit("2000-06-01 00:00:00"))
+             .withColumn("o_orderkey", F.col("o_orderkey") + 100000000))
     return src, keep.unionByName(extra)
 
 
@@ -654,8 +660,8 @@ def _multitenant_load(spark, d):
 def _safe_append(spark, d):
     """P-04"""
     path = scratch_path(spark, "safe")
-    half = X.fo(spark, d).where(F.col("o_orderkey") % 2 == 0)
-    first = with_row_hash(P.add_system_columns(half, None, X.RUN_TIME, "FULL"))
+    loaded = X.target_orders(spark, d)
+    first = with_row_hash(P.add_system_columns(loaded, None, X.RUN_TIME, "FULL"))
     W.write_append(first, path, ("tenant_id",))
     return PL.safe_append(X.fo(spark, d), path, X.RUN_TIME)
 

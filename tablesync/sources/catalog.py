@@ -141,10 +141,23 @@ def key_columns(catalog: DataFrame) -> DataFrame:
             .select(*TABLE_KEYS, F.transform("_k", lambda s: s["column_name"]).alias("key_columns")))
 
 
-def table_facts(catalog: DataFrame) -> DataFrame:
-    """Per table: watermark column/type, key columns and column count: the
-    facts the sync plan needs (left join keeps tables without keys)."""
-    wm = watermark_column(catalog)
-    keys = key_columns(catalog)
-    ncols = catalog.groupBy(*TABLE_KEYS).agg(F.count(F.lit(1)).alias("column_count"))
-    return wm.join(ncols, list(TABLE_KEYS)).join(keys, list(TABLE_KEYS), "left")
+def table_facts(catalog: DataFrame, priority: Sequence[str] = TIMESTAMP_FIELDS) -> DataFrame:
+    """Per table: watermark column/type (W-01), column count and key columns
+    (A-14, NULL when the table has no key), in one aggregation pass."""
+    cand = is_watermark_candidate(F.col("column_name"), F.col("column_type"))
+    order = _rank_in(F.lower(F.col("column_name")), [p.lower() for p in priority], len(priority))
+    best = F.min_by(
+        F.struct(F.col("column_name"), F.col("column_type")),
+        F.struct((~cand).alias("miss"), order.alias("o"), F.col("ordinal_position").alias("p")))
+    key_entry = F.when(F.col("key_ordinal").isNotNull(),
+                       F.struct(F.col("key_ordinal"), F.col("column_name")))
+    g = catalog.groupBy(*TABLE_KEYS).agg(
+        best.alias("_b"), (F.max(cand.cast("int")) == 1).alias("_any"),
+        F.count(F.lit(1)).alias("column_count"),
+        F.sort_array(F.collect_list(key_entry)).alias("_k"))
+    keys = F.transform("_k", lambda e: e["column_name"])
+    return g.select(*TABLE_KEYS,
+                    F.when(F.col("_any"), F.col("_b.column_name")).alias("watermark_column"),
+                    F.when(F.col("_any"), F.col("_b.column_type")).alias("watermark_type"),
+                    "column_count",
+                    F.when(F.size("_k") > 0, keys).alias("key_columns"))
