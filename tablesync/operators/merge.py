@@ -27,9 +27,21 @@ def _keys(keys: Sequence[str], tenant_col: str | None) -> list[str]:
     return ks
 
 
+def any_null(keys: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for k in keys:
+        out = out | F.col(f"`{k}`").isNull()
+    return out
+
+
 def _anti_on(left: DataFrame, right_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows whose key has no match.  Rows with a NULL key can never
+    match, so they bypass the join: all of them would otherwise hash to one
+    shuffle partition (one hot task when a third of the rows lack a key)."""
     # USING-style join on names: safe when both sides derive from one table
-    return left.join(right_keys, list(keys), "left_anti")
+    nulls = any_null(keys)
+    matched = left.where(~nulls).join(right_keys.where(~nulls), list(keys), "left_anti")
+    return matched.unionByName(left.where(nulls))
 
 
 # ---------------------------------------------------------------- W-05
@@ -107,22 +119,30 @@ def merge_shared_columns(target: DataFrame, source: DataFrame, keys: Sequence[st
     target-only columns keep their value (NULL for inserted rows), source-only
     columns are dropped.  NULL keys never match and stay separate rows."""
     ks = _keys(keys, tenant_col)
-    src = latest_per_key(source, ks, latest_by) if latest_by else source
+    nulls = any_null(ks)
+    # one source row per key: a full outer join must not pair duplicates
+    src = latest_per_key(source.where(~nulls), ks, latest_by or ks[0])
     shared = [c for c in target.columns if c in set(src.columns)]
+    types = {f.name: f.dataType for f in target.schema.fields}
     s = src.select(*shared).withColumn("_src", F.lit(True)).alias("s")
-    t = target.alias("t")
+    t = target.where(~nulls).alias("t")
     cond = [F.col(f"s.`{k}`") == F.col(f"t.`{k}`") for k in ks]
     j = t.join(s, cond, "full_outer")
     present = F.col("s._src").isNotNull()
     out = []
-    types = {f.name: f.dataType for f in target.schema.fields}
     for c in target.columns:
         if c in shared:
             col = F.when(present, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`"))
         else:
             col = F.col(f"t.`{c}`")
         out.append(col.cast(types[c]).alias(c))
-    return j.select(*out)
+    # NULL keys never match: such target rows stay, such source rows are
+    # inserted; neither goes through the join (no single hot partition)
+    t_null = target.where(nulls)
+    s_null = source.where(nulls).select(*[
+        (F.col(f"`{c}`") if c in shared else F.lit(None)).cast(types[c]).alias(c)
+        for c in target.columns])
+    return j.select(*out).unionByName(t_null).unionByName(s_null)
 
 
 # ---------------------------------------------------------------- J-06 / J-07 / A-04

@@ -139,16 +139,34 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str],
     the source), ``extra`` (only in the target), ``changed`` (different
     content hash), ``same``; counts per tenant and class.
 
-    One full outer join on (key, tenant): both sides shuffle on the key, so
-    no tenant becomes a single task."""
+    Each side is first reduced to one row per (key, tenant) (count and hash
+    range, partial aggregation), then one 1:1 full outer join: a repeated key
+    never emits pairs, no tenant becomes a single task, and rows without a
+    key bypass the join (they count as missing or extra)."""
     ks = list(keys) + ([tenant_col] if tenant_col not in keys else [])
     cols = list(compare) if compare is not None else [
         c for c in source.columns if c in set(target.columns) and c not in SYSTEM_COLUMNS]
-    s = source.select(*ks, row_hash(source, columns=cols).alias("_sh"))
-    t = target.select(*ks, row_hash(target, columns=cols).alias("_th"))
-    j = s.join(t, ks, "full_outer")
-    status = (F.when(F.col("_th").isNull(), F.lit("missing"))
-              .when(F.col("_sh").isNull(), F.lit("extra"))
-              .when(F.col("_sh") != F.col("_th"), F.lit("changed"))
+    nulls = F.lit(False)
+    for k in ks:
+        nulls = nulls | F.col(k).isNull()
+
+    def per_key(df, p):
+        # one row per key and side (count + hash range), so a key repeated
+        # many times is compared once instead of emitting all pairs
+        h = df.where(~nulls).select(*ks, row_hash(df, columns=cols).alias("_h"))
+        return h.groupBy(*ks).agg(F.count(F.lit(1)).alias(f"{p}n"), F.min("_h").alias(f"{p}lo"),
+                                  F.max("_h").alias(f"{p}hi"))
+    j = per_key(source, "s").join(per_key(target, "t"), ks, "full_outer")
+    status = (F.when(F.col("tn").isNull(), F.lit("missing"))
+              .when(F.col("sn").isNull(), F.lit("extra"))
+              .when((F.col("sn") != F.col("tn")) | (F.col("slo") != F.col("tlo"))
+                    | (F.col("shi") != F.col("thi")), F.lit("changed"))
               .otherwise(F.lit("same")))
-    return j.groupBy(tenant_col, status.alias("status")).agg(F.count(F.lit(1)).alias("row_count"))
+    weight = F.greatest(F.coalesce("sn", F.lit(0)), F.coalesce("tn", F.lit(0)))
+    keyed = j.groupBy(tenant_col, status.alias("status")).agg(F.sum(weight).alias("row_count"))
+    # rows without a key cannot be matched: missing (source) or extra (target)
+    unkeyed = (source.where(nulls).select(tenant_col, F.lit("missing").alias("status"))
+               .unionByName(target.where(nulls).select(tenant_col, F.lit("extra").alias("status")))
+               .groupBy(tenant_col, "status").agg(F.count(F.lit(1)).alias("row_count")))
+    return (keyed.unionByName(unkeyed).groupBy(tenant_col, "status")
+            .agg(F.sum("row_count").cast("bigint").alias("row_count")))

@@ -286,3 +286,22 @@ def test_watermark_rules_per_template_table(spark):
     assert w2["daily_stats"] is None and w2["order_status_log"] == "update_time"
     keys = {r.table_name: r.key_columns for r in CAT.key_columns(cat).collect()}
     assert keys["kv"] == ["k", "k2"] and "logs" not in keys
+
+
+def test_reconcile_null_and_repeated_keys(spark):
+    from tablesync.operators.metrics import reconcile
+    src = spark.createDataFrame([(1, "A", "x"), (2, "A", "y"), (None, "A", "z"), (3, "A", "c"), (3, "A", "c")],
+                                "k long, tenant_id string, v string")
+    tgt = spark.createDataFrame([(1, "A", "x"), (2, "A", "Y"), (4, "A", "w"), (None, "A", "n")],
+                                "k long, tenant_id string, v string")
+    got = {r.status: r.row_count for r in reconcile(src, tgt, ["k"]).collect()}
+    assert got == {"same": 1, "changed": 1, "missing": 3, "extra": 2}
+
+
+def test_merge_shared_columns_null_keys_and_duplicates(spark):
+    tgt = spark.createDataFrame([(1, "A", "t1", "keep"), (None, "A", "tn", "keep")],
+                                "k long, tenant_id string, v string, note string")
+    src = spark.createDataFrame([(1, "A", "s1"), (1, "A", "s1"), (None, "A", "sn")],
+                                "k long, tenant_id string, v string")
+    out = sorted(map(tuple, M.merge_shared_columns(tgt, src, ["k"]).collect()), key=str)
+    assert out == sorted([(1, "A", "s1", "keep"), (None, "A", "tn", "keep"), (None, "A", "sn", None)], key=str)
