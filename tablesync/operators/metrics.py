@@ -122,11 +122,23 @@ def append_outcome(target: DataFrame, source: DataFrame, hash_col: str = "data_h
                    tenant_col: str = TENANT) -> DataFrame:
     """A-13: per tenant and in total (tenant NULL): source rows, new rows
     (hash absent from the target) and duplicates (hash present)."""
+    return outcome_of_flags(flag_present(target, source, hash_col, tenant_col), tenant_col)
+
+
+def flag_present(target: DataFrame, source: DataFrame, hash_col: str = "data_hash",
+                 tenant_col: str = TENANT) -> DataFrame:
+    """Source rows with ``_dup`` = True when their (tenant, hash) is already
+    in the target.  The target side is made distinct first, so the left join
+    never multiplies source rows."""
     have = (target.where(F.col(hash_col).isNotNull()).select(tenant_col, hash_col)
             .distinct().withColumn("_dup", F.lit(True)))
-    j = source.join(have, [tenant_col, hash_col], "left")
-    dup = F.col("_dup").isNotNull()
-    return (j.rollup(tenant_col)
+    return (source.join(have, [tenant_col, hash_col], "left")
+            .withColumn("_dup", F.coalesce(F.col("_dup"), F.lit(False))))
+
+
+def outcome_of_flags(flagged: DataFrame, tenant_col: str = TENANT) -> DataFrame:
+    dup = F.col("_dup")
+    return (flagged.rollup(tenant_col)
             .agg(F.count(F.lit(1)).alias("source_rows"),
                  F.count_if(~dup).alias("new_rows"),
                  F.count_if(dup).alias("duplicate_rows")))

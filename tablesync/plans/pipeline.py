@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import with_row_hash
 from ..functions.timeutil import bound_for
 from ..operators import merge as M
-from ..operators.metrics import append_outcome, rows_per_tenant
+from ..operators.metrics import flag_present, outcome_of_flags, rows_per_tenant
 from ..operators.transform import add_system_columns, align_to_target
 from ..sinks import writers as W
 from ..sources import scans as S
@@ -189,17 +189,17 @@ def safe_append(source: DataFrame, target_path: str, run_time: datetime | str) -
     does not have yet, return the per-tenant outcome (A-13)."""
     spark = source.sparkSession
     src = with_row_hash(add_system_columns(source, None, run_time, "FULL"))
-    if path_exists(spark, target_path):
-        target = spark.read.parquet(target_path)
+    if W.existing_schema(spark, target_path) is not None:
         W.rebuild_with_hash(spark, target_path)
         target = spark.read.parquet(target_path)
         src = align_to_target(src, target.schema)
-        outcome = W.stage(append_outcome(target, src), "outcome")
-        new = W.stage(M.append_new_by_hash(target, src), "new")
     else:
-        outcome = W.stage(append_outcome(src.limit(0), src), "outcome")
-        new = src
-    W.write_append(new, target_path, (TENANT,))
+        target = src.limit(0)
+    # one hash pass and one join: the flags give both the new rows (J-06)
+    # and the outcome counts (A-13)
+    flagged = W.stage(flag_present(target, src), "flagged")
+    outcome = W.stage(outcome_of_flags(flagged), "outcome")
+    W.write_append(flagged.where(~F.col("_dup")).drop("_dup"), target_path, (TENANT,))
     return outcome
 
 
