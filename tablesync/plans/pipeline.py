@@ -111,10 +111,12 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
     W.drop_tenant_partitions(spark, target_path, [t for t in full_tenants if t not in written])
 
     counts = changes.groupBy(TENANT).agg(F.count(F.lit(1)).alias("records_synced"))
-    return (plan.join(counts, TENANT, "left")
-            .select(TENANT, F.lit(table_name).alias("table_name"), "sync_mode",
-                    F.coalesce("records_synced", F.lit(0)).cast("bigint").alias("records_synced"),
-                    F.lit("SUCCESS").alias("status")))
+    stats = W.stage(plan.join(counts, TENANT, "left")
+                    .select(TENANT, F.lit(table_name).alias("table_name"), "sync_mode",
+                            F.coalesce("records_synced", F.lit(0)).cast("bigint").alias("records_synced"),
+                            F.lit("SUCCESS").alias("status")), "stats")
+    W.release(*([changes] if staged is changes else [changes, staged]))
+    return stats
 
 
 def full_plan(tenants: DataFrame) -> DataFrame:
@@ -146,8 +148,7 @@ def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
         try:
             st = sync_table(spec["source"], spec["target_path"], name, spec["plan"], run_time,
                             spec.get("watermark"), spec.get("keys", ()))
-            stats.append(W.stage(st.withColumn("error_message", F.lit(None).cast("string")),
-                                 "stats"))
+            stats.append(st.withColumn("error_message", F.lit(None).cast("string")))
         except Exception as exc:  # noqa: BLE001 - report and go on with the others
             failed = spec["plan"].select(
                 TENANT, F.lit(name).alias("table_name"), "sync_mode",
@@ -200,6 +201,7 @@ def safe_append(source: DataFrame, target_path: str, run_time: datetime | str) -
     flagged = W.stage(flag_present(target, src), "flagged")
     outcome = W.stage(outcome_of_flags(flagged), "outcome")
     W.write_append(flagged.where(~F.col("_dup")).drop("_dup"), target_path, (TENANT,))
+    W.release(flagged)
     return outcome
 
 
@@ -226,6 +228,7 @@ def dedup_merge(source: DataFrame, target_path: str, run_time: datetime | str,
     staged = W.stage(merged, "dedup")
     # keys alone may move a row to another tenant: rewrite every tenant
     W.write_truncate(staged, target_path, (TENANT,))
+    W.release(staged)
 
 
 # ---------------------------------------------------------------- P-06
@@ -251,6 +254,7 @@ def legacy_incremental(source: DataFrame, target_path: str, run_time: datetime |
         merged = M.merge_on_timestamp(t, align_to_target(src, target.schema), watermark)
     staged = W.stage(merged, "legacy")
     W.overwrite_partitions(staged, target_path, (TENANT,), watermark)
+    W.release(src, staged)
 
 
 __all__ = [

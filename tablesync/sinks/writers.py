@@ -182,13 +182,26 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """SK-06: materialise ``df`` under the shared checkpoint folder and return
-    the staged copy (cuts lineage; the staged files outlive executor loss)."""
+    the staged copy (cuts lineage; the staged files outlive executor loss).
+    Drop it with :func:`release` once the final write has committed."""
     spark = df.sparkSession
     p = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(p)
     return spark.read.parquet(p)
 
 
+def release(*staged: DataFrame) -> None:
+    """Delete staged copies (after the write that consumed them committed),
+    so merges do not leave a copy of every increment in the shared folder."""
+    for df in staged:
+        spark = df.sparkSession
+        for f in df.inputFiles()[:1]:
+            root = f.rsplit("/", 1)[0]
+            if "/tablesync-scratch/" in root:
+                fs, p = _fs(spark, root)
+                fs.delete(p, True)
+
+
 def replace_tenant(source: DataFrame, path: str, tenants: Sequence[str] | None = None,
                    sort_col: str | None = None) -> None:
     """SK-05: replace the rows of the source's tenants (or of ``tenants``),
@@ -207,6 +220,7 @@ def replace_tenant(source: DataFrame, path: str, tenants: Sequence[str] | None =
         missing = [t for t in tenants if t not in present]
         if missing:
             drop_tenant_partitions(spark, path, missing)
+    release(staged)
 
 
 # ---------------------------------------------------------------- J-01 on a table
@@ -226,6 +240,7 @@ def merge_into_table(source: DataFrame, path: str, keys: Sequence[str],
     t = prune_to_tenants(target, touched_tenants(src))
     merged = stage(merge_on_key(t, src, keys, latest_by=latest_by), "merge")
     overwrite_partitions(merged, path, (TENANT,), sort_col)
+    release(src, merged)
 
 
 # ---------------------------------------------------------------- SK-07
