@@ -305,3 +305,22 @@ def test_merge_shared_columns_null_keys_and_duplicates(spark):
                                 "k long, tenant_id string, v string")
     out = sorted(map(tuple, M.merge_shared_columns(tgt, src, ["k"]).collect()), key=str)
     assert out == sorted([(1, "A", "s1", "keep"), (None, "A", "tn", "keep"), (None, "A", "sn", None)], key=str)
+
+
+def test_backfill_ranges_cover_the_range(spark):
+    r = S.backfill_ranges(spark, "1997-01-15", "1997-04-01").collect()
+    assert [(str(x.chunk_start), str(x.chunk_end)) for x in r] == [
+        ("1997-01-01", "1997-02-01"), ("1997-02-01", "1997-03-01"), ("1997-03-01", "1997-04-01")]
+
+
+def test_scan_tenants_one_scan(spark, tmp_table):
+    from tablesync.plans.pipeline import scan_tenants, union_tenants
+    path = tmp_table("tenants")
+    f = X.fo(spark, SF_SMALL)
+    f.write.partitionBy("tenant_id").parquet(path)
+    one = scan_tenants(spark, path)
+    assert one.count() == f.count()
+    assert one.where("tenant_id = '1-URGENT'").count() == f.where("tenant_id = '1-URGENT'").count()
+    o = X.table(spark, SF_SMALL, "orders")
+    u = union_tenants({"a": o.limit(3), "b": o.limit(2).drop("o_comment" if "o_comment" in o.columns else "o_custkey")})
+    assert u.count() == 5 and u.where("tenant_id = 'b' AND o_custkey IS NULL").count() == 2
