@@ -147,9 +147,9 @@ def recent_tables(current: DataFrame, n: int = 3) -> DataFrame:
     tables ships only ``n`` rows per input partition."""
     w = Window.partitionBy("tenant_id").orderBy(_t("updated_at").desc_nulls_last(),
                                                 F.col("table_name"))
-    return (current.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= n)
-            .select("tenant_id", "rank", "table_name",
+    return (current.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= n)
+            .select("tenant_id", F.col("_rn").cast("bigint").alias("rank"), "table_name",
                     F.coalesce(F.substring("last_sync_time", 1, 19), F.lit("unknown")).alias("sync_time"),
                     F.coalesce(F.col("records_synced"), F.lit(0)).alias("records_synced"),
                     F.coalesce(F.col("sync_mode"), F.lit("unknown")).alias("sync_mode")))
