@@ -317,6 +317,10 @@ def anti(t: str, s: str, keys: list[str]) -> str:
 
 O["merge_on_key"] = with_("target_orders", "source_orders") + \
     "SELECT * FROM source_orders UNION ALL " + anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"])
+O["merge_into_table"] = with_("target_orders", "source_orders") + \
+    ("SELECT *, CAST(CAST(floor(o_orderkey / 10000) AS BIGINT) AS VARCHAR) AS key_bucket FROM ("
+     "SELECT * FROM source_orders UNION ALL " +
+     anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"]) + ")")
 O["merge_on_key_only"] = with_("target_orders", "source_orders", extra=[
     ("src", "SELECT * REPLACE ('single' AS tenant_id) FROM source_orders")]) + \
     "SELECT * FROM src UNION ALL " + anti("target_orders", "src", ["o_orderkey"])

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -225,21 +225,41 @@ def replace_tenant(source: DataFrame, path: str, tenants: Sequence[str] | None =
 
 # ---------------------------------------------------------------- J-01 on a table
 def merge_into_table(source: DataFrame, path: str, keys: Sequence[str],
-                     latest_by: str | None = None, sort_col: str | None = None) -> None:
-    """J-01 applied to a stored table: only tenants present in the source are
-    read (semi-join on the partition column -> partition pruning) and
-    rewritten; the merged result is staged, then overwrites those tenant
-    partitions.  Repeating the call gives the same table (idempotent)."""
+                     latest_by: str | None = None, sort_col: str | None = None,
+                     bucket: Column | None = None, bucket_col: str = "key_bucket") -> None:
+    """J-01 applied to a stored table.  Only the tenants present in the
+    source are read (static ``PartitionFilters``) and rewritten; the merged
+    result is staged, then overwrites exactly those partitions.  Repeating
+    the call gives the same table (idempotent).
+
+    ``bucket``: an expression of the merge key alone (e.g. ``floor(id / 1e6)``
+    for growing ids, ``pmod(xxhash64(id), 1024)`` otherwise) adds a second
+    partition level.  A key's bucket never changes, so only the
+    (tenant, bucket) partitions the increment touches are read and
+    rewritten: a tenant holding a third of the table is not rewritten whole
+    for a small increment."""
     spark = source.sparkSession
+    parts = (TENANT,) if bucket is None else (TENANT, bucket_col)
+    if bucket is not None:
+        source = source.withColumn(bucket_col, bucket.cast("string"))
     if existing_schema(spark, path) is None:
         first = latest_per_key(source, list(keys) + [TENANT], latest_by) if latest_by else source
-        overwrite_partitions(first, path, (TENANT,), sort_col)
+        overwrite_partitions(first, path, parts, sort_col)
         return
     target = spark.read.parquet(path)
     src = stage(align_to_target(source, target.schema), "merge-src")
-    t = prune_to_tenants(target, touched_tenants(src))
+    if bucket is None:
+        t = prune_to_tenants(target, touched_tenants(src))
+    else:
+        # touched (tenant, bucket) pairs: bounded by tenants x buckets
+        pairs = src.select(TENANT, bucket_col).distinct()
+        got = pairs.collect()
+        tenants = sorted({r[0] for r in got if r[0] is not None})
+        buckets = sorted({r[1] for r in got if r[1] is not None})
+        t = prune_to_tenants(target, tenants).where(F.col(bucket_col).isin(buckets))
+        t = t.join(pairs, [TENANT, bucket_col], "left_semi")
     merged = stage(merge_on_key(t, src, keys, latest_by=latest_by), "merge")
-    overwrite_partitions(merged, path, (TENANT,), sort_col)
+    overwrite_partitions(merged, path, parts, sort_col)
     release(src, merged)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,20 +19,22 @@ from ..sinks.writers import merge_into_table
 from ..session import scratch_path
 
 
-def upsert_batch(target_path: str, keys: Sequence[str], latest_by: str | None):
+def upsert_batch(target_path: str, keys: Sequence[str], latest_by: str | None,
+                 bucket: Column | None = None):
     """The ``foreachBatch`` function: reduce the batch to one row per key
-    and merge it into the target (staged, tenant-scoped overwrite)."""
+    and merge it into the target (staged, tenant- or bucket-scoped overwrite)."""
     def _fn(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        merge_into_table(batch, target_path, keys, latest_by=latest_by)
+        merge_into_table(batch, target_path, keys, latest_by=latest_by, bucket=bucket)
     return _fn
 
 
 def stream_upsert(spark: SparkSession, input_path: str, schema: T.StructType, target_path: str,
                   keys: Sequence[str], latest_by: str | None = None,
                   checkpoint: str | None = None, files_per_batch: int = 1,
-                  event_time: str | None = None, dedup_delay: str | None = None) -> None:
+                  event_time: str | None = None, dedup_delay: str | None = None,
+                  bucket: Column | None = None) -> None:
     """Run the upsert stream over everything available now, then stop.
 
     ``event_time`` + ``dedup_delay``: drop rows delivered twice inside the
@@ -46,7 +48,7 @@ def stream_upsert(spark: SparkSession, input_path: str, schema: T.StructType, ta
                   .dropDuplicatesWithinWatermark(list(keys))
                   .drop("_wm"))
     q = (stream.writeStream
-         .foreachBatch(upsert_batch(target_path, keys, latest_by))
+         .foreachBatch(upsert_batch(target_path, keys, latest_by, bucket))
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
          .trigger(availableNow=True)
          .start())
