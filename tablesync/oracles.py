@@ -499,6 +499,9 @@ O["sync_table_incremental"] = with_("target_orders", "source_orders") + \
     (f"SELECT *, {ts(X.ORDERS_NOW)} AS sync_timestamp, 'INCREMENTAL' AS sync_mode FROM source_orders "
      f"UNION ALL SELECT *, {ts(X.ORDERS_LAST)}, 'FULL' FROM (" +
      anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"]) + ")")
+O["sync_table_bucketed"] = with_("target_orders", "source_orders") + \
+    ("SELECT *, CAST(CAST(floor(o_orderkey / 10000) AS BIGINT) AS VARCHAR) AS key_bucket FROM (" +
+     O["sync_table_incremental"].split("\n")[-1] + ")")
 O["sync_all_report"] = with_("fo", "fe") + \
     ("SELECT tenant_id, 'orders' AS table_name, 'FULL' AS sync_mode, count(*) AS records_synced, "
      "'SUCCESS' AS status FROM fo GROUP BY 1 UNION ALL SELECT tenant_id, 'events', 'FULL', count(*), "

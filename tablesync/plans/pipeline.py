@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,13 +65,19 @@ def _window_rows(source: DataFrame, plan: DataFrame, column: str, now) -> DataFr
 
 def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataFrame,
                run_time: datetime | str, watermark: str | None, keys: Sequence[str] = (),
-               hash_dedup: bool = True) -> DataFrame:
+               hash_dedup: bool = True, bucket: Column | None = None,
+               bucket_col: str = "key_bucket") -> DataFrame:
     """P-01: sync one table for every tenant in ``plan`` (columns
     ``tenant_id, sync_mode, safe_start``) and return per-tenant statistics.
 
     FULL tenants: all their source rows replace the tenant (also when there
     are none).  INCREMENTAL tenants: rows in ``(safe_start, run_time]`` are
-    merged on key + tenant, or appended by hash when there is no key."""
+    merged on key + tenant, or appended by hash when there is no key.
+
+    ``bucket`` (an expression of the key, or of ``data_hash`` for key-less
+    tables) adds a second partition level: INCREMENTAL tenants then read and
+    rewrite only the buckets their changes touch; FULL tenants are replaced
+    whole and lose buckets they no longer have."""
     spark = source.sparkSession
     plan = plan.select(TENANT, "sync_mode", "safe_start")
     full = source.join(plan.where(F.col("sync_mode") == "FULL").select(TENANT), TENANT, "left_semi")
@@ -83,7 +89,12 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
     incr = add_system_columns(incr, None, run_time, "INCREMENTAL")
     if hash_dedup and not keys:
         full, incr = with_row_hash(full), with_row_hash(incr)
-    changes = W.stage(full.unionByName(incr), "changes")
+    both = full.unionByName(incr)
+    parts = (TENANT,)
+    if bucket is not None:
+        both = both.withColumn(bucket_col, bucket.cast("string"))
+        parts = (TENANT, bucket_col)
+    changes = W.stage(both, "changes")
 
     exists = path_exists(spark, target_path)
     incr_changes = changes.where(F.col("sync_mode") == "INCREMENTAL")
@@ -92,7 +103,10 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
         target = spark.read.parquet(target_path)
         # only INCREMENTAL tenants with changes are read (partition pruning)
         # and rewritten; FULL tenants are replaced from the source alone
-        t = W.prune_to_tenants(target, W.touched_tenants(incr_changes))
+        if bucket is None:
+            t = W.prune_to_tenants(target, W.touched_tenants(incr_changes))
+        else:
+            t = W.prune_to_pairs(target, incr_changes, bucket_col)
         src = align_to_target(incr_changes, target.schema)
         if keys:
             merged = M.merge_on_key(t, src, keys)
@@ -103,12 +117,16 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
         result = None
     # the first load writes the staged changes as they are
     staged = changes if result is None else W.stage(result, "result")
-    W.overwrite_partitions(staged, target_path, (TENANT,), watermark)
+    W.overwrite_partitions(staged, target_path, parts, watermark)
 
     # FULL tenants without source rows must not keep stale rows (Q8)
     full_tenants = [r[0] for r in plan.where(F.col("sync_mode") == "FULL").select(TENANT).collect()]
     written = {r[0] for r in staged.select(TENANT).distinct().collect()}
     W.drop_tenant_partitions(spark, target_path, [t for t in full_tenants if t not in written])
+    if bucket is not None and exists:
+        pairs = {(r[0], r[1]) for r in staged.select(TENANT, bucket_col).distinct().collect()}
+        W.drop_stale_buckets(spark, target_path, [t for t in full_tenants if t in written],
+                             pairs, bucket_col)
 
     counts = changes.groupBy(TENANT).agg(F.count(F.lit(1)).alias("records_synced"))
     stats = W.stage(plan.join(counts, TENANT, "left")

@@ -171,6 +171,35 @@ def drop_tenant_partitions(spark: SparkSession, path: str, tenants: Sequence[str
             fs.delete(p, True)
 
 
+def prune_to_pairs(target: DataFrame, changes: DataFrame, bucket_col: str) -> DataFrame:
+    """Target rows of the (tenant, bucket) partitions present in ``changes``:
+    static partition filters on both columns (a superset), then an exact
+    semi-join on the pairs (one row per pair: bounded, broadcast by AQE)."""
+    pairs = changes.select(TENANT, bucket_col).distinct()
+    got = pairs.collect()
+    tenants = sorted({r[0] for r in got if r[0] is not None})
+    buckets = sorted({r[1] for r in got if r[1] is not None})
+    t = prune_to_tenants(target, tenants).where(F.col(bucket_col).isin(buckets))
+    return t.join(pairs, [TENANT, bucket_col], "left_semi")
+
+
+def drop_stale_buckets(spark: SparkSession, path: str, tenants: Sequence[str],
+                       written: set, bucket_col: str) -> None:
+    """After a FULL replacement of ``tenants`` in a bucketed table, remove
+    the bucket partitions those tenants had before and no longer have."""
+    fs, root = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    for t in tenants:
+        tdir = jvm.org.apache.hadoop.fs.Path(root, f"{TENANT}={t}")
+        if not fs.exists(tdir):
+            continue
+        for st in fs.listStatus(tdir):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(f"{bucket_col}="):
+                if (t, name.split("=", 1)[1]) not in written:
+                    fs.delete(st.getPath(), True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = (TENANT,),
                          sort_col: str | None = None) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
@@ -252,12 +281,7 @@ def merge_into_table(source: DataFrame, path: str, keys: Sequence[str],
         t = prune_to_tenants(target, touched_tenants(src))
     else:
         # touched (tenant, bucket) pairs: bounded by tenants x buckets
-        pairs = src.select(TENANT, bucket_col).distinct()
-        got = pairs.collect()
-        tenants = sorted({r[0] for r in got if r[0] is not None})
-        buckets = sorted({r[1] for r in got if r[1] is not None})
-        t = prune_to_tenants(target, tenants).where(F.col(bucket_col).isin(buckets))
-        t = t.join(pairs, [TENANT, bucket_col], "left_semi")
+        t = prune_to_pairs(target, src, bucket_col)
     merged = stage(merge_on_key(t, src, keys, latest_by=latest_by), "merge")
     overwrite_partitions(merged, path, parts, sort_col)
     release(src, merged)
