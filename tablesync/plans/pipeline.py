@@ -152,29 +152,35 @@ def incremental_plan(watermarks: DataFrame, lookback_minutes: float = 10) -> Dat
 
 # ---------------------------------------------------------------- P-02
 def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
-             control: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+             parallel: int = 1) -> tuple[DataFrame, DataFrame]:
     """P-02: sync every table (each over all its tenants) and return the
     per-(tenant, table) statistics and the new control records.
 
     ``tables[name]`` = dict(source=..., target_path=..., plan=..., watermark=...,
-    keys=[...]).  A table that fails is reported FAILED (its error kept) and
-    the others continue."""
-    stats = []
-    spark = None
-    for name, spec in tables.items():
-        spark = spec["source"].sparkSession
+    keys=[...], bucket=...).  ``parallel`` tables run as concurrent Spark jobs
+    (threads submitting jobs; the cluster shares executors between them).
+    A table that fails is reported FAILED (its error kept) and the others
+    continue."""
+    if not tables:
+        raise ValueError("no tables")
+
+    def one(name: str, spec: dict) -> DataFrame:
         try:
             st = sync_table(spec["source"], spec["target_path"], name, spec["plan"], run_time,
-                            spec.get("watermark"), spec.get("keys", ()))
-            stats.append(st.withColumn("error_message", F.lit(None).cast("string")))
+                            spec.get("watermark"), spec.get("keys", ()), bucket=spec.get("bucket"))
+            return st.withColumn("error_message", F.lit(None).cast("string"))
         except Exception as exc:  # noqa: BLE001 - report and go on with the others
-            failed = spec["plan"].select(
+            return spec["plan"].select(
                 TENANT, F.lit(name).alias("table_name"), "sync_mode",
                 F.lit(0).cast("bigint").alias("records_synced"), F.lit("FAILED").alias("status"),
                 F.lit(str(exc)[:500]).alias("error_message"))
-            stats.append(failed)
-    if spark is None:
-        raise ValueError("no tables")
+
+    if parallel > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            stats = list(pool.map(lambda kv: one(*kv), tables.items()))
+    else:
+        stats = [one(n, s) for n, s in tables.items()]
     out = stats[0]
     for s in stats[1:]:
         out = out.unionByName(s)

@@ -670,7 +670,7 @@ def _sync_all_report(spark, d):
         "events": dict(source=e, target_path=scratch_path(spark, "all-events"),
                        plan=PL.full_plan(_tenants(e)), watermark="ts", keys=[]),
     }
-    stats, _records = PL.sync_all(tables, X.RUN_TIME)
+    stats, _records = PL.sync_all(tables, X.RUN_TIME, parallel=2)
     return stats.drop("error_message")
 
 
