@@ -328,12 +328,23 @@ def _merge_on_key(spark, d):
     return M.merge_on_key(X.target_orders(spark, d), X.source_orders(spark, d), ["o_orderkey"])
 
 
+KEY_RANGES = 8
+
+
+def _key_range_bucket(spark, d):
+    """``floor(o_orderkey / width)`` with the width set from the key range
+    (one scalar), so each tenant has KEY_RANGES partitions at any scale."""
+    mx = X.table(spark, d, "orders").agg(F.max("o_orderkey")).first()[0] or 1
+    width = max(1, -(-int(mx) // KEY_RANGES))
+    return F.floor(F.col("o_orderkey") / F.lit(width))
+
+
 @query("merge_into_table")
 def _merge_into_table(spark, d):
     """J-01 on a stored table partitioned by tenant and key range: only the
     touched (tenant, key range) partitions are read and rewritten."""
     path = scratch_path(spark, "merge-table")
-    bucket = F.floor(F.col("o_orderkey") / 10000)
+    bucket = _key_range_bucket(spark, d)
     W.merge_into_table(X.target_orders(spark, d), path, ["o_orderkey"], bucket=bucket)
     W.merge_into_table(X.source_orders(spark, d), path, ["o_orderkey"], bucket=bucket)
     return spark.read.parquet(path)
@@ -649,7 +660,7 @@ def _sync_table_bucketed(spark, d):
     """P-01 on a target partitioned by tenant and key range: the incremental
     run reads and rewrites only the touched (tenant, key range) partitions."""
     path = scratch_path(spark, "sync-bucket")
-    bucket = F.floor(F.col("o_orderkey") / 10000)
+    bucket = _key_range_bucket(spark, d)
     first = X.target_orders(spark, d)
     PL.sync_table(first, path, "orders", PL.full_plan(_tenants(first)), X.ORDERS_LAST,
                   "o_orderdate", ["o_orderkey"], bucket=bucket)
