@@ -218,6 +218,9 @@ def safe_append(source: DataFrame, target_path: str, run_time: datetime | str) -
         W.rebuild_with_hash(spark, target_path)
         target = spark.read.parquet(target_path)
         src = align_to_target(src, target.schema)
+        # only the hashes of tenants present in the increment are read
+        # (partition pruning; the anti-join needs just tenant and hash)
+        target = W.prune_to_tenants(target, W.touched_tenants(src))
     else:
         target = src.limit(0)
     # one hash pass and one join: the flags give both the new rows (J-06)
