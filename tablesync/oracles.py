@@ -506,6 +506,11 @@ O["sync_all_report"] = with_("fo", "fe") + \
     ("SELECT tenant_id, 'orders' AS table_name, 'FULL' AS sync_mode, count(*) AS records_synced, "
      "'SUCCESS' AS status FROM fo GROUP BY 1 UNION ALL SELECT tenant_id, 'events', 'FULL', count(*), "
      "'SUCCESS' FROM fe GROUP BY 1")
+O["smart_sync"] = with_("target_orders", "fo_changed", extra=[
+    ("s2", f"SELECT *, {ts(X.ORDERS_NOW)} AS sync_timestamp, 'INCREMENTAL' AS sync_mode FROM fo_changed "
+           f"WHERE o_orderdate > TIMESTAMP '1997-12-31 23:50:00' AND o_orderdate <= {ts(X.ORDERS_NOW)}")]) + \
+    (f"SELECT * FROM s2 UNION ALL SELECT *, {ts(X.ORDERS_LAST)}, 'FULL' FROM (" +
+     anti("target_orders", "s2", ["o_orderkey", "tenant_id"]) + ")")
 O["multitenant_load"] = "SELECT o_orderpriority AS tenant_id, count(*) AS row_count FROM orders GROUP BY 1"
 O["safe_append"] = with_("fo") + \
     ("SELECT tenant_id, count(*) AS source_rows, "

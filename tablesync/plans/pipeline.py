@@ -284,7 +284,42 @@ def legacy_incremental(source: DataFrame, target_path: str, run_time: datetime |
     W.release(src, staged)
 
 
+# ---------------------------------------------------------------- P-02, end to end
+def smart_sync(sources: Mapping[str, DataFrame], target_root: str, run_time: datetime | str,
+               history: DataFrame | None = None, keys: Mapping[str, Sequence[str]] | None = None,
+               force_full: bool = False, lookback_minutes: float = 10,
+               parallel: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The whole run, as the reference's main program does it: describe the
+    sources, decide mode/reason/strategy for every (tenant, table) from the
+    catalog and the control history (C-03: last *successful* sync, last run
+    not failed, watermark column present), sync each table for all its
+    tenants, and return the run statistics and the new control records
+    (append them to the history).
+
+    ``sources[table]`` carries ``tenant_id``; targets are
+    ``{target_root}/{table}``.  The plan is control-plane metadata (one row
+    per tenant and table) and drives one ``sync_table`` per table."""
+    from ..sources.catalog import describe_sources, table_facts
+    from .control import sync_plan
+    spark = next(iter(sources.values())).sparkSession
+    facts = table_facts(describe_sources(dict(sources), dict(keys or {})))
+    if history is None:
+        history = spark.createDataFrame([], "tenant_id string, table_name string, "
+                                        "last_sync_time string, sync_status string, sync_mode string, "
+                                        "records_synced bigint, error_message string, updated_at string")
+    plan = sync_plan(facts, history, force_full, lookback_minutes)
+    specs = {}
+    for table, src in sources.items():
+        tp = plan.where(F.col("table_name") == table)
+        wm = [r[0] for r in tp.select("watermark_column").distinct().collect() if r[0] is not None]
+        specs[table] = dict(source=src, target_path=f"{target_root.rstrip('/')}/{table}",
+                            plan=tp.select(TENANT, "sync_mode", "safe_start"),
+                            watermark=wm[0] if wm else None, keys=list((keys or {}).get(table, [])))
+    stats, records = sync_all(specs, run_time, parallel)
+    return stats, records
+
+
 __all__ = [
     "union_tenants", "scan_tenants", "sync_table", "full_plan", "incremental_plan", "sync_all",
-    "multitenant_load", "safe_append", "dedup_merge", "legacy_incremental",
+    "multitenant_load", "safe_append", "dedup_merge", "legacy_incremental", "smart_sync",
 ]

@@ -685,6 +685,20 @@ def _sync_all_report(spark, d):
     return stats.drop("error_message")
 
 
+@query("smart_sync")
+def _smart_sync(spark, d):
+    """P-02 end to end, twice: the first run finds no history (FULL for
+    every tenant), the second continues from the recorded successful sync
+    (INCREMENTAL, 10-minute lookback, merge on the key)."""
+    root = scratch_path(spark, "smart")
+    keys = {"orders": ["o_orderkey"]}
+    _s1, rec1 = PL.smart_sync({"orders": X.target_orders(spark, d)}, root, X.ORDERS_LAST, keys=keys)
+    history = W.stage(rec1, "history")
+    _s2, _rec2 = PL.smart_sync({"orders": X.fo_changed(spark, d)}, root, X.ORDERS_NOW,
+                               history=history, keys=keys)
+    return spark.read.parquet(f"{root}/orders")
+
+
 @query("multitenant_load")
 def _multitenant_load(spark, d):
     """P-03"""

@@ -161,3 +161,51 @@ def table_facts(catalog: DataFrame, priority: Sequence[str] = TIMESTAMP_FIELDS)
                     F.when(F.col("_any"), F.col("_b.column_type")).alias("watermark_type"),
                     "column_count",
                     F.when(F.size("_k") > 0, keys).alias("key_columns"))
+
+
+# Spark type -> source-style type text, so DataFrame sources can be described
+# like a database table (the ``DESCRIBE`` analogue for Parquet/JDBC frames).
+def _type_text(dt) -> str:
+    from pyspark.sql import types as T
+    if isinstance(dt, T.LongType):
+        return "bigint(20)"
+    if isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
+        return "int(11)"
+    if isinstance(dt, T.DoubleType):
+        return "double"
+    if isinstance(dt, T.FloatType):
+        return "float"
+    if isinstance(dt, T.DecimalType):
+        return f"decimal({dt.precision},{dt.scale})"
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return "datetime"
+    if isinstance(dt, T.DateType):
+        return "date"
+    if isinstance(dt, T.BinaryType):
+        return "blob"
+    if isinstance(dt, T.BooleanType):
+        return "tinyint(1)"
+    return "text"
+
+
+def describe_sources(sources: dict, keys: dict | None = None,
+                     tenant_col: str = "tenant_id") -> DataFrame:
+    """Catalog rows for DataFrame sources: every tenant present in a table's
+    source gets that table's columns (schema from the DataFrame, keys from
+    ``keys[table]``).  The tenant list is a distinct over the source; the
+    column template is fixed by the schema and joined by broadcast."""
+    from ..functions.literal import literal_frame
+    out = None
+    for table, df in sources.items():
+        kl = list((keys or {}).get(table, []))
+        rows = [(table, i + 1, f.name, _type_text(f.dataType), (kl.index(f.name) + 1) if f.name in kl else None)
+                for i, f in enumerate(df.schema.fields) if f.name != tenant_col]
+        tmpl = literal_frame(df.sparkSession, rows, "table_name string, ordinal_position int, "
+                             "column_name string, column_type string, key_ordinal int")
+        tenants = df.select(tenant_col).distinct().withColumnRenamed(tenant_col, "tenant_id") \
+            .withColumn("table_name", F.lit(table))
+        part = tenants.join(F.broadcast(tmpl), "table_name").select(*CATALOG_COLUMNS)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no sources")
+    return out

@@ -191,3 +191,22 @@ def test_bucketed_sync_table(spark, tmp_table):
     after = spark.read.parquet(path)
     assert after.where("tenant_id = '1-URGENT'").count() == 5
     assert after.where("tenant_id <> '1-URGENT'").count() == got.where("tenant_id <> '1-URGENT'").count()
+
+
+def test_smart_sync_modes_follow_history(spark, tmp_table):
+    root = tmp_table("smart")
+    keys = {"orders": ["o_orderkey"]}
+    s1, rec1 = PL.smart_sync({"orders": X.target_orders(spark, SF_SMALL)}, root, X.ORDERS_LAST, keys=keys)
+    assert {r.sync_mode for r in s1.collect()} == {"FULL"}
+    hist = spark.createDataFrame(rec1.collect(), rec1.schema)   # small control records
+    s2, rec2 = PL.smart_sync({"orders": X.fo_changed(spark, SF_SMALL)}, root, X.ORDERS_NOW,
+                             history=hist, keys=keys)
+    assert {r.sync_mode for r in s2.collect()} == {"INCREMENTAL"}
+    # a failed last run for one tenant forces FULL for it only
+    failed = rec2.where("tenant_id = '1-URGENT'").withColumn("sync_status", F.lit("FAILED")) \
+        .withColumn("updated_at", F.lit("1999-01-02T00:00:00"))
+    hist3 = hist.unionByName(spark.createDataFrame(rec2.collect(), rec2.schema)).unionByName(failed)
+    s3, _ = PL.smart_sync({"orders": X.fo_changed(spark, SF_SMALL)}, root, "1999-01-03 00:00:00",
+                          history=hist3, keys=keys)
+    modes = {r.tenant_id: r.sync_mode for r in s3.collect()}
+    assert modes["1-URGENT"] == "FULL" and {m for t, m in modes.items() if t != "1-URGENT"} == {"INCREMENTAL"}
