@@ -288,7 +288,7 @@ def legacy_incremental(source: DataFrame, target_path: str, run_time: datetime |
 def smart_sync(sources: Mapping[str, DataFrame], target_root: str, run_time: datetime | str,
                history: DataFrame | None = None, keys: Mapping[str, Sequence[str]] | None = None,
                force_full: bool = False, lookback_minutes: float = 10,
-               parallel: int = 1) -> tuple[DataFrame, DataFrame]:
+               parallel: int = 1, control_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The whole run, as the reference's main program does it: describe the
     sources, decide mode/reason/strategy for every (tenant, table) from the
     catalog and the control history (C-03: last *successful* sync, last run
@@ -298,11 +298,18 @@ def smart_sync(sources: Mapping[str, DataFrame], target_root: str, run_time: dat
 
     ``sources[table]`` carries ``tenant_id``; targets are
     ``{target_root}/{table}``.  The plan is control-plane metadata (one row
-    per tenant and table) and drives one ``sync_table`` per table."""
+    per tenant and table) and drives one ``sync_table`` per table.
+
+    ``control_path``: the control table (append-only run records, partitioned
+    by tenant).  History is read from it and the run's records are appended
+    after the data writes, so a crash in between only repeats an idempotent
+    merge on the next run."""
     from ..sources.catalog import describe_sources, table_facts
     from .control import sync_plan
     spark = next(iter(sources.values())).sparkSession
     facts = table_facts(describe_sources(dict(sources), dict(keys or {})))
+    if history is None and control_path and W.existing_schema(spark, control_path) is not None:
+        history = spark.read.parquet(control_path)
     if history is None:
         history = spark.createDataFrame([], "tenant_id string, table_name string, "
                                         "last_sync_time string, sync_status string, sync_mode string, "
@@ -316,6 +323,8 @@ def smart_sync(sources: Mapping[str, DataFrame], target_root: str, run_time: dat
                             plan=tp.select(TENANT, "sync_mode", "safe_start"),
                             watermark=wm[0] if wm else None, keys=list((keys or {}).get(table, [])))
     stats, records = sync_all(specs, run_time, parallel)
+    if control_path:
+        W.write_append(records, control_path, (TENANT,))
     return stats, records
 
 

@@ -210,3 +210,15 @@ def test_smart_sync_modes_follow_history(spark, tmp_table):
                           history=hist3, keys=keys)
     modes = {r.tenant_id: r.sync_mode for r in s3.collect()}
     assert modes["1-URGENT"] == "FULL" and {m for t, m in modes.items() if t != "1-URGENT"} == {"INCREMENTAL"}
+
+
+def test_smart_sync_with_control_table(spark, tmp_table):
+    root, ctl = tmp_table("smart-ctl"), tmp_table("control")
+    keys = {"orders": ["o_orderkey"]}
+    PL.smart_sync({"orders": X.target_orders(spark, SF_SMALL)}, root, X.ORDERS_LAST, keys=keys,
+                  control_path=ctl)
+    s2, _ = PL.smart_sync({"orders": X.fo_changed(spark, SF_SMALL)}, root, X.ORDERS_NOW, keys=keys,
+                          control_path=ctl)
+    assert {r.sync_mode for r in s2.collect()} == {"INCREMENTAL"}
+    cur = CT.current_status(spark.read.parquet(ctl)).collect()
+    assert {r.sync_mode for r in cur} == {"INCREMENTAL"} and len(cur) == 5
