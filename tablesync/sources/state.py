@@ -43,7 +43,9 @@ def status_scan(spark: SparkSession, path: str, multi_line: bool = True) -> Data
     docs = (spark.read.schema(TENANT_DOC).option("multiLine", multi_line)
             .option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").json(path)
             .withColumn("_file", F.input_file_name()))
-    fname = F.regexp_extract(F.col("_file"), r"/([^/=]+?)(\.json)?(/[^/]*)?$", 1)
+    by_dir = F.regexp_extract(F.col("_file"), r"/tenant_id=([^/]+)/[^/]*$", 1)
+    by_name = F.regexp_extract(F.col("_file"), r"/([^/=]+?)\.json$", 1)
+    fname = F.when(by_dir != "", by_dir).when(by_name != "", by_name)
     return (docs.where(F.col("tables").isNotNull())
             .select(F.coalesce(F.col("database_info.tenant_id"), fname).alias("tenant_id"),
                     F.explode("tables").alias("_table_key", "s"))
