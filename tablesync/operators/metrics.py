@@ -165,7 +165,9 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str],
     def per_key(df, p):
         # one row per key and side (count + hash range), so a key repeated
         # many times is compared once instead of emitting all pairs
-        h = df.where(~nulls).select(*ks, row_hash(df, columns=cols).alias("_h"))
+        # 64-bit fingerprint of the canonical row hash: fixed-width longs
+        # keep the per-key aggregate a HashAggregate
+        h = df.where(~nulls).select(*ks, F.xxhash64(row_hash(df, columns=cols)).alias("_h"))
         return h.groupBy(*ks).agg(F.count(F.lit(1)).alias(f"{p}n"), F.min("_h").alias(f"{p}lo"),
                                   F.max("_h").alias(f"{p}hi"))
     j = per_key(source, "s").join(per_key(target, "t"), ks, "full_outer")
