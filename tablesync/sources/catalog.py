@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.types import base_type
@@ -93,17 +93,17 @@ def _rank_in(lname: Column, names: Sequence[str], default: int) -> Column:
 
 
 def _choose(catalog: DataFrame, candidate: Column, order: Column) -> DataFrame:
-    """Best candidate per table by ``order``; tables without one get NULL.
-    One aggregation over the catalog (no window, no join back)."""
-    best = F.min_by(
-        F.struct(F.col("column_name"), F.col("column_type")),
-        F.struct((~candidate).alias("miss"), order.alias("o"), F.col("ordinal_position").alias("p")))
-    any_cand = F.max(candidate.cast("int")) == 1
-    return (catalog.groupBy(*TABLE_KEYS)
-            .agg(best.alias("_b"), any_cand.alias("_any"))
-            .select(*TABLE_KEYS,
-                    F.when(F.col("_any"), F.col("_b.column_name")).alias("watermark_column"),
-                    F.when(F.col("_any"), F.col("_b.column_type")).alias("watermark_type")))
+    """Best candidate per table by ``order`` (then position); tables without
+    a candidate get NULL.  ``row_number() = 1`` over (tenant, table): the
+    partial group limit keeps one row per table and map task before the
+    shuffle, no join back."""
+    w = Window.partitionBy(*TABLE_KEYS).orderBy(
+        (~candidate).asc(), order.asc(), F.col("ordinal_position").asc())
+    best = (catalog.withColumn("_cand", candidate)
+            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1))
+    return best.select(*TABLE_KEYS,
+                       F.when(F.col("_cand"), F.col("column_name")).alias("watermark_column"),
+                       F.when(F.col("_cand"), F.col("column_type")).alias("watermark_type"))
 
 
 def watermark_column(catalog: DataFrame, priority: Sequence[str] = TIMESTAMP_FIELDS) -> DataFrame:
