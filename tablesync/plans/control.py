@@ -71,6 +71,19 @@ def safe_start(watermarks: DataFrame, lookback_minutes: float = 10,
     return watermarks.withColumn("safe_start", start)
 
 
+def history_state(history: DataFrame) -> DataFrame:
+    """Per (tenant, table), in one aggregation over the history: the
+    watermark of C-01 (``last_sync_time``, NULL when no successful parsable
+    time) and the status of the newest record (``last_status``), chosen with
+    the same order as :func:`current_status` (newest ``updated_at``, then the
+    row's columns in name order, NULL lowest)."""
+    h = history.withColumn("_u", _t("updated_at"))
+    order = F.struct(F.col("_u"), *[F.col(f"`{c}`") for c in sorted(h.columns)])
+    ok_time = F.when(F.col("sync_status") == "SUCCESS", _t("last_sync_time"))
+    return h.groupBy(*KEY).agg(F.max(ok_time).alias("last_sync_time"),
+                               F.max_by("sync_status", order).alias("last_status"))
+
+
 # ---------------------------------------------------------------- C-03 / C-04
 def sync_plan(facts: DataFrame, history: DataFrame, force_full: bool = False,
               lookback_minutes: float = 10) -> DataFrame:
@@ -80,9 +93,7 @@ def sync_plan(facts: DataFrame, history: DataFrame, force_full: bool = False,
     and a last run that did not fail; otherwise FULL with the first reason
     that applies.  Write: FULL -> replace tenant; keys -> merge; else append
     new rows by hash."""
-    last_ok = last_sync_time(history)
-    cur = current_status(history).select(*KEY, F.col("sync_status").alias("last_status"))
-    j = facts.join(last_ok, KEY, "left").join(cur, KEY, "left")
+    j = facts.join(history_state(history), KEY, "left")
     has_wm = F.col("watermark_column").isNotNull()
     has_hist = F.col("last_sync_time").isNotNull()
     failed = F.coalesce(F.col("last_status") == "FAILED", F.lit(False))
