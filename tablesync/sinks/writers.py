@@ -45,29 +45,18 @@ def _ensure_dynamic(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
-ROWS_PER_FILE = 2_000_000
-
-
-def layout(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None = None,
-           rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Shuffle rows to writer tasks by partition value plus a salt whose
-    range grows with the partition's row count: a small tenant is written
-    as one file by one task, a tenant holding a third of all rows by
-    ``rows / rows_per_file`` tasks in parallel.
-
-    The per-partition counts are one small aggregate (a row per output
-    partition, not per data row); AQE broadcasts it from its measured size."""
+def layout(df: DataFrame, partition_cols: Sequence[str], sort_col: str | None = None) -> DataFrame:
+    """Rows to writer tasks by partition value, sized at run time: the
+    ``REBALANCE`` hint shuffles on the partition columns and lets AQE split a
+    partition value larger than ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    over several tasks (a tenant holding a third of all rows is written in
+    parallel, in files of about that size) and coalesce small ones (a small
+    tenant is one file).  Sizes come from the shuffle's own statistics: no
+    counting pass over the data."""
     if not partition_cols:
         return df
-    cols = df.columns
     pc = list(partition_cols)
-    counts = df.groupBy(*pc).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(*[F.col(c).alias(f"_p_{c}") for c in pc], "_n")
-    cond = [df[c].eqNullSafe(counts[f"_p_{c}"]) for c in pc]
-    j = df.join(counts, cond, "inner")
-    buckets = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_file))).cast("bigint")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), buckets)
-    out = j.repartition(*[F.col(c) for c in pc], salt).select(*[F.col(f"`{c}`") for c in cols])
+    out = df.hint("rebalance", *pc)
     if sort_col:
         out = out.sortWithinPartitions(*pc, sort_col)
     return out

@@ -353,3 +353,34 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, tmp_table):
     touched = {(r.tenant_id, str(r.b)) for r in src.select("tenant_id", bucket.cast("bigint").alias("b")).distinct().collect()}
     kept = [f for f in before if not any(f.startswith(f"tenant_id={t}/key_bucket={b}/") for t, b in touched)]
     assert kept and all(after.get(f) == before[f] for f in kept)
+
+
+def test_layout_splits_hot_tenant_and_keeps_small_ones_whole(spark, tmp_table):
+    """A tenant holding most rows is written by several tasks (AQE splits
+    the rebalance partition by measured size); a small tenant stays one file."""
+    import os
+
+    from tablesync.session import to_local
+    from .conftest import SF_MID
+    o = X.table(spark, SF_MID, "orders")
+    hot = F.when(F.col("o_orderkey") % 50 == 0, F.lit("small")).otherwise(F.lit("hot"))
+    # several map tasks, as from many input splits: AQE splits a partition
+    # at map-output boundaries
+    df = o.repartition(8).withColumn("tenant_id", hot)
+    path = tmp_table("layout")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        W.write_truncate(df, path, ["tenant_id"])
+    finally:
+        spark.conf.set(key, old)
+
+    def files(t):
+        d = os.path.join(to_local(path), f"tenant_id={t}")
+        return [f for f in os.listdir(d) if f.endswith(".parquet")]
+    assert len(files("hot")) > 1
+    assert len(files("small")) == 1
+    back = spark.read.parquet(path)
+    assert back.count() == o.count()
+    assert back.where("tenant_id = 'small'").count() == o.where(F.col("o_orderkey") % 50 == 0).count()
