@@ -32,16 +32,22 @@ def upsert_batch(target_path: str, keys: Sequence[str], latest_by: str | None,
 
 def stream_upsert(spark: SparkSession, input_path: str, schema: T.StructType, target_path: str,
                   keys: Sequence[str], latest_by: str | None = None,
-                  checkpoint: str | None = None, files_per_batch: int = 1,
+                  checkpoint: str | None = None, files_per_batch: int | None = None,
                   event_time: str | None = None, dedup_delay: str | None = None,
                   bucket: Column | None = None) -> None:
     """Run the upsert stream over everything available now, then stop.
 
     ``event_time`` + ``dedup_delay``: drop rows delivered twice inside the
     lookback before merging (``dropDuplicatesWithinWatermark``); the column
-    is cast to ``timestamp`` because watermarks reject naive timestamps."""
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", files_per_batch).parquet(input_path))
+    is cast to ``timestamp`` because watermarks reject naive timestamps.
+
+    ``files_per_batch``: optional cap on files per micro-batch; by default a
+    batch takes every file available (few large merges instead of one merge,
+    i.e. one partition rewrite, per file)."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(input_path)
     if event_time and dedup_delay:
         stream = (stream.withColumn("_wm", F.col(event_time).cast("timestamp"))
                   .withWatermark("_wm", dedup_delay)
