@@ -22,23 +22,39 @@ def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# Shapes a number's text can have (supersets of what ``try_cast`` accepts:
+# trimmed spaces/controls, sign, digits; decimals accept any Unicode digit).
+# Text outside the shape is NULL without calling the cast: for such text the
+# ANSI cast builds and catches an exception per value, the slow path when a
+# column holds much junk.  Text inside the shape is still decided by the cast.
+_PAD = r"[\p{Cc}\p{Z}\s]*"
+INTEGER_SHAPE = rf"^{_PAD}[+-]?[0-9]+{_PAD}$"
+DECIMAL_SHAPE = rf"^{_PAD}[+-]?[\p{{Nd}}.]+([eE][+-]?\p{{Nd}}+)?{_PAD}$"
+FLOAT_HINT = r"(?i)[0-9]|inf|nan"
+
+
+def _guarded(c: Column, shape: str, to: str | T.DataType) -> Column:
+    s = empty_to_null(c)
+    return F.when(s.rlike(shape), s.try_cast(to))
+
+
 def to_int64(c: Column, dtype: T.DataType | None = None) -> Column:
     """Integer target.  Text: '' -> NULL, '12.5'/'abc' -> NULL (bad value);
     numbers: fractions are truncated toward zero."""
     if _is_string(dtype):
-        return empty_to_null(c).try_cast("bigint")
+        return _guarded(c, INTEGER_SHAPE, "bigint")
     return c.try_cast("bigint")
 
 
 def to_float64(c: Column, dtype: T.DataType | None = None) -> Column:
     if _is_string(dtype):
-        return empty_to_null(c).try_cast("double")
+        return _guarded(c, FLOAT_HINT, "double")
     return c.try_cast("double")
 
 
 def to_numeric(c: Column, dtype: T.DataType | None = None) -> Column:
     if _is_string(dtype):
-        return empty_to_null(c).try_cast(T.DecimalType(38, 9))
+        return _guarded(c, DECIMAL_SHAPE, T.DecimalType(38, 9))
     return c.try_cast(T.DecimalType(38, 9))
 
 
