@@ -90,23 +90,34 @@ def quarantine_bad_values(df: DataFrame, field_types: Mapping[str, str],
     the typed value is NULL."""
     conv = _converted(df, field_types, keep)
     tgt = _targets(field_types)
+    entry_type = T.StructType([T.StructField("key", T.StringType(), False),
+                               T.StructField("value", T.StringType(), True)])
     entries = []
     for name, (target, _src) in tgt.items():
         if name not in df.columns or name in keep:
             continue
         orig = F.col(f"`{name}`")
-        entries.append(F.when(_bad_condition(orig, conv[name], target),
-                              F.struct(F.lit(name).alias("key"),
-                                       orig.cast("string").alias("value"))))
-    bad = (F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+        entry = F.struct(F.lit(name).alias("key"), orig.cast("string").alias("value"))
+        # one-element or empty array per column, concatenated: no lambda
+        # function, so the map is built inside whole-stage codegen
+        entries.append(F.when(_bad_condition(orig, conv[name], target), F.array(entry))
+                       .otherwise(F.array().cast(T.ArrayType(entry_type))))
+    bad = (F.map_from_entries(F.concat(*entries))
            if entries else F.create_map().cast("map<string,string>"))
     return df.select(*[conv[n].alias(n) for n in df.columns], bad.alias(out_col))
 
 
 def bad_value_rows(quarantined: DataFrame, key_cols: Sequence[str],
                    map_col: str = "bad_values") -> DataFrame:
-    """Long form of the quarantine: one row per (key, column, raw text)."""
-    return (quarantined.select(*key_cols, F.explode(map_col).alias("column_name", "raw_value")))
+    """Long form of the quarantine: one row per (key, column, raw text).
+
+    Exploding the map's entry array (same rows, same order as exploding the
+    map) keeps the map from being rebuilt in the filter Spark infers for
+    generators."""
+    e = F.explode(F.map_entries(map_col)).alias("_e")
+    return (quarantined.select(*key_cols, e)
+            .select(*key_cols, F.col("_e.key").alias("column_name"),
+                    F.col("_e.value").alias("raw_value")))
 
 
 # ---------------------------------------------------------------- A-06
