@@ -123,10 +123,13 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
     full_tenants = [r[0] for r in plan.where(F.col("sync_mode") == "FULL").select(TENANT).collect()]
     written = {r[0] for r in staged.select(TENANT).distinct().collect()}
     W.drop_tenant_partitions(spark, target_path, [t for t in full_tenants if t not in written])
-    if bucket is not None and exists:
-        pairs = {(r[0], r[1]) for r in staged.select(TENANT, bucket_col).distinct().collect()}
-        W.drop_stale_buckets(spark, target_path, [t for t in full_tenants if t in written],
-                             pairs, bucket_col)
+    replaced = [t for t in full_tenants if t in written]
+    if bucket is not None and exists and replaced:
+        # bucket partitions just written for the replaced tenants: as many
+        # as their partition directories, which the clean-up lists anyway
+        pairs = {(r[0], r[1]) for r in staged.where(F.col(TENANT).isin(replaced))
+                 .select(TENANT, bucket_col).distinct().collect()}
+        W.drop_stale_buckets(spark, target_path, replaced, pairs, bucket_col)
 
     counts = changes.groupBy(TENANT).agg(F.count(F.lit(1)).alias("records_synced"))
     stats = W.stage(plan.join(counts, TENANT, "left")

@@ -163,11 +163,12 @@ def drop_tenant_partitions(spark: SparkSession, path: str, tenants: Sequence[str
 def prune_to_pairs(target: DataFrame, changes: DataFrame, bucket_col: str) -> DataFrame:
     """Target rows of the (tenant, bucket) partitions present in ``changes``:
     static partition filters on both columns (a superset), then an exact
-    semi-join on the pairs (one row per pair: bounded, broadcast by AQE)."""
+    semi-join on the pairs (distributed; AQE broadcasts it when small).
+    The driver sees only the distinct tenants and the distinct buckets, each
+    bounded by its own count, never their product."""
     pairs = changes.select(TENANT, bucket_col).distinct()
-    got = pairs.collect()
-    tenants = sorted({r[0] for r in got if r[0] is not None})
-    buckets = sorted({r[1] for r in got if r[1] is not None})
+    tenants = sorted(t for t in touched_tenants(pairs) if t is not None)
+    buckets = sorted(b for b in touched_tenants(pairs, bucket_col) if b is not None)
     t = prune_to_tenants(target, tenants).where(F.col(bucket_col).isin(buckets))
     return t.join(pairs, [TENANT, bucket_col], "left_semi")
 
