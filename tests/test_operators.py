@@ -397,7 +397,9 @@ def test_numeric_guards_equal_plain_try_cast(spark):
     vals = ["12", " 12 ", "12.5", "12.0", "+7", "-7", "1e3", "abc", "", " ", "12abc", "0x10", "1d",
             "1.0f", "NaN", "-Infinity", "inf", "\t5\n", "\xa05", "１２", ".5", "5.", "-.5e-3",
             "1,000", "\x005", "e5", "+", "-", "12e", "1.5E+2", "--5", "9223372036854775807",
-            "9223372036854775808", "99999999999999999999999999999999999999", "٣", None]
+            "9223372036854775808", "99999999999999999999999999999999999999", "٣", None,
+            "1L", "1S", "1Y", "1BD", "1D", "1F", "0b1", "1_0", "٣.٥", "１e２", "\x857", "+.5",
+            "-0", "00012", "1e+0", "1E-9"]
     vals += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 8))) for _ in range(4000)]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     s = F.col("s")
