@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +35,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers (once per Spark context), for
+    sessions whose executors don't have it installed."""
+    sc = spark.sparkContext
+    name = "tablesync.zip"
+    if name in sc._python_includes:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = os.path.join(tempfile.mkdtemp(prefix="tablesync-zip-"), name)
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path(root.name) / f.relative_to(root)))
+    sc.addPyFile(target)
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package available to the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def whole_text(text_col: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))

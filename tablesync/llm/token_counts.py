@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.bpe import encoder, read_tokenizer
-from tablesync.llm.common import balanced
+from tablesync.llm.common import arrow_map, balanced
 
 MAX_TOKENS = 2048
 BATCH_BYTES = 4 << 20
@@ -42,5 +42,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 [part.column("id"), sizes, pa.array(counts), pa.array(counts > max_tokens)],
                 ["id", "n_bytes", "n_tokens", "over_limit"])
 
-    out = slim.mapInArrow(encode, f"id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    out = arrow_map(slim, encode, f"id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
     return out.withColumnRenamed("id", id_col)
