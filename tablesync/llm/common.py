@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def balanced(batches: Iterator[pa.RecordBatch], column: str,
     row at least); yields the slice and its texts, null as empty."""
     for batch in batches:
         sizes = batch.column(column)
-        ends = pa.compute.fill_null(pa.compute.binary_length(sizes), 0).to_pylist()
+        ends = pc.fill_null(pc.binary_length(sizes), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(ends):
             if i > start and total + n > max_bytes:

@@ -9,10 +9,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.llm.common import table
+from tablesync.llm.decontaminate import contamination
 from tablesync.llm.exact_dup import exact_groups
+from tablesync.llm.pii import find_pii, pii_digest
 from tablesync.llm.token_counts import count_tokens
+from tablesync.llm.url_filter import judge_urls
 from tablesync.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,18 +26,36 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(find_pii(table(spark, sf_dir, "documents")))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_words", "n_hit", "n_items",
+                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def registry() -> dict[str, Query]:
     """The queries; each sets the session's required options first."""
     def configured(query: Query) -> Query:
         return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
     return {q.__name__: configured(q) for q in (
-        op2_token_counts, op9_exact_dedup)}
+        op2_token_counts, op4_pii, op5_decontamination, op9_exact_dedup, op10_url_filter)}
 
 
 OP9_SQL = r"""
@@ -49,5 +71,33 @@ FROM n
 """
 
 
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS gram
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, n, item_id FROM dw JOIN iw USING (n, gram)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+which AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN which USING (doc_id)
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op5_decontamination": OP5_SQL, "op9_exact_dedup": OP9_SQL}

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         lengths = encoder(spec.value, lengths_only=True)
         for part, texts in balanced(batches, "text", batch_bytes):
             counts = np.asarray(lengths.batch(texts), np.int64)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(part.column("text")), 0).cast(pa.int64())
+            sizes = pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), sizes, pa.array(counts), pa.array(counts > max_tokens)],
                 ["id", "n_bytes", "n_tokens", "over_limit"])
