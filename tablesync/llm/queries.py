@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import table
 from tablesync.llm.decontaminate import contamination
 from tablesync.llm.exact_dup import exact_groups
+from tablesync.llm.near_dup import near_duplicates
 from tablesync.llm.pii import find_pii, pii_digest
 from tablesync.llm.token_counts import count_tokens
 from tablesync.llm.url_filter import judge_urls
@@ -36,6 +37,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -55,7 +61,8 @@ def registry() -> dict[str, Query]:
         return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
     return {q.__name__: configured(q) for q in (
-        op2_token_counts, op4_pii, op5_decontamination, op9_exact_dedup, op10_url_filter)}
+        op2_token_counts, op4_pii, op5_decontamination, op8_near_duplicates,
+        op9_exact_dedup, op10_url_filter)}
 
 
 OP9_SQL = r"""
@@ -99,5 +106,30 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN which USING (doc_id)
 """
 
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(list_slice(w, s, s + 4), ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach(node, other) AS (
+  SELECT x, y FROM edge
+  UNION SELECT r.node, b.y FROM reach r JOIN edge b ON b.x = r.other),
+low AS (SELECT node, min(other) AS m FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(m, d.doc_id) AS kept
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN low ON low.node = d.doc_id
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op5_decontamination": OP5_SQL, "op8_near_duplicates": OP8_SQL, "op9_exact_dedup": OP9_SQL}
