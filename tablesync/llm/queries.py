@@ -15,8 +15,11 @@ from tablesync.llm.common import table
 from tablesync.llm.decontaminate import contamination
 from tablesync.llm.exact_dup import exact_groups
 from tablesync.llm.near_dup import near_duplicates
+from tablesync.llm.packing import pack_documents
 from tablesync.llm.pii import find_pii, pii_digest
+from tablesync.llm.quality import quality_scores
 from tablesync.llm.token_counts import count_tokens
+from tablesync.llm.toxicity import toxicity
 from tablesync.llm.url_filter import judge_urls
 from tablesync.session import configure
 
@@ -27,6 +30,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(find_pii(table(spark, sf_dir, "documents")))
 
@@ -37,6 +44,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
@@ -61,8 +76,8 @@ def registry() -> dict[str, Query]:
         return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
     return {q.__name__: configured(q) for q in (
-        op2_token_counts, op4_pii, op5_decontamination, op8_near_duplicates,
-        op9_exact_dedup, op10_url_filter)}
+        op2_token_counts, op3_quality, op4_pii, op5_decontamination, op6_toxicity, op7_packing,
+        op8_near_duplicates, op9_exact_dedup, op10_url_filter)}
 
 
 OP9_SQL = r"""
