@@ -67,7 +67,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     suspects = facts.filter("suspect")
     first = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("first")
-    groups = suspects.groupBy("digest").agg(first, F.count("*").alias("group_size"))
+    # staged: the join back then has its own exchanges, which AQE can split
+    groups = stage(suspects.groupBy("digest").agg(first, F.count("*").alias("group_size")),
+                   "exact-groups")
     many = suspects.join(groups, "digest").select(
         "id", F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "digest", "text_key")
