@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import table
 from tablesync.llm.decontaminate import contamination
 from tablesync.llm.exact_dup import exact_groups
+from tablesync.llm.html_extract import extract_main_text
 from tablesync.llm.near_dup import near_duplicates
 from tablesync.llm.packing import pack_documents
 from tablesync.llm.pii import find_pii, pii_digest
@@ -26,6 +27,10 @@ from tablesync.session import configure
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -76,7 +81,7 @@ def registry() -> dict[str, Query]:
         return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
     return {q.__name__: configured(q) for q in (
-        op2_token_counts, op3_quality, op4_pii, op5_decontamination, op6_toxicity, op7_packing,
+        op1_html_extract, op2_token_counts, op3_quality, op4_pii, op5_decontamination, op6_toxicity, op7_packing,
         op8_near_duplicates, op9_exact_dedup, op10_url_filter)}
 
 

@@ -1,6 +1,6 @@
 """Toxicity by a classifier chain.
 
-Binary logistic regressions on the words of a document, one per category, in a
+Binary logistic regressions on a document's words, one per category, in a
 fixed order: each later model also sees the probabilities of the earlier ones.
 For training, those come from out-of-fold predictions (each part is predicted
 by models that have not seen it), so a later model meets them as it will in
@@ -9,8 +9,9 @@ that label restricted to documents with a seed word of the category.
 
 Trained by numpy on at most ``MAX_TRAIN`` labelled documents, the first by a
 hash of their id outside the held-out fold (``quality.fold``).  Features are
-the ``MAX_WORDS`` words, of those in ``MIN_DOCS`` training documents at least,
-whose share of toxic and of other documents differs most.
+words and their beginnings: of those in ``MIN_DOCS`` training documents at
+least the ``MAX_FEATURES`` that tell toxic from other documents best, so the
+model is bounded.
 Every document is scored on its whole text.  One scan, one Arrow pass.
 
 Edge cases: null and empty texts score by the biases alone; without labels
@@ -20,6 +21,7 @@ repeated results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -39,11 +41,13 @@ CATEGORIES = {
 }
 FINAL = "toxic"
 CHAIN = (*CATEGORIES, FINAL)
-MAX_TRAIN = 4000
+MAX_TRAIN = 8000
 MIN_DOCS = 5
-MAX_WORDS = 1024
+MAX_FEATURES = 2048
+PREFIXES = (3, 4, 5, 6)
 FOLDS = 3
-STEPS, RATE, PENALTY = 150, 1.0, 1e-3
+STEPS, RATE, PENALTY = 250, 1.0, 1e-6
+WORD_MEMORY = 400_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -51,10 +55,39 @@ def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights, the bias last: full-batch gradient descent with a step size per
-    weight, both classes of equal say on the odds kept by the bias."""
-    w = np.zeros(x.shape[1] + 1, np.float64)
+def features_of(word: str) -> list[str]:
+    """The word itself and its beginnings, which inflected forms share."""
+    return [word + "$", *(word[:n] for n in PREFIXES if len(word) >= n)]
+
+
+class _Rows:
+    """Binary features by row, and dense columns beside them."""
+
+    def __init__(self, rows: list[np.ndarray], width: int, dense: np.ndarray):
+        self.cols = np.concatenate([*rows, np.empty(0, np.int64)])
+        self.lens = np.array([len(r) for r in rows], np.int64)
+        self.owner = np.repeat(np.arange(len(rows)), self.lens)
+        self.rows, self.width, self.dense = rows, width, dense
+
+    def take(self, keep: np.ndarray) -> _Rows:
+        return _Rows([self.rows[i] for i in np.nonzero(keep)[0]], self.width, self.dense[keep])
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        z = np.bincount(self.owner, w[self.cols], len(self.rows))
+        return z + self.dense @ w[self.width:-1] + w[-1]
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(self.cols, r[self.owner], self.width), r @ self.dense, [r.sum()]])
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _fit(x: _Rows, y: np.ndarray) -> np.ndarray:
+    """Weights, the bias last: full-batch gradient descent, step sizes by the
+    past gradients of each weight."""
+    w = np.zeros(x.width + x.dense.shape[1] + 1)
     if not len(y):
         w[-1] = -30.0
         return w
@@ -64,61 +97,82 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return w
     past = np.full_like(w, 1e-8)
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
-        g = np.append(x.T @ (p - y) / len(y) + PENALTY * w[:-1], (p - y).mean())
+        g = x.back(_sigmoid(x.dot(w)) - y) / len(y) + PENALTY * w
         past += g * g
-        w -= RATE * g / np.sqrt(past) / 4
+        w -= RATE / 4 * g / np.sqrt(past)
     return w
 
 
-def _apply(w: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
-
-
 class Chain:
-    """``vocabulary`` (word to column) and a weight row per model: words, then
-    the probabilities of the models before it, then the bias."""
+    """``vocabulary`` (feature to column) and a weight vector per model:
+    features, then the probabilities of the models before it, then the bias."""
 
     def __init__(self, vocabulary: dict[str, int], models: list[np.ndarray]):
         self.vocabulary, self.models = vocabulary, models
         n = len(vocabulary)
-        self.words = np.array([m[:n] for m in models], np.float64).reshape(len(models), n)
+        self.weights = np.array([m[:n] for m in models], np.float64).reshape(len(models), n)
+        self.known: dict[str, list[int]] = {}
+
+    def columns(self, words: set[str]) -> list[int]:
+        known, out = self.known, set()
+        for w in words:
+            cols = known.get(w)
+            if cols is None:
+                if len(known) >= WORD_MEMORY:
+                    known.clear()
+                cols = known[w] = [c for f in features_of(w) if (c := self.vocabulary.get(f)) is not None]
+            if cols:
+                out.update(cols)
+        return sorted(out)
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         n = len(self.vocabulary)
-        get, known = self.vocabulary.get, self.vocabulary.keys()
         out = np.zeros((len(texts), len(self.models)))
-        for i, t in enumerate(texts):
-            cols = [get(w) for w in known & words_of(t)]
-            base = self.words[:, cols].sum(axis=1)
-            for k, m in enumerate(self.models):
-                z = base[k] + m[n:n + k] @ out[i, :k] + m[-1]
-                out[i, k] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        base = np.array([self.weights[:, self.columns(words_of(t))].sum(axis=1) for t in texts])
+        for k, m in enumerate(self.models if len(texts) else ()):
+            out[:, k] = _sigmoid(base[:, k] + out[:, :k] @ m[n:n + k] + m[-1])
         return out
 
 
+def _vocabulary(bags: list[set[str]], toxic: list[int]) -> dict[str, int]:
+    """Features by how far their shares in toxic and other documents are apart,
+    in standard errors."""
+    seen: Counter[str] = Counter()
+    bad: Counter[str] = Counter()
+    for bag, t in zip(bags, toxic):
+        own = {f for w in bag for f in features_of(w)}
+        seen.update(own)
+        if t:
+            bad.update(own)
+    n1 = max(1, sum(toxic))
+    n0 = max(1, len(toxic) - n1)
+
+    def apart(f: str) -> float:
+        p = seen[f] / (n0 + n1)
+        error = math.sqrt(max(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
+        return abs(bad[f] / n1 - (seen[f] - bad[f]) / n0) / error
+
+    score = {f: apart(f) for f, c in seen.items() if c >= MIN_DOCS}
+    return {f: i for i, f in enumerate(sorted(score, key=lambda f: (-score[f], f))[:MAX_FEATURES])}
+
+
 def train(texts: list[str], toxic: list[int]) -> Chain:
     bags = [words_of(t) for t in texts]
-    seen = Counter(w for b in bags for w in b)
-    in_toxic = Counter(w for b, t in zip(bags, toxic) if t for w in b)
-    n_toxic, n = max(1, sum(toxic)), max(1, len(toxic) - sum(toxic))
-    gap = {w: abs(in_toxic[w] / n_toxic - (c - in_toxic[w]) / n) for w, c in seen.items() if c >= MIN_DOCS}
-    vocabulary = {w: i for i, w in enumerate(sorted(gap, key=lambda w: (-gap[w], w))[:MAX_WORDS])}
-    x = np.zeros((len(bags), len(vocabulary)), np.float32)
-    for row, b in zip(x, bags):
-        row[[vocabulary[w] for w in b if w in vocabulary]] = 1
+    vocabulary = _vocabulary(bags, toxic)
+    finder = Chain(vocabulary, [])
+    rows = [np.array(finder.columns(b), np.int64) for b in bags]
     y = np.array(toxic, np.float64)
-    labels = [y * np.array([not b.isdisjoint(seeds) for b in bags], np.float64).reshape(-1)
+    labels = [y * np.array([not b.isdisjoint(seeds) for b in bags], np.float64)
               for seeds in CATEGORIES.values()] + [y]
     part = np.arange(len(y)) % FOLDS
+    x = _Rows(rows, len(vocabulary), np.zeros((len(y), 0)))
     models = []
     for label in labels:
         models.append(_fit(x, label))
-        apart = np.zeros(len(y), np.float32)
+        apart = np.zeros(len(y))
         for f in range(FOLDS):
-            if (part == f).any():
-                apart[part == f] = _apply(_fit(x[part != f], label[part != f]), x[part == f])
-        x = np.hstack([x, apart[:, None]])
+            apart[part == f] = _sigmoid(x.take(part == f).dot(_fit(x.take(part != f), label[part != f])))
+        x = _Rows(rows, len(vocabulary), np.hstack([x.dense, apart[:, None]]))
     return Chain(vocabulary, models)
 
 
