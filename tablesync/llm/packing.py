@@ -7,10 +7,14 @@ is made from the histogram of lengths (below ``seq_len`` entries, whatever the
 number of pieces):
 
 1. for each length, longest first, the gap it leaves is looked up among the
-   single lengths, pair sums and triple sums available; a combination that
-   fills the gap exactly is consumed as often as the counts allow;
+   single lengths available, then in further rounds among pair sums and triple
+   sums; a combination that fills the gap exactly is consumed as often as the
+   counts allow;
 2. what is left goes best-fit, longest first, into the tightest open gap.
 
+Using up small pieces in exact triples may cost more than it gains, so the plan
+is also made with fewer rounds, and the one with the fewest sequences is taken.
+
 A step takes all equal pieces at once.  Pieces get a rank within their length
 (row numbers within salted parts of a length plus the parts' running counts, so
 a length that a third of all pieces share is dealt to many tasks), and the rank
@@ -106,47 +110,42 @@ def _often(avail: np.ndarray, *parts) -> np.ndarray:
     return np.minimum.reduce([avail[p] // sum((q == p).astype(np.int64) for q in parts) for p in parts])
 
 
-def _complement(avail: np.ndarray, n: int, gap: int) -> tuple[list[int], int]:
-    """The lengths that with ``n`` fill a sequence, one, two or three of them,
-    that can be taken most often; and how often."""
-    if gap == 0:
-        return [n], int(avail[n])
-    k = int(_often(avail, np.array([n]), np.array([gap]))[0])
-    if k:
-        return [n, gap], k
-    a = np.arange(1, gap // 2 + 1)
-    a = a[(avail[a] > 0) & (avail[gap - a] > 0)]
-    if len(a):
-        k = _often(avail, n, a, gap - a)
-        if k.max() > 0:
-            i = int(k.argmax())
-            return [n, int(a[i]), gap - int(a[i])], int(k[i])
-    have = np.nonzero(avail[:gap])[0]
-    a, b = have[:, None], have[None, :]
-    c = gap - a - b
-    i, j = np.nonzero((a <= b) & (b <= c) & (avail[np.maximum(c, 0)] > 0) & (c > 0))
-    if len(i):
-        a, b = have[i], have[j]
-        k = _often(avail, n, a, b, gap - a - b)
-        if k.max() > 0:
-            m = int(k.argmax())
-            return [n, int(a[m]), int(b[m]), gap - int(a[m]) - int(b[m])], int(k[m])
-    return [], 0
-
-
-def make_plan(counts: dict[int, int], seq_len: int = SEQ_LEN) -> Plan:
-    avail = np.zeros(seq_len + 1, np.int64)
-    for n, c in counts.items():
-        avail[n] += c
-    plan = Plan()
-    for n in range(seq_len, 0, -1):
-        while avail[n]:
-            lengths, times = _complement(avail, n, seq_len - n)
-            if not times:
-                break
-            plan.add(lengths, times)
-            for x in lengths:
-                avail[x] -= times
+def _complement(avail: np.ndarray, n: int, gap: int, parts: int) -> tuple[list[int], int]:
+    """``parts`` lengths that with ``n`` fill a sequence: those that can be
+    taken most often; and how often."""
+    if parts == 0:
+        return ([n], int(avail[n])) if gap == 0 else ([], 0)
+    if parts == 1:
+        found = np.array([[gap]])
+    elif parts == 2:
+        a = np.arange(1, gap // 2 + 1)
+        a = a[(avail[a] > 0) & (avail[gap - a] > 0)]
+        found = np.stack([a, gap - a])
+    else:
+        have = np.nonzero(avail[:gap])[0]
+        a, b = have[:, None], have[None, :]
+        c = gap - a - b
+        i, j = np.nonzero((a <= b) & (b <= c) & (c > 0) & (avail[np.maximum(c, 0)] > 0))
+        found = np.stack([have[i], have[j], gap - have[i] - have[j]])
+    if gap == 0 or not found.shape[1]:
+        return [], 0
+    k = _often(avail, n, *found)
+    i = int(k.argmax())
+    return [n, *map(int, found[:, i])], int(k[i])
+
+
+def _plan(avail: np.ndarray, seq_len: int, depth: int) -> Plan:
+    """Exact fills of up to ``depth`` complements, then best-fit."""
+    avail, plan = avail.copy(), Plan()
+    for parts in range(depth + 1):
+        for n in range(seq_len, 0, -1):
+            while avail[n]:
+                lengths, times = _complement(avail, n, seq_len - n, parts)
+                if not times:
+                    break
+                plan.add(lengths, times)
+                for x in lengths:
+                    avail[x] -= times
     # best-fit of the rest: bins with the same content are one entry
     gaps: dict[int, list[tuple[list[int], int]]] = {}
     for n in range(seq_len, 0, -1):
@@ -167,6 +166,15 @@ def make_plan(counts: dict[int, int], seq_len: int = SEQ_LEN) -> Plan:
     return plan
 
 
+def make_plan(counts: dict[int, int], seq_len: int = SEQ_LEN) -> Plan:
+    """The plan with the fewest sequences, over how many complements an exact
+    fill may have (three at most, none: best-fit alone)."""
+    avail = np.zeros(seq_len + 1, np.int64)
+    for n, c in counts.items():
+        avail[n] += c
+    return min((_plan(avail, seq_len, depth) for depth in (3, 2, 1, 0)), key=lambda p: p.sequences)
+
+
 def pack(pieces: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``."""
     pieces = stage(pieces.withColumn("no", F.monotonically_increasing_id()), "pieces")
