@@ -86,8 +86,8 @@ def page(rng: random.Random) -> list[Part]:
         parts.append((f"<h1>{_words(rng, 1, 10)}</h1>", True))
     for _ in range(rng.choice((1, 2, 3, 5, 8, 12))):
         parts.append((_fill(rng, rng.choice(BODY)), True))
-        if rng.random() < 0.08:
-            parts += maybe(0.7, rng.choice((ADVERT, SIDE, FORM, NOTICE)))
+        if rng.random() < 0.25:
+            parts += maybe(0.9, rng.choice((ADVERT, SIDE, FORM, NOTICE)))
     if rng.random() < 0.15:
         parts += maybe(1.0, COMMENT)
     parts.append((CLOSE[kind], False))
