@@ -1,8 +1,11 @@
-"""Row hash (PR-10): MD5 over the name-sorted, canonical text of a row.
+"""Row hash (PR-10): MD5 over the name-sorted, canonical text of a row's data.
 
-Canonical text per type is chosen so that any engine can reproduce it:
-doubles via DECIMAL(38,6), timestamps with six fractional digits, NULL as the
-text ``NULL``.  Columns are joined by the unit separator (0x1F).
+Canonical text is exact and any engine can reproduce it: a double is its sign,
+53-bit mantissa and binary exponent (NaN, infinities and zero by name), a
+timestamp has six fractional digits.  NULL is ``N``, any other value ``V``, the
+length of its text, ``:`` and the text, so no text can pass for NULL or for two
+columns.  System columns are left out (but for the tenant): the same data
+hashes alike whatever run loaded it.
 """
 
 from __future__ import annotations
@@ -14,13 +17,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HASH_SEP = "\x1f"
-NULL_TEXT = "NULL"
-DEFAULT_EXCLUDE = ("sync_timestamp", "data_hash")
+NULL_MARK = "N"
+DEFAULT_EXCLUDE = ("sync_timestamp", "sync_mode", "sync_date", "key_bucket", "data_hash")
+
+
+def double_text(c: Column) -> Column:
+    """Exact text of a double: mantissa ``p`` exponent.  ``log2`` may be off by
+    one near a power of two; scaling by a power of two is exact, so the
+    mantissa says so and both are put right."""
+    a = F.nullif(F.abs(c), F.lit(0.0))
+    e = F.floor(F.log2(a))
+    m = a / F.pow(F.lit(2.0), e)
+    shift = F.when(m >= 2, 1).when(m < 1, -1).otherwise(0)
+    mantissa = (m / F.pow(F.lit(2.0), shift) * F.lit(float(1 << 52))).cast("bigint")
+    return (F.when(F.isnan(c), F.lit("nan"))
+            .when(F.abs(c) == float("inf"), F.when(c > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when(c == 0, F.lit("0"))
+            .when(c.isNotNull(), F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), mantissa.cast("string"),
+                                          F.lit("p"), (e + shift).cast("bigint").cast("string"))))
 
 
 def canonical_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        txt = c.try_cast(T.DecimalType(38, 6)).cast("string")
+        txt = double_text(c.cast("double"))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         txt = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif isinstance(dtype, T.DateType):
@@ -31,7 +50,8 @@ def canonical_text(c: Column, dtype: T.DataType) -> Column:
         txt = F.when(c, F.lit("true")).when(~c, F.lit("false"))
     else:
         txt = c.cast("string")
-    return F.coalesce(txt, F.lit(NULL_TEXT))
+    marked = F.concat(F.lit("V"), F.length(txt).cast("string"), F.lit(":"), txt)
+    return F.coalesce(marked, F.lit(NULL_MARK))
 
 
 def hash_columns(df: DataFrame, exclude: Iterable[str] = DEFAULT_EXCLUDE) -> list[str]:

@@ -67,6 +67,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
             .where(F.col("_rn") == 1).select(*[F.col(f"`{c}`") for c in cols]))
 
 
+def one_per_key(source: DataFrame, keys: Sequence[str], latest_by: str | None = None,
+                strict: bool = False) -> DataFrame:
+    """The source of a merge with one row per key: the newest by ``latest_by``
+    (without it, by the row itself).  ``strict`` raises on a repeated key
+    instead.  Rows with a NULL key match nothing and all stay."""
+    nulls = any_null(keys)
+    keyed = source.where(~nulls)
+    if strict:
+        if not duplicate_keys(keyed, keys).isEmpty():
+            raise ValueError(f"the source of the merge repeats a key ({', '.join(keys)})")
+        return source
+    return latest_per_key(keyed, keys, latest_by or keys[0]).unionByName(source.where(nulls))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (for strict merges)."""
     return df.groupBy(*keys).count().where(F.col("count") > 1)
@@ -74,14 +88,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- J-01 / J-02
 def merge_on_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 tenant_col: str | None = TENANT, latest_by: str | None = None) -> DataFrame:
+                 tenant_col: str | None = TENANT, latest_by: str | None = None,
+                 strict: bool = False) -> DataFrame:
     """J-01: upsert on key + tenant: matched target rows are replaced by the
     source row (every non-key column updated), unmatched source rows inserted.
 
-    ``latest_by`` first reduces the source to one row per key (W-05); without
-    it, a key repeated in the source inserts each of its rows."""
+    The source is first reduced to one row per key (W-05, newest by
+    ``latest_by``); ``strict`` raises on a repeated key instead."""
     ks = _keys(keys, tenant_col)
-    src = latest_per_key(source, ks, latest_by) if latest_by else source
+    src = one_per_key(source, ks, latest_by, strict)
     src = src.select(*target.columns) if set(target.columns) <= set(src.columns) else src
     kept = _anti_on(target, src.select(*ks), ks)
     return src.unionByName(kept, allowMissingColumns=True)
@@ -154,19 +169,26 @@ def existing_hashes(target: DataFrame, tenant: str | None = None, hash_col: str
     return t.where(F.col(hash_col).isNotNull()).select(tenant_col, hash_col).distinct()
 
 
+def _known(target: DataFrame, hash_col: str, tenant_col: str) -> tuple[DataFrame, Column]:
+    """(tenant, hash) of the target's rows and the join condition; a NULL
+    tenant is a tenant like any other."""
+    have = target.where(F.col(hash_col).isNotNull()).select(
+        F.col(tenant_col).alias("_known_tenant"), F.col(hash_col).alias("_known_hash"))
+    return have, ((F.col(hash_col) == F.col("_known_hash"))
+                  & F.col(tenant_col).eqNullSafe(F.col("_known_tenant")))
+
+
 def append_new_by_hash(target: DataFrame, source: DataFrame, hash_col: str = "data_hash",
                        tenant_col: str = TENANT) -> DataFrame:
     """J-06: source rows whose hash is not yet in the target for their
     tenant.  Duplicates inside the source are all kept (as the reference)."""
-    have = target.where(F.col(hash_col).isNotNull()).select(tenant_col, hash_col)
-    return source.join(have, [tenant_col, hash_col], "left_anti")
+    return source.join(*_known(target, hash_col, tenant_col), "left_anti")
 
 
 def already_present_rows(target: DataFrame, source: DataFrame, hash_col: str = "data_hash",
                          tenant_col: str = TENANT) -> DataFrame:
     """J-07: source rows whose (tenant, hash) already exists in the target."""
-    have = target.where(F.col(hash_col).isNotNull()).select(tenant_col, hash_col)
-    return source.join(have, [tenant_col, hash_col], "left_semi")
+    return source.join(*_known(target, hash_col, tenant_col), "left_semi")
 
 
 # ---------------------------------------------------------------- J-08

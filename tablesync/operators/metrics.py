@@ -120,8 +120,8 @@ def changes_per_hour(df: DataFrame, column: str, since: datetime | date | str) -
 # ---------------------------------------------------------------- A-13
 def append_outcome(target: DataFrame, source: DataFrame, hash_col: str = "data_hash",
                    tenant_col: str = TENANT) -> DataFrame:
-    """A-13: per tenant and in total (tenant NULL): source rows, new rows
-    (hash absent from the target) and duplicates (hash present)."""
+    """A-13: per tenant and in total (``is_total``; its tenant is NULL): source
+    rows, new rows (hash absent from the target) and duplicates."""
     return outcome_of_flags(flag_present(target, source, hash_col, tenant_col), tenant_col)
 
 
@@ -132,14 +132,18 @@ def flag_present(target: DataFrame, source: DataFrame, hash_col: str = "data_has
     never multiplies source rows."""
     have = (target.where(F.col(hash_col).isNotNull()).select(tenant_col, hash_col)
             .distinct().withColumn("_dup", F.lit(True)))
-    return (source.join(have, [tenant_col, hash_col], "left")
+    have = have.withColumnsRenamed({tenant_col: "_have_tenant", hash_col: "_have_hash"})
+    same = ((F.col(hash_col) == F.col("_have_hash"))
+            & F.col(tenant_col).eqNullSafe(F.col("_have_tenant")))
+    return (source.join(have, same, "left").drop("_have_tenant", "_have_hash")
             .withColumn("_dup", F.coalesce(F.col("_dup"), F.lit(False))))
 
 
 def outcome_of_flags(flagged: DataFrame, tenant_col: str = TENANT) -> DataFrame:
     dup = F.col("_dup")
     return (flagged.rollup(tenant_col)
-            .agg(F.count(F.lit(1)).alias("source_rows"),
+            .agg((F.grouping(tenant_col) == 1).alias("is_total"),
+                 F.count(F.lit(1)).alias("source_rows"),
                  F.count_if(~dup).alias("new_rows"),
                  F.count_if(dup).alias("duplicate_rows")))
 
@@ -151,8 +155,8 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str],
     the source), ``extra`` (only in the target), ``changed`` (different
     content hash), ``same``; counts per tenant and class.
 
-    Each side is first reduced to one row per (key, tenant) (count and hash
-    range, partial aggregation), then one 1:1 full outer join: a repeated key
+    Each side is first reduced to one row per (key, tenant) (count, sum and xor
+    of the hashes, partial aggregation), then one 1:1 full outer join: a repeated key
     never emits pairs, no tenant becomes a single task, and rows without a
     key bypass the join (they count as missing or extra)."""
     ks = list(keys) + ([tenant_col] if tenant_col not in keys else [])
@@ -163,18 +167,19 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str],
         nulls = nulls | F.col(k).isNull()
 
     def per_key(df, p):
-        # one row per key and side (count + hash range), so a key repeated
-        # many times is compared once instead of emitting all pairs
+        # one row per key and side (count, sum and xor of its rows' hashes, in
+        # any order), so a key repeated many times is compared once
         # 64-bit fingerprint of the canonical row hash: fixed-width longs
         # keep the per-key aggregate a HashAggregate
         h = df.where(~nulls).select(*ks, F.xxhash64(row_hash(df, columns=cols)).alias("_h"))
-        return h.groupBy(*ks).agg(F.count(F.lit(1)).alias(f"{p}n"), F.min("_h").alias(f"{p}lo"),
-                                  F.max("_h").alias(f"{p}hi"))
+        return h.groupBy(*ks).agg(F.count(F.lit(1)).alias(f"{p}n"),
+                                  F.sum(F.col("_h").cast("decimal(38,0)")).alias(f"{p}sum"),
+                                  F.bit_xor("_h").alias(f"{p}xor"))
     j = per_key(source, "s").join(per_key(target, "t"), ks, "full_outer")
     status = (F.when(F.col("tn").isNull(), F.lit("missing"))
               .when(F.col("sn").isNull(), F.lit("extra"))
-              .when((F.col("sn") != F.col("tn")) | (F.col("slo") != F.col("tlo"))
-                    | (F.col("shi") != F.col("thi")), F.lit("changed"))
+              .when((F.col("sn") != F.col("tn")) | (F.col("ssum") != F.col("tsum"))
+                    | (F.col("sxor") != F.col("txor")), F.lit("changed"))
               .otherwise(F.lit("same")))
     weight = F.greatest(F.coalesce("sn", F.lit(0)), F.coalesce("tn", F.lit(0)))
     keyed = j.groupBy(tenant_col, status.alias("status")).agg(F.sum(weight).alias("row_count"))

@@ -26,14 +26,23 @@ FL_COLS = {"l_orderkey": INT, "l_partkey": INT, "l_suppkey": INT, "l_linenumber"
 
 def _text(col: str, kind: str) -> str:
     if kind == DBL:
-        t = f"CAST(TRY_CAST({col} AS DECIMAL(38,6)) AS VARCHAR)"
+        # sign, 53-bit mantissa, binary exponent: by successive doubling from the
+        # printed exponent of the number's own base-2 logarithm
+        a = f"nullif(abs({col}), 0)"
+        e = f"floor(log2({a}))"
+        m = f"({a} / pow(2.0, {e}))"
+        k = f"(CASE WHEN {m} >= 2 THEN 1 WHEN {m} < 1 THEN -1 ELSE 0 END)"
+        t = (f"CASE WHEN isnan({col}) THEN 'nan' WHEN isinf({col}) THEN CASE WHEN {col} > 0 THEN 'inf' "
+             f"ELSE '-inf' END WHEN {col} = 0 THEN '0' WHEN {col} IS NOT NULL THEN "
+             f"(CASE WHEN {col} < 0 THEN '-' ELSE '' END) || CAST(CAST({m} / pow(2.0, {k}) * 4503599627370496 "
+             f"AS BIGINT) AS VARCHAR) || 'p' || CAST(CAST({e} + {k} AS BIGINT) AS VARCHAR) END")
     elif kind == TS:
         t = f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f')"
     elif kind == INT:
         t = f"CAST({col} AS VARCHAR)"
     else:
         t = col
-    return f"coalesce({t}, 'NULL')"
+    return f"coalesce('V' || length({t}) || ':' || ({t}), 'N')"
 
 
 def hash_sql(cols: dict[str, str], prefix: str = "") -> str:
@@ -411,7 +420,8 @@ O["changes_per_hour"] = with_("fe") + \
     ("SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS hour_bucket, count(*) AS change_count FROM fe "
      "WHERE ts > TIMESTAMP '2024-01-28 00:00:00' GROUP BY 1 ORDER BY 1")
 O["append_outcome"] = with_("hashed_target", "hashed_source") + \
-    ("SELECT s.tenant_id AS tenant_id, count(*) AS source_rows, count(*) FILTER (WHERE h.data_hash IS NULL) "
+    ("SELECT s.tenant_id AS tenant_id, grouping(s.tenant_id) = 1 AS is_total, count(*) AS source_rows, "
+     "count(*) FILTER (WHERE h.data_hash IS NULL) "
      "AS new_rows, count(*) FILTER (WHERE h.data_hash IS NOT NULL) AS duplicate_rows FROM hashed_source s "
      "LEFT JOIN (SELECT DISTINCT tenant_id, data_hash FROM hashed_target WHERE data_hash IS NOT NULL) h "
      "ON h.tenant_id = s.tenant_id AND h.data_hash = s.data_hash GROUP BY ROLLUP (s.tenant_id)")
@@ -513,11 +523,11 @@ O["smart_sync"] = with_("target_orders", "fo_changed", extra=[
      anti("target_orders", "s2", ["o_orderkey", "tenant_id"]) + ")")
 O["multitenant_load"] = "SELECT o_orderpriority AS tenant_id, count(*) AS row_count FROM orders GROUP BY 1"
 O["safe_append"] = with_("fo") + \
-    ("SELECT tenant_id, count(*) AS source_rows, "
+    ("SELECT tenant_id, grouping(tenant_id) = 1 AS is_total, count(*) AS source_rows, "
      f"count(*) FILTER (WHERE o_orderdate > {ts(X.ORDERS_LAST)}) AS new_rows, "
      f"count(*) FILTER (WHERE o_orderdate <= {ts(X.ORDERS_LAST)}) AS duplicate_rows "
      "FROM fo GROUP BY ROLLUP (tenant_id)")
-_FO_M = dict(FO_COLS, sync_mode=STR)
+_FO_M = FO_COLS
 O["dedup_merge"] = with_("target_orders", "fo_changed", extra=[
     ("a", f"SELECT *, {ts(X.ORDERS_LAST)} AS sync_timestamp, 'FULL' AS sync_mode FROM target_orders"),
     ("b", f"SELECT *, {ts(X.RUN_TIME)} AS sync_timestamp, 'INCREMENTAL' AS sync_mode FROM fo_changed "

@@ -22,7 +22,6 @@ from ..operators.metrics import flag_present, outcome_of_flags, rows_per_tenant
 from ..operators.transform import add_system_columns, align_to_target
 from ..sinks import writers as W
 from ..sources import scans as S
-from ..session import path_exists
 from .control import status_record
 
 TENANT = "tenant_id"
@@ -57,7 +56,11 @@ def _window_rows(source: DataFrame, plan: DataFrame, column: str, now) -> DataFr
     if isinstance(dt, T.IntegralType):
         start = F.unix_timestamp(start)
     incr = plan.where(F.col("sync_mode") == "INCREMENTAL").select(TENANT, "safe_start")
-    return (source.where(F.col(column) <= bound_for(dt, now))
+    # the widest window as a literal: it reaches the scan, the join's bound can't
+    low = incr.agg(F.min("safe_start")).first()[0]
+    if low is None:
+        return source.limit(0)
+    return (source.where((F.col(column) > bound_for(dt, low)) & (F.col(column) <= bound_for(dt, now)))
             .join(incr, TENANT, "inner")
             .where(F.col(column) > start)
             .drop("safe_start"))
@@ -79,8 +82,10 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
     rewrite only the buckets their changes touch; FULL tenants are replaced
     whole and lose buckets they no longer have."""
     spark = source.sparkSession
-    plan = plan.select(TENANT, "sync_mode", "safe_start")
-    full = source.join(plan.where(F.col("sync_mode") == "FULL").select(TENANT), TENANT, "left_semi")
+    # staged: the decisions are few rows of a known size, and are taken once
+    plan = W.stage(plan.select(TENANT, "sync_mode", "safe_start"), "plan")
+    full_tenants = [r[0] for r in plan.where(F.col("sync_mode") == "FULL").select(TENANT).collect()]
+    full = W.prune_to_tenants(source, full_tenants)
     full = add_system_columns(full, None, run_time, "FULL")
     if watermark is not None:
         incr = _window_rows(source, plan, watermark, run_time)
@@ -96,7 +101,7 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
         parts = (TENANT, bucket_col)
     changes = W.stage(both, "changes")
 
-    exists = path_exists(spark, target_path)
+    exists = W.existing_schema(spark, target_path) is not None
     incr_changes = changes.where(F.col("sync_mode") == "INCREMENTAL")
     full_changes = changes.where(F.col("sync_mode") == "FULL")
     if exists:
@@ -109,25 +114,26 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
             t = W.prune_to_pairs(target, incr_changes, bucket_col)
         src = align_to_target(incr_changes, target.schema)
         if keys:
-            merged = M.merge_on_key(t, src, keys)
+            merged = M.merge_on_key(t, src, keys, latest_by=watermark)
         else:
             merged = t.unionByName(M.append_new_by_hash(t, src))
         result = align_to_target(full_changes, target.schema).unionByName(merged)
     else:
         result = None
     # the first load writes the staged changes as they are
+    if result is None and keys:
+        result = full_changes.unionByName(M.one_per_key(incr_changes, [*keys, TENANT], watermark))
     staged = changes if result is None else W.stage(result, "result")
     W.overwrite_partitions(staged, target_path, parts, watermark)
 
     # FULL tenants without source rows must not keep stale rows (Q8)
-    full_tenants = [r[0] for r in plan.where(F.col("sync_mode") == "FULL").select(TENANT).collect()]
     written = {r[0] for r in staged.select(TENANT).distinct().collect()}
     W.drop_tenant_partitions(spark, target_path, [t for t in full_tenants if t not in written])
     replaced = [t for t in full_tenants if t in written]
     if bucket is not None and exists and replaced:
         # bucket partitions just written for the replaced tenants: as many
         # as their partition directories, which the clean-up lists anyway
-        pairs = {(r[0], r[1]) for r in staged.where(F.col(TENANT).isin(replaced))
+        pairs = {(r[0], r[1]) for r in W.prune_to_tenants(staged, replaced)
                  .select(TENANT, bucket_col).distinct().collect()}
         W.drop_stale_buckets(spark, target_path, replaced, pairs, bucket_col)
 
@@ -176,7 +182,7 @@ def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
             return spec["plan"].select(
                 TENANT, F.lit(name).alias("table_name"), "sync_mode",
                 F.lit(0).cast("bigint").alias("records_synced"), F.lit("FAILED").alias("status"),
-                F.lit(str(exc)[:500]).alias("error_message"))
+                F.lit(str(exc)).alias("error_message"))
 
     if parallel > 1:
         from concurrent.futures import ThreadPoolExecutor
@@ -241,7 +247,7 @@ def dedup_merge(source: DataFrame, target_path: str, run_time: datetime | str,
     """P-05: rows newer than the last load (SC-06) -> system columns + hash
     -> merge on the key alone (J-02) or on hash + tenant (J-03)."""
     spark = source.sparkSession
-    if path_exists(spark, target_path) and incremental_field:
+    if W.existing_schema(spark, target_path) is not None and incremental_field:
         target = spark.read.parquet(target_path)
         src = S.since_last_load(source, target, incremental_field)
     else:
@@ -270,6 +276,14 @@ def legacy_incremental(source: DataFrame, target_path: str, run_time: datetime |
     ``bootstrap_hours`` only (SC-05) -> merge on (timestamp, tenant) (J-04),
     or the schema-tolerant merge over shared columns (J-05)."""
     spark = source.sparkSession
+    if W.existing_schema(spark, target_path) is None:
+        # first run: the recent rows of every tenant, one per key of the later merges
+        first = add_system_columns(S.bootstrap_recent(source, watermark, run_time, bootstrap_hours),
+                                   None, run_time, "INCREMENTAL")
+        merge_key = (key or watermark) if shared_columns else watermark
+        W.overwrite_partitions(M.one_per_key(first, [merge_key, TENANT], watermark), target_path,
+                               (TENANT,), watermark)
+        return
     target = spark.read.parquet(target_path)
     with_hist = S.lookback_scan(source, target, watermark, lookback_hours)
     known = S.last_value_per_tenant(target, watermark).select(TENANT)
@@ -321,9 +335,14 @@ def smart_sync(sources: Mapping[str, DataFrame], target_root: str, run_time: dat
     specs = {}
     for table, src in sources.items():
         tp = plan.where(F.col("table_name") == table)
+        chosen = tp.select(TENANT, "sync_mode", "safe_start")
+        if force_full:
+            # tenants that the history knows and the source has no rows of: emptied
+            known = history.where(F.col("table_name") == table).select(TENANT).distinct()
+            chosen = chosen.unionByName(full_plan(known.join(chosen, TENANT, "left_anti")))
         wm = [r[0] for r in tp.select("watermark_column").distinct().collect() if r[0] is not None]
         specs[table] = dict(source=src, target_path=f"{target_root.rstrip('/')}/{table}",
-                            plan=tp.select(TENANT, "sync_mode", "safe_start"),
+                            plan=chosen,
                             watermark=wm[0] if wm else None, keys=list((keys or {}).get(table, [])))
     stats, records = sync_all(specs, run_time, parallel)
     if control_path:

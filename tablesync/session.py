@@ -59,16 +59,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    If the cluster did not name one (local tests), set one under the system
-    temp folder so ``DataFrame.checkpoint()`` works too.
+    If none is named, a local session (tests) gets one under the system temp
+    folder; on a cluster that would be a folder of one machine, so it raises.
     """
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if cur:
         return cur.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="tablesync-ckpt-")
     sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
     return (sc.getCheckpointDir() or path).rstrip("/")
 
 

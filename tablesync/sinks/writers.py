@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import with_row_hash
-from ..operators.merge import latest_per_key, merge_on_key
+from ..operators.merge import merge_on_key, one_per_key
 from ..operators.transform import align_to_target
 from ..session import path_exists, scratch_path
 
@@ -69,21 +69,30 @@ def touched_tenants(df: DataFrame, col: str = TENANT) -> list:
 
 
 def prune_to_tenants(target: DataFrame, tenants: list, col: str = TENANT) -> DataFrame:
-    """Partition filter on the target's tenant column (``PartitionFilters``)."""
+    """Partition filter on the target's tenant column (``PartitionFilters``);
+    NULL is a tenant like any other."""
     if not tenants:
         return target.limit(0)
-    return target.where(F.col(col).isin(tenants))
+    return target.where(_among(col, tenants))
+
+
+def _among(col: str, values: list) -> Column:
+    some = F.col(col).isin([v for v in values if v is not None])
+    return some | F.col(col).isNull() if None in values else some
 
 
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of the table at ``path``; None when there is no table or it
-    holds no data file yet (an empty partitioned table has none)."""
+    holds no data file yet (an empty partitioned table has none).  Any other
+    fault of the table is raised."""
     if not path_exists(spark, path):
         return None
     try:
         return spark.read.parquet(path).schema
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if (exc.getCondition() or "").startswith("UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def is_empty(spark: SparkSession, path: str) -> bool:
@@ -152,14 +161,32 @@ def with_sync_date(df: DataFrame, column: str = "sync_timestamp") -> DataFrame:
 # ---------------------------------------------------------------- SK-05
 def drop_tenant_partitions(spark: SparkSession, path: str, tenants: Sequence[str]) -> None:
     """Remove whole tenant partitions (used when a replacement is empty)."""
-    fs, root = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
+    fs, _ = _fs(spark, path)
     for t in tenants:
-        p = jvm.org.apache.hadoop.fs.Path(root, f"{TENANT}={t}")
+        p = _partition_path(spark, path, TENANT, t)
         if fs.exists(p):
             fs.delete(p, True)
 
 
+def _partition_path(spark: SparkSession, path: str, col: str, value):
+    """The folder Spark gives a partition value (escaped; NULL has its own),
+    which is always a child of ``path``."""
+    _, root = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    p = jvm.org.apache.hadoop.fs.Path(root, utils.getPartitionPathString(col, value))
+    if p.getParent() is None or p.getParent().toString() != root.toString():
+        raise ValueError(f"partition {col}={value!r} is no folder of {path}")
+    return p
+
+
+def _partition_value(spark: SparkSession, name: str):
+    """The value of a partition folder's name."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    value = name.split("=", 1)[1]
+    return None if value == utils.DEFAULT_PARTITION_NAME() else utils.unescapePathName(value)
+
+
 def prune_to_pairs(target: DataFrame, changes: DataFrame, bucket_col: str) -> DataFrame:
     """Target rows of the (tenant, bucket) partitions present in ``changes``:
     static partition filters on both columns (a superset), then an exact
@@ -167,26 +194,26 @@ def prune_to_pairs(target: DataFrame, changes: DataFrame, bucket_col: str) -> Da
     The driver sees only the distinct tenants and the distinct buckets, each
     bounded by its own count, never their product."""
     pairs = changes.select(TENANT, bucket_col).distinct()
-    tenants = sorted(t for t in touched_tenants(pairs) if t is not None)
-    buckets = sorted(b for b in touched_tenants(pairs, bucket_col) if b is not None)
-    t = prune_to_tenants(target, tenants).where(F.col(bucket_col).isin(buckets))
-    return t.join(pairs, [TENANT, bucket_col], "left_semi")
+    t = prune_to_tenants(target, touched_tenants(pairs))
+    t = prune_to_tenants(t, touched_tenants(pairs, bucket_col), bucket_col)
+    pairs = pairs.select(F.col(TENANT).alias("_pair_tenant"), F.col(bucket_col).alias("_pair_bucket"))
+    return t.join(pairs, F.col(TENANT).eqNullSafe(F.col("_pair_tenant"))
+                  & F.col(bucket_col).eqNullSafe(F.col("_pair_bucket")), "left_semi")
 
 
 def drop_stale_buckets(spark: SparkSession, path: str, tenants: Sequence[str],
                        written: set, bucket_col: str) -> None:
     """After a FULL replacement of ``tenants`` in a bucketed table, remove
     the bucket partitions those tenants had before and no longer have."""
-    fs, root = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
+    fs, _ = _fs(spark, path)
     for t in tenants:
-        tdir = jvm.org.apache.hadoop.fs.Path(root, f"{TENANT}={t}")
+        tdir = _partition_path(spark, path, TENANT, t)
         if not fs.exists(tdir):
             continue
         for st in fs.listStatus(tdir):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith(f"{bucket_col}="):
-                if (t, name.split("=", 1)[1]) not in written:
+                if (t, _partition_value(spark, name)) not in written:
                     fs.delete(st.getPath(), True)
 
 
@@ -231,7 +258,7 @@ def replace_tenant(source: DataFrame, path: str, tenants: Sequence[str] | None =
     if schema is not None:
         source = align_to_target(source, schema)
     if tenants is not None:
-        source = source.where(F.col(TENANT).isin(list(tenants)))
+        source = source.where(_among(TENANT, list(tenants)))
     staged = stage(source, "replace")
     overwrite_partitions(staged, path, (TENANT,), sort_col)
     if tenants is not None:
@@ -262,7 +289,7 @@ def merge_into_table(source: DataFrame, path: str, keys: Sequence[str],
     if bucket is not None:
         source = source.withColumn(bucket_col, bucket.cast("string"))
     if existing_schema(spark, path) is None:
-        first = latest_per_key(source, list(keys) + [TENANT], latest_by) if latest_by else source
+        first = one_per_key(source, list(keys) + [TENANT], latest_by)
         overwrite_partitions(first, path, parts, sort_col)
         return
     target = spark.read.parquet(path)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks.writers import merge_into_table
@@ -33,13 +32,11 @@ def upsert_batch(target_path: str, keys: Sequence[str], latest_by: str | None,
 def stream_upsert(spark: SparkSession, input_path: str, schema: T.StructType, target_path: str,
                   keys: Sequence[str], latest_by: str | None = None,
                   checkpoint: str | None = None, files_per_batch: int | None = None,
-                  event_time: str | None = None, dedup_delay: str | None = None,
                   bucket: Column | None = None) -> None:
     """Run the upsert stream over everything available now, then stop.
 
-    ``event_time`` + ``dedup_delay``: drop rows delivered twice inside the
-    lookback before merging (``dropDuplicatesWithinWatermark``); the column
-    is cast to ``timestamp`` because watermarks reject naive timestamps.
+    Rows delivered twice, and older versions of a row, are reduced to the newest
+    by ``latest_by`` in each batch (W-05); late rows are merged, never dropped.
 
     ``files_per_batch``: optional cap on files per micro-batch; by default a
     batch takes every file available (few large merges instead of one merge,
@@ -48,11 +45,6 @@ def stream_upsert(spark: SparkSession, input_path: str, schema: T.StructType, ta
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.parquet(input_path)
-    if event_time and dedup_delay:
-        stream = (stream.withColumn("_wm", F.col(event_time).cast("timestamp"))
-                  .withWatermark("_wm", dedup_delay)
-                  .dropDuplicatesWithinWatermark(list(keys))
-                  .drop("_wm"))
     q = (stream.writeStream
          .foreachBatch(upsert_batch(target_path, keys, latest_by, bucket))
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))

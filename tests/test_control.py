@@ -157,13 +157,20 @@ def test_legacy_incremental_schema_tolerant(spark, tmp_table):
     assert out.groupBy("event_id", "tenant_id").count().where("count > 1").count() == 0
 
 
-def test_stream_drops_duplicates_within_watermark(spark, tmp_table):
+def test_stream_keeps_tenants_newest_and_late_rows(spark, tmp_table):
+    """Rows delivered twice, a key in two tenants, an updated value, a late row."""
     inp, out = tmp_table("sdin"), tmp_table("sdout")
-    e = X.fe(spark, SF_SMALL).withColumn("sync_timestamp", F.lit(X.RUN_TIME).cast("timestamp_ntz"))
-    e.unionByName(e).write.parquet(inp)                     # every row delivered twice
-    stream_upsert(spark, inp, e.schema, out, ["event_id"], "sync_timestamp",
-                  event_time="ts", dedup_delay="10 minutes", files_per_batch=1000)
-    assert spark.read.parquet(out).count() == e.count()
+
+    def rows(*r):
+        return spark.sql(" UNION ALL ".join(
+            f"SELECT CAST({k} AS BIGINT) k, '{t}' tenant_id, CAST({v} AS DOUBLE) v, "
+            f"TIMESTAMP_NTZ'{ts}' ts" for k, t, v, ts in r))
+    rows((1, "a", 1.0, "2024-01-01 10:00:00"), (1, "b", 1.0, "2024-01-01 10:00:00"),
+         (1, "a", 9.0, "2024-01-01 10:05:00"), (1, "a", 1.0, "2024-01-01 10:00:00")).write.parquet(inp)
+    df = spark.read.parquet(inp)
+    stream_upsert(spark, inp, df.schema, out, ["k"], "ts", files_per_batch=1000)
+    got = sorted((r["k"], r["tenant_id"], r["v"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "a", 9.0), (1, "b", 1.0)]
 
 
 def test_bucketed_sync_table(spark, tmp_table):

@@ -153,7 +153,7 @@ def test_row_hash_ignores_sync_time_and_column_order(spark):
     hb = with_row_hash(b).collect()[0].data_hash
     assert ha == hb
     import hashlib
-    assert ha == hashlib.md5("id=1\x1fv=x".encode()).hexdigest()
+    assert ha == hashlib.md5("id=V1:1\x1fv=V1:x".encode()).hexdigest()
 
 
 def test_row_hash_recomputed_not_reused(spark):

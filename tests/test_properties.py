@@ -28,9 +28,14 @@ def _bag(df):
 @SETTINGS
 @given(target=rows, source=rows)
 def test_merge_on_key_matches_model(spark, target, source):
-    src_keys = {(k, t) for k, t, _, _ in source if k is not None}
-    model = Counter(source) + Counter(r for r in target if r[0] is None or (r[0], r[1]) not in src_keys)
-    assert _bag(M.merge_on_key(_df(spark, target), _df(spark, source), ["k"])) == model
+    def free(r):                                # a NULL in the key matches nothing
+        return r[0] is None or r[1] is None
+    keyed = [r for r in source if not free(r)]
+    src_keys = {(k, t) for k, t, _, _ in keyed}
+    model = (_latest_model(keyed) + Counter(r for r in source if free(r))
+             + Counter(r for r in target if free(r) or (r[0], r[1]) not in src_keys))
+    got = M.merge_on_key(_df(spark, target), _df(spark, source), ["k"], latest_by="ts")
+    assert _bag(got) == model
 
 
 @SETTINGS
