@@ -234,7 +234,7 @@ def run_stats(spark, d):
 
 def loaded_orders(spark, d):
     """A target loaded twice: all tenants at one time, two tenants again later."""
-    a = add_system_columns(target_orders(spark, d), None, "2024-06-01 00:00:00", "FULL")
+    a = add_system_columns(fo(spark, d), None, "2024-06-01 00:00:00", "FULL")
     b = add_system_columns(source_orders(spark, d).where(F.col("tenant_id").isin("1-URGENT", "2-HIGH")),
                            None, "2024-06-02 12:00:00", "INCREMENTAL")
     return a.unionByName(b)

@@ -132,7 +132,7 @@ FIX["run_stats"] = ("SELECT tenant_id AS database, table_name, sync_status AS st
                     "records_synced, TRY_CAST(updated_at AS TIMESTAMP) AS started_at, "
                     "CAST(records_synced % 120 AS DOUBLE) AS duration_sec FROM history")
 FIX["loaded_orders"] = (
-    "SELECT *, TIMESTAMP '2024-06-01 00:00:00' AS sync_timestamp, 'FULL' AS sync_mode FROM target_orders "
+    "SELECT *, TIMESTAMP '2024-06-01 00:00:00' AS sync_timestamp, 'FULL' AS sync_mode FROM fo "
     "UNION ALL SELECT *, TIMESTAMP '2024-06-02 12:00:00', 'INCREMENTAL' FROM source_orders "
     "WHERE tenant_id IN ('1-URGENT', '2-HIGH')")
 
@@ -142,7 +142,7 @@ DEPS = {
     "dirty_wide": ["dirty"], "hashed_target": ["target_orders"], "hashed_source": ["fo"],
     "narrow_target": ["target_orders"], "current": ["history"], "run_stats": ["history"],
     "current_n": ["history_n"],
-    "loaded_orders": ["target_orders", "source_orders"],
+    "loaded_orders": ["fo", "source_orders"],
 }
 
 
@@ -268,10 +268,10 @@ O["legacy_status_scan"] = with_("current_n") + \
      "error_message, updated_at FROM current_n WHERE table_name <> 'order_status_log'")
 
 # sinks
-O["write_truncate"] = with_("target_orders") + "SELECT * FROM target_orders"
-O["write_append"] = with_("target_orders", "source_orders") + \
-    "SELECT * FROM target_orders UNION ALL SELECT * FROM source_orders"
-O["write_if_empty"] = with_("target_orders") + "SELECT * FROM target_orders"
+O["write_truncate"] = with_("fo") + "SELECT * FROM fo"
+O["write_append"] = with_("fo", "source_orders") + \
+    "SELECT * FROM fo UNION ALL SELECT * FROM source_orders"
+O["write_if_empty"] = with_("fo") + "SELECT * FROM fo"
 O["partitioned_roundtrip"] = with_("fo") + \
     (f"SELECT *, {ts(X.RUN_TIME)} AS sync_timestamp, 'FULL' AS sync_mode, "
      "DATE '2025-01-01' AS sync_date FROM fo")
@@ -298,8 +298,8 @@ O["quarantine_bad_values"] = with_("dirty_wide") + \
      "WHERE v_double IS NOT NULL AND v_double <> '' AND TRY_CAST(v_double AS DOUBLE) IS NULL "
      "UNION ALL SELECT o_orderkey, 'v_decimal', v_decimal FROM dirty_wide "
      "WHERE v_decimal IS NOT NULL AND v_decimal <> '' AND TRY_CAST(v_decimal AS DECIMAL(38,9)) IS NULL")
-O["align_to_target"] = with_("source_orders") + \
-    "SELECT * EXCLUDE (o_orderstatus), CAST(NULL AS VARCHAR) AS note FROM source_orders"
+O["align_to_target"] = with_("fo") + \
+    "SELECT * EXCLUDE (o_orderstatus), CAST(NULL AS VARCHAR) AS note FROM fo"
 O["iso_timestamps"] = with_("fe") + \
     ("SELECT event_id, CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') "
      "ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts, value FROM fe")
@@ -352,8 +352,8 @@ O["append_new_by_hash"] = with_("hashed_target", "hashed_source") + \
 O["already_present_rows"] = with_("hashed_target", "hashed_source") + \
     ("SELECT * FROM hashed_source t WHERE EXISTS (SELECT 1 FROM hashed_target s "
      "WHERE s.tenant_id = t.tenant_id AND s.data_hash = t.data_hash)")
-O["append_blind"] = with_("target_orders", "source_orders") + \
-    "SELECT * FROM target_orders UNION ALL SELECT * FROM source_orders"
+O["append_blind"] = with_("fo", "source_orders") + \
+    "SELECT * FROM fo UNION ALL SELECT * FROM source_orders"
 O["latest_per_key"] = with_("fl") + \
     ("SELECT * FROM fl QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, tenant_id "
      f"ORDER BY l_shipdate DESC NULLS LAST, {row_order(FL_COLS)}) = 1")
@@ -361,18 +361,18 @@ O["union_tenants"] = "SELECT *, o_orderpriority AS tenant_id FROM orders"
 
 # aggregates
 O["last_load_time"] = with_("loaded_orders") + "SELECT max(sync_timestamp) AS last_load_time FROM loaded_orders"
-O["last_data_timestamp"] = with_("events_target") + \
-    ("SELECT tenant_id, epoch_us(max(ts)) // 1000000 AS last_timestamp FROM events_target GROUP BY 1 "
+O["last_data_timestamp"] = with_("fe") + \
+    ("SELECT tenant_id, epoch_us(max(ts)) // 1000000 AS last_timestamp FROM fe GROUP BY 1 "
      "HAVING coalesce(epoch_us(max(ts)) // 1000000, 0) <> 0")
-O["last_data_timestamp_epoch"] = with_("events_target") + \
-    ("SELECT tenant_id, max(event_time) AS last_timestamp FROM events_target GROUP BY 1 "
+O["last_data_timestamp_epoch"] = with_("fe") + \
+    ("SELECT tenant_id, max(event_time) AS last_timestamp FROM fe GROUP BY 1 "
      "HAVING coalesce(max(event_time), 0) <> 0")
 O["rows_per_tenant"] = with_("fo") + "SELECT tenant_id, count(*) AS row_count FROM fo GROUP BY 1"
-O["existing_hashes"] = with_("hashed_target") + \
-    "SELECT DISTINCT tenant_id, data_hash FROM hashed_target WHERE data_hash IS NOT NULL"
-O["load_verification"] = with_("hashed_target") + \
+O["existing_hashes"] = with_("hashed_source") + \
+    "SELECT DISTINCT tenant_id, data_hash FROM hashed_source WHERE data_hash IS NOT NULL"
+O["load_verification"] = with_("hashed_source") + \
     (f"SELECT tenant_id, count(*) AS total_rows, count(DISTINCT data_hash) AS unique_hashes, "
-     f"max({ts(X.RUN_TIME)}) AS latest_sync FROM hashed_target GROUP BY 1 ORDER BY 1")
+     f"max({ts(X.RUN_TIME)}) AS latest_sync FROM hashed_source GROUP BY 1 ORDER BY 1")
 
 
 def _conv(col: str, new: str, numeric: bool) -> str:

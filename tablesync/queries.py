@@ -195,8 +195,8 @@ def _legacy_status_scan(spark, d):
 def _write_truncate(spark, d):
     """SK-01"""
     path = scratch_path(spark, "truncate")
+    W.write_truncate(X.fo_changed(spark, d), path, ("tenant_id",))
     W.write_truncate(X.fo(spark, d), path, ("tenant_id",))
-    W.write_truncate(X.target_orders(spark, d), path, ("tenant_id",))
     return spark.read.parquet(path)
 
 
@@ -204,7 +204,7 @@ def _write_truncate(spark, d):
 def _write_append(spark, d):
     """SK-02"""
     path = scratch_path(spark, "append")
-    W.write_append(X.target_orders(spark, d), path, ("tenant_id",))
+    W.write_append(X.fo(spark, d), path, ("tenant_id",))
     W.write_append(X.source_orders(spark, d), path, ("tenant_id",))
     return spark.read.parquet(path)
 
@@ -213,8 +213,8 @@ def _write_append(spark, d):
 def _write_if_empty(spark, d):
     """SK-03: first write succeeds, the second is refused."""
     path = scratch_path(spark, "empty")
-    W.ensure_target(spark, path, X.target_orders(spark, d).schema, ("tenant_id",))
-    W.write_if_empty(X.target_orders(spark, d), path, ("tenant_id",))
+    W.ensure_target(spark, path, X.fo(spark, d).schema, ("tenant_id",))
+    W.write_if_empty(X.fo(spark, d), path, ("tenant_id",))
     try:
         W.write_if_empty(X.source_orders(spark, d), path, ("tenant_id",))
         raise AssertionError("write_if_empty accepted a non-empty target")
@@ -284,7 +284,7 @@ def _quarantine_bad_values(spark, d):
 @query("align_to_target")
 def _align_to_target(spark, d):
     """PR-06"""
-    return P.align_to_target(X.source_orders(spark, d), X.narrow_target(spark, d))
+    return P.align_to_target(X.fo(spark, d), X.narrow_target(spark, d))
 
 
 @query("iso_timestamps")
@@ -402,7 +402,7 @@ def _already_present_rows(spark, d):
 @query("append_blind")
 def _append_blind(spark, d):
     """J-08"""
-    return M.append_blind(X.target_orders(spark, d), X.source_orders(spark, d))
+    return M.append_blind(X.fo(spark, d), X.source_orders(spark, d))
 
 
 @query("latest_per_key")
@@ -429,13 +429,13 @@ def _last_load_time(spark, d):
 @query("last_data_timestamp")
 def _last_data_timestamp(spark, d):
     """A-02 (datetime column)"""
-    return A.last_data_timestamp(X.events_target(spark, d), "ts")
+    return A.last_data_timestamp(X.fe(spark, d), "ts")
 
 
 @query("last_data_timestamp_epoch")
 def _last_data_timestamp_epoch(spark, d):
     """A-02 (epoch column)"""
-    return A.last_data_timestamp(X.events_target(spark, d), "event_time")
+    return A.last_data_timestamp(X.fe(spark, d), "event_time")
 
 
 @query("rows_per_tenant")
@@ -447,13 +447,13 @@ def _rows_per_tenant(spark, d):
 @query("existing_hashes")
 def _existing_hashes(spark, d):
     """A-04"""
-    return M.existing_hashes(X.hashed_target(spark, d))
+    return M.existing_hashes(X.hashed_source(spark, d))
 
 
 @query("load_verification")
 def _load_verification(spark, d):
     """A-05"""
-    t = P.add_system_columns(X.hashed_target(spark, d), None, X.RUN_TIME, "FULL")
+    t = P.add_system_columns(X.hashed_source(spark, d), None, X.RUN_TIME, "FULL")
     return A.load_verification(t)
 
 

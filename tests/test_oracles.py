@@ -22,7 +22,7 @@ def _norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.6g}"
+        return "nan" if math.isnan(v) else f"{v:.14g}"
     if isinstance(v, decimal.Decimal):
         return f"{float(v):.6g}"
     if isinstance(v, dt.datetime):
