@@ -330,6 +330,12 @@ O["merge_into_table"] = with_("target_orders", "source_orders") + \
     ("SELECT *, CAST(CAST(floor(o_orderkey / (SELECT CAST(ceil(max(o_orderkey) / 8.0) AS BIGINT) FROM orders)) AS BIGINT) AS VARCHAR) AS key_bucket FROM ("
      "SELECT * FROM source_orders UNION ALL " +
      anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"]) + ")")
+O["merge_into_table_nulls"] = with_("fo_null") + \
+    ("SELECT *, CAST(o_orderkey % 16 AS VARCHAR) AS key_bucket FROM (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) "
+     "FROM fo_null UNION ALL SELECT * FROM fo_null WHERE o_orderkey IS NULL)")
+O["merge_on_key_duplicates"] = with_("fl", extra=[("src", "SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM fl")]) + \
+    ("SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY l_orderkey, tenant_id "
+     f"ORDER BY l_shipdate DESC NULLS LAST, {row_order(FL_COLS)}) = 1")
 O["merge_on_key_only"] = with_("target_orders", "source_orders", extra=[
     ("src", "SELECT * REPLACE ('single' AS tenant_id) FROM source_orders")]) + \
     "SELECT * FROM src UNION ALL " + anti("target_orders", "src", ["o_orderkey"])
@@ -527,6 +533,13 @@ O["safe_append"] = with_("fo") + \
      f"count(*) FILTER (WHERE o_orderdate > {ts(X.ORDERS_LAST)}) AS new_rows, "
      f"count(*) FILTER (WHERE o_orderdate <= {ts(X.ORDERS_LAST)}) AS duplicate_rows "
      "FROM fo GROUP BY ROLLUP (tenant_id)")
+O["safe_append_rebuilt"] = with_("fo") + \
+    ("SELECT tenant_id, grouping(tenant_id) = 1 AS is_total, count(*) AS source_rows, 0 AS new_rows, "
+     "count(*) AS duplicate_rows FROM fo GROUP BY ROLLUP (tenant_id)")
+O["sync_table_keyless"] = with_("hashed_target", "hashed_source") + \
+    (f"SELECT *, {ts(X.ORDERS_LAST)} AS sync_timestamp, 'FULL' AS sync_mode FROM hashed_target UNION ALL "
+     f"SELECT *, {ts(X.ORDERS_NOW)}, 'INCREMENTAL' FROM hashed_source WHERE o_orderdate > {ts(X.ORDERS_LAST)} "
+     f"AND o_orderdate <= {ts(X.ORDERS_NOW)}")
 _FO_M = FO_COLS
 O["dedup_merge"] = with_("target_orders", "fo_changed", extra=[
     ("a", f"SELECT *, {ts(X.ORDERS_LAST)} AS sync_timestamp, 'FULL' AS sync_mode FROM target_orders"),

@@ -8,8 +8,8 @@ touched tenant is written by one dynamic partition overwrite.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from datetime import datetime
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import with_row_hash
 from ..functions.timeutil import bound_for
 from ..operators import merge as M
-from ..operators.metrics import flag_present, outcome_of_flags, rows_per_tenant
+from ..operators.metrics import flag_present, outcome_of_flags, rows_per_tenant, run_report
 from ..operators.transform import add_system_columns, align_to_target
 from ..sinks import writers as W
 from ..sources import scans as S
@@ -28,11 +28,22 @@ TENANT = "tenant_id"
 
 
 # ---------------------------------------------------------------- U-01
-def union_tenants(frames: Mapping[str, DataFrame]) -> DataFrame:
+def union_tenants(frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                  failed: dict[str, str] | None = None) -> DataFrame:
     """U-01: one DataFrame for a table over all tenant sources, each row
-    tagged with its tenant; columns missing in a tenant become NULL."""
+    tagged with its tenant; columns missing in a tenant become NULL.  A source
+    may be a function that opens it; with ``failed`` given, a tenant whose
+    source can't be opened is skipped and its error noted there."""
     out = None
-    for tenant, df in frames.items():
+    for tenant, source in frames.items():
+        try:
+            df = source() if callable(source) else source
+            df.schema  # noqa: B018 - an unreadable source fails here
+        except Exception as exc:
+            if failed is None:
+                raise
+            failed[tenant] = str(exc)
+            continue
         tagged = df.withColumn(TENANT, F.lit(tenant))
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     if out is None:
@@ -169,11 +180,19 @@ def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
     keys=[...], bucket=...).  ``parallel`` tables run as concurrent Spark jobs
     (threads submitting jobs; the cluster shares executors between them).
     A table that fails is reported FAILED (its error kept) and the others
-    continue."""
+    continue.  ``started_at`` and ``duration_sec`` are the table's own; see
+    :func:`report_of_run`."""
     if not tables:
         raise ValueError("no tables")
 
     def one(name: str, spec: dict) -> DataFrame:
+        start = datetime.now(timezone.utc).replace(tzinfo=None)
+        stats = attempt(name, spec)
+        spent = (datetime.now(timezone.utc).replace(tzinfo=None) - start).total_seconds()
+        return (stats.withColumn("started_at", F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+                .withColumn("duration_sec", F.lit(spent)))
+
+    def attempt(name: str, spec: dict) -> DataFrame:
         try:
             st = sync_table(spec["source"], spec["target_path"], name, spec["plan"], run_time,
                             spec.get("watermark"), spec.get("keys", ()), bucket=spec.get("bucket"))
@@ -197,6 +216,11 @@ def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
     return out, records
 
 
+def report_of_run(stats: DataFrame) -> DataFrame:
+    """A-07 of a run: the summary of the statistics of :func:`sync_all`."""
+    return run_report(stats.withColumnRenamed(TENANT, "database"))
+
+
 # ---------------------------------------------------------------- P-03
 def multitenant_load(frames: Mapping[str, DataFrame] | DataFrame, target_path: str,
                      run_time: datetime | str, write_mode: str = "TRUNCATE") -> DataFrame:
@@ -351,6 +375,6 @@ def smart_sync(sources: Mapping[str, DataFrame], target_root: str, run_time: dat
 
 
 __all__ = [
-    "union_tenants", "scan_tenants", "sync_table", "full_plan", "incremental_plan", "sync_all",
+    "union_tenants", "scan_tenants", "sync_table", "full_plan", "incremental_plan", "sync_all", "report_of_run",
     "multitenant_load", "safe_append", "dedup_merge", "legacy_incremental", "smart_sync",
 ]

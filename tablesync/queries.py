@@ -350,6 +350,27 @@ def _merge_into_table(spark, d):
     return spark.read.parquet(path)
 
 
+@query("merge_into_table_nulls")
+def _merge_into_table_nulls(spark, d):
+    """J-01 on a bucketed table, rows without key on both sides: a NULL matches
+    nothing, so old and new rows both stay."""
+    path = scratch_path(spark, "merge-nulls")
+    bucket = F.pmod(F.col("o_orderkey"), F.lit(16))
+    first = X.fo_null(spark, d)
+    W.merge_into_table(first, path, ["o_orderkey"], bucket=bucket)
+    W.merge_into_table(first.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, ["o_orderkey"],
+                       bucket=bucket)
+    return spark.read.parquet(path)
+
+
+@query("merge_on_key_duplicates")
+def _merge_on_key_duplicates(spark, d):
+    """J-01 with keys that the source repeats: the newest row of each is merged."""
+    lines = X.fl(spark, d)
+    return M.merge_on_key(lines, lines.withColumn("l_quantity", F.col("l_quantity") + 1), ["l_orderkey"],
+                          latest_by="l_shipdate")
+
+
 @query("merge_on_key_only")
 def _merge_on_key_only(spark, d):
     """J-02: source rows carry another tenant label; the key alone matches."""
@@ -682,7 +703,7 @@ def _sync_all_report(spark, d):
                        plan=PL.full_plan(_tenants(e)), watermark="ts", keys=[]),
     }
     stats, _records = PL.sync_all(tables, X.RUN_TIME, parallel=2)
-    return stats.drop("error_message")
+    return stats.drop("error_message", "started_at", "duration_sec")
 
 
 @query("smart_sync")
@@ -718,6 +739,27 @@ def _safe_append(spark, d):
     return PL.safe_append(X.fo(spark, d), path, X.RUN_TIME)
 
 
+@query("safe_append_rebuilt")
+def _safe_append_rebuilt(spark, d):
+    """P-04 on a target loaded without hashes (SK-07 adds them): nothing is new."""
+    path = scratch_path(spark, "safe-rebuilt")
+    W.write_truncate(X.fo(spark, d), path, ("tenant_id",))
+    return PL.safe_append(X.fo(spark, d), path, X.RUN_TIME)
+
+
+@query("sync_table_keyless")
+def _sync_table_keyless(spark, d):
+    """P-01 without key: FULL, then an INCREMENTAL window that overlaps it by
+    the lookback; only rows that are not there yet are added."""
+    path = scratch_path(spark, "keyless")
+    first = X.target_orders(spark, d)
+    PL.sync_table(first, path, "orders", PL.full_plan(_tenants(first)), X.ORDERS_LAST, "o_orderdate")
+    wm = _tenants(first).withColumn("last_sync_time", F.lit(X.ORDERS_LAST).cast("timestamp_ntz"))
+    PL.sync_table(X.fo(spark, d), path, "orders", PL.incremental_plan(wm, X.ORDERS_LOOKBACK_MIN),
+                  X.ORDERS_NOW, "o_orderdate")
+    return spark.read.parquet(path)
+
+
 @query("dedup_merge")
 def _dedup_merge(spark, d):
     """P-05"""

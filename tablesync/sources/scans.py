@@ -32,12 +32,13 @@ def _is_epoch(df: DataFrame, column: str) -> bool:
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
               num_partitions: int | None = None, predicates: Sequence[str] | None = None,
-              fetch_size: int = 10000) -> DataFrame:
+              fetch_size: int = 10000, one_task: bool = False) -> DataFrame:
     """Source table over JDBC, read in parallel slices.
 
     Either a numeric/date ``partition_column`` with bounds (Spark splits the
     range into ``num_partitions`` queries) or explicit ``predicates`` (one
     query per predicate, e.g. one per month from :func:`backfill_ranges`).
+    Without either, one task reads the whole table: only with ``one_task``.
     """
     props = dict(properties or {})
     props.setdefault("fetchsize", str(fetch_size))
@@ -47,6 +48,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
         return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                                upperBound=upper_bound, numPartitions=num_partitions or 8,
                                properties=props)
+    if not one_task:
+        raise ValueError("give partition_column or predicates, or one_task=True for a small table")
     return spark.read.jdbc(url, table, properties=props)
 
 

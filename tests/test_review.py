@@ -152,3 +152,27 @@ def test_epoch_in_a_datetime_column(spark):
     df = spark.createDataFrame([(1704067200,)], "v long")
     out = df.select(C.to_target(F.col("v"), "TIMESTAMP", df.schema["v"].dataType, "datetime").alias("t")).first()
     assert str(out["t"]) == "2024-01-01 00:00:00"
+
+
+def test_union_skips_and_reports_a_failing_tenant(spark, tmp_table):
+    failed = {}
+    good = _frame(spark, [(1, "a", 1.0)]).drop("tenant_id")
+    out = PL.union_tenants({"a": good, "b": lambda: spark.read.parquet(tmp_table("absent"))}, failed)
+    assert [r["tenant_id"] for r in out.collect()] == ["a"] and "PATH_NOT_FOUND" in failed["b"]
+
+
+def test_unsplit_jdbc_read_is_refused(spark):
+    from tablesync.sources.scans import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none", "t")
+
+
+def test_report_of_a_run(spark, tmp_table):
+    src = _frame(spark, [(1, "a", 1.0), (2, "b", 2.0)])
+    bad = src.withColumn("boom", F.raise_error(F.lit("no")))
+    plan = _plan(spark, ["a", "b"], "FULL")
+    stats, _ = PL.sync_all({"t": dict(source=src, target_path=tmp_table("r1"), plan=plan, watermark=None, keys=["id"]),
+                            "u": dict(source=bad, target_path=tmp_table("r2"), plan=plan, watermark=None)}, T0)
+    r = PL.report_of_run(stats).first()
+    assert (r["success_count"], r["failed_count"], r["total_records"]) == (2, 2, 2)
+    assert r["total_duration_sec"] > 0 and r["rows_per_sec"] > 0
