@@ -130,15 +130,15 @@ def may_link(greater: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.
 
 
 class Forest:
-    """Union-find over the members of a block."""
+    """Union-find over what a task has connected; bounded by its rows."""
 
-    def __init__(self, n: int):
-        self.parent = list(range(n))
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
 
     def root(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
         return x
 
     def join(self, x: int, y: int) -> bool:
@@ -150,16 +150,21 @@ class Forest:
 
 
 def _candidate_pairs(regs: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray,
-                     same_block: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+                     same_block: bool, band: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each member of ``left`` the members of ``right`` that may link with
-    it, and how many registers agree."""
+    it, and how many registers agree.  Pairs that agree in a band before
+    ``band`` meet there."""
     for i, x in enumerate(left):
         ys = right[i + 1:] if same_block else right
         ys = ys[np.minimum(n[ys], n[x]) * 100 >= THRESHOLD * np.maximum(n[ys], n[x])]
         if not len(ys):
             continue
-        equal = (regs[ys] == regs[x]).sum(axis=1)
-        ys, equal = ys[equal >= REGISTERS // 2], equal[equal >= REGISTERS // 2]
+        agree = regs[ys] == regs[x]
+        equal = agree.sum(axis=1)
+        new = equal >= REGISTERS // 2
+        if band:
+            new[new] = ~agree[new, :band * ROWS].reshape(-1, band, ROWS).all(axis=2).any(axis=1)
+        ys, equal = ys[new], equal[new]
         if not len(ys):
             continue
         greater = (regs[ys] < regs[x]).sum(axis=1)
@@ -169,21 +174,23 @@ def _candidate_pairs(regs: np.ndarray, n: np.ndarray, left: np.ndarray, right: n
             yield x, ys[ok], equal[ok]
 
 
-def _forest(rows: pa.Table, verify: bool) -> list[tuple[int, int]]:
-    """Spanning forest of the links among a pair of blocks: of pairs that may
-    link, or with ``verify`` of pairs confirmed on their full sets."""
-    ids = rows.column("rep").to_numpy()
+def _forest(rows: pa.Table, verify: bool, forest: Forest) -> list[tuple[int, int]]:
+    """Links among a pair of blocks that connect what ``forest`` has not
+    connected yet: pairs that may link, or with ``verify`` pairs confirmed on
+    their full sets."""
+    ids = rows.column("rep").to_numpy().tolist()
     n = rows.column("n").to_numpy()
     regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint8).reshape(len(ids), REGISTERS)
     own, lo, hi = (rows.column(c).to_numpy() for c in ("own", "lo", "hi"))
     same = lo[0] == hi[0]
     left, right = np.nonzero(own == lo)[0], np.nonzero(own == hi)[0]
-    forest, out = Forest(len(ids)), []
+    out = []
     if not verify:
-        for x, ys, _ in _candidate_pairs(regs, n, left, right, same):
-            out += [(int(ids[x]), int(ids[y])) for y in ys if forest.join(x, y)]
+        band = rows.column("band")[0].as_py()
+        for x, ys, _ in _candidate_pairs(regs, n, left, right, same, band):
+            out += [(ids[x], ids[y]) for y in ys.tolist() if forest.join(ids[x], ids[y])]
         return out
-    found = list(_candidate_pairs(regs, n, left, right, same))
+    found = list(_candidate_pairs(regs, n, left, right, same, 0))
     if not found:
         return out
     xs = np.concatenate([np.full(len(ys), x) for x, ys, _ in found])
@@ -191,30 +198,32 @@ def _forest(rows: pa.Table, verify: bool) -> list[tuple[int, int]]:
     order = np.argsort(-np.concatenate([e for _, _, e in found]), kind="stable")
     sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
     for x, y in zip(xs[order].tolist(), ys[order].tolist()):
-        if forest.root(x) == forest.root(y):
+        if forest.root(ids[x]) == forest.root(ids[y]):
             continue
         a, b = (sets[x], sets[y]) if len(sets[x]) <= len(sets[y]) else (sets[y], sets[x])
         at = np.searchsorted(b, a)
         at[at == len(b)] = 0
         shared = int((b[at] == a).sum())
         if 100 * shared >= THRESHOLD * (len(a) + len(b) - shared):
-            forest.join(x, y)
-            out.append((int(ids[x]), int(ids[y])))
+            forest.join(ids[x], ids[y])
+            out.append((ids[x], ids[y]))
     return out
 
 
 def _links_in_groups(members: DataFrame, verify: bool) -> DataFrame:
-    """Spanning forests of groups.  ``members``: grp, size, rep, n, regs (and
-    set); a row goes to each pair of blocks its block is part of."""
+    """Links that connect groups.  ``members``: grp, size, rep, n, regs, and
+    band, or set to confirm pairs; a row goes to each pair of blocks its block
+    is part of."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("rep", "grp"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select(*[c for c in ("grp", "rep", "n", "regs", "set") if c in members.columns], "own",
+    dealt = dealt.select(*[c for c in ("grp", "band", "rep", "n", "regs", "set") if c in members.columns], "own",
                          F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
     dealt = dealt.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
+        forest = Forest()
         key = None
         out: list[tuple[int, int]] = []
 
@@ -222,7 +231,7 @@ def _links_in_groups(members: DataFrame, verify: bool) -> DataFrame:
             if held:
                 rows = pa.concat_tables(held)
                 if rows.num_rows > 1:
-                    out.extend(_forest(rows, verify))
+                    out.extend(_forest(rows, verify, forest))
                 held.clear()
 
         def ready() -> pa.RecordBatch:
@@ -318,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .agg(F.min(F.struct("band", "key")).alias("k")))
     buckets = stage(buckets.select("k.band", "k.key", "size"), "sketch-buckets")
     members = (banded.join(broadcast_if_small(buckets), ["band", "key"])
-               .select(F.xxhash64("band", "key").alias("grp"), "size", "rep"))
+               .select(F.xxhash64("band", "key").alias("grp"), "band", "size", "rep"))
     members = stage(members, "sketch-members")
     sketches = classes.select("rep", "n", "regs")
     maybe = _links_in_groups(members.join(sketches, "rep"), verify=False)
