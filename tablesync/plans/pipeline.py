@@ -269,26 +269,34 @@ def safe_append(source: DataFrame, target_path: str, run_time: datetime | str) -
 def dedup_merge(source: DataFrame, target_path: str, run_time: datetime | str,
                 incremental_field: str | None, keys: Sequence[str] = ()) -> None:
     """P-05: rows newer than the last load (SC-06) -> system columns + hash
-    -> merge on the key alone (J-02) or on hash + tenant (J-03)."""
+    -> merge on the key alone (J-02) or on hash + tenant (J-03).  Only the
+    tenants of the new rows, and those that lose a row to them, are rewritten."""
     spark = source.sparkSession
     if W.existing_schema(spark, target_path) is not None and incremental_field:
         target = spark.read.parquet(target_path)
         src = S.since_last_load(source, target, incremental_field)
+    elif W.existing_schema(spark, target_path) is not None:
+        target, src = spark.read.parquet(target_path), source
     else:
         target, src = None, source
     src = with_row_hash(add_system_columns(src, None, run_time, "INCREMENTAL"))
     if target is None:
         W.overwrite_partitions(src, target_path, (TENANT,))
         return
-    src = align_to_target(src, target.schema)
+    src = W.stage(align_to_target(src, target.schema), "dedup-src")
+    touched = set(W.touched_tenants(src))
     if keys:
-        merged = M.merge_on_key_only(target, src, keys)
-    else:
-        merged = M.merge_on_hash(target, src)
+        # keys alone may move a row to another tenant
+        touched |= set(W.touched_tenants(target.join(src.select(*keys), list(keys), "left_semi")))
+    t = W.prune_to_tenants(target, list(touched))
+    merged = M.merge_on_key_only(t, src, keys, incremental_field) if keys else M.merge_on_hash(t, src)
     staged = W.stage(merged, "dedup")
-    # keys alone may move a row to another tenant: rewrite every tenant
-    W.write_truncate(staged, target_path, (TENANT,))
-    W.release(staged)
+    try:
+        left = set(W.touched_tenants(staged))
+        W.overwrite_partitions(staged, target_path, (TENANT,))
+        W.drop_tenant_partitions(spark, target_path, [x for x in touched if x not in left])
+    finally:
+        W.release(src, staged)
 
 
 # ---------------------------------------------------------------- P-06

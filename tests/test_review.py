@@ -176,3 +176,17 @@ def test_report_of_a_run(spark, tmp_table):
     r = PL.report_of_run(stats).first()
     assert (r["success_count"], r["failed_count"], r["total_records"]) == (2, 2, 2)
     assert r["total_duration_sec"] > 0 and r["rows_per_sec"] > 0
+
+
+def test_dedup_merge_leaves_other_tenants_files(spark, tmp_table):
+    import glob
+    import os
+
+    from tablesync.session import to_local
+    path = tmp_table("p05")
+    src = _frame(spark, [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)])
+    W.write_truncate(with_row_hash(add_system_columns(src, None, T0, "FULL")), path, ("tenant_id",))
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(to_local(path) + "/tenant_id=c/*.parquet")}
+    PL.dedup_merge(_frame(spark, [(2, "a", 9.0)]), path, T1, None, ["id"])     # moves from b to a
+    assert [(r[1], r[2], r[3]) for r in _read(spark, path)] == [(1, "a", 1.0), (2, "a", 9.0), (3, "c", 3.0)]
+    assert files and all(os.stat(f).st_mtime_ns == t for f, t in files.items())
