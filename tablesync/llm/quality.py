@@ -34,7 +34,7 @@ NGRAMS = (3, 4, 5)
 EPOCHS = 8
 RATE = 0.3
 MAX_TRAIN = 3000
-MAX_TRAIN_CHARS = 100_000
+MAX_TRAIN_CHARS = 20_000
 HELD_OUT_OF, HELD_OUT = 3, 1
 REPEAT = b"\x00again"
 WORD_MEMORY = 400_000
