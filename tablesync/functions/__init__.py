@@ -7,5 +7,5 @@ from .casting import (  # noqa: F401
 from .hashing import canonical_text, row_hash, with_row_hash  # noqa: F401
 from .timeutil import bound_for, epoch_seconds, iso, minus, ts_lit  # noqa: F401
 from .types import (  # noqa: F401
-    MYSQL_TO_TARGET, base_type, map_types, spark_type, target_type_py, type_map_frame,
+    MYSQL_TO_TARGET, base_type, map_types, target_type_py, type_map_frame,
 )

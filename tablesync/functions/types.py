@@ -93,7 +93,3 @@ def map_types(catalog: DataFrame, type_col: str = "column_type",
         .withColumn(out_col, F.coalesce(F.col("_mapped_target"), F.lit(FALLBACK_TARGET)))
         .drop("_mapped_target")
     )
-
-
-def spark_type(target: str) -> T.DataType:
-    return TARGET_TO_SPARK.get(target, T.StringType())

@@ -7,16 +7,13 @@ compiles into a single whole-stage-codegen projection after the scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.casting import (
-    epoch_to_timestamp, iso_text, to_boolean, to_target,
-)
-from ..functions.hashing import with_row_hash
+from ..functions.casting import iso_text, to_target
 from ..functions.timeutil import ts_lit
 from ..functions.types import target_type_py
 
@@ -166,12 +163,6 @@ def align_to_target(df: DataFrame, target: DataFrame | T.StructType) -> DataFram
         for f in schema.fields])
 
 
-def common_columns(df: DataFrame, target: DataFrame) -> list[str]:
-    """U-03: source columns also present in the target, source order."""
-    tcols = set(target.columns)
-    return [c for c in df.columns if c in tcols]
-
-
 # ---------------------------------------------------------------- PR-07/08/09
 def iso_timestamps(df: DataFrame) -> DataFrame:
     """PR-07: timestamps -> ISO-8601 text, dates -> ``yyyy-MM-dd``,
@@ -190,20 +181,4 @@ def iso_timestamps(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def epoch_columns_to_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """PR-08: epoch-second integer columns -> naive timestamps."""
-    return df.withColumns({c: epoch_to_timestamp(F.col(c)) for c in columns})
-
-
-def booleans(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """PR-09: coerce columns to boolean with the reference's rules."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: to_boolean(F.col(c), types[c]) for c in columns})
-
-
 # ---------------------------------------------------------------- PR-10
-add_row_hash = with_row_hash
-
-
-def run_literal(value: datetime | date | str) -> Column:
-    return ts_lit(value)

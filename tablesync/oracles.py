@@ -327,7 +327,7 @@ def anti(t: str, s: str, keys: list[str]) -> str:
 O["merge_on_key"] = with_("target_orders", "source_orders") + \
     "SELECT * FROM source_orders UNION ALL " + anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"])
 O["merge_into_table"] = with_("target_orders", "source_orders") + \
-    ("SELECT *, CAST(CAST(floor(o_orderkey / (SELECT CAST(ceil(max(o_orderkey) / 8.0) AS BIGINT) FROM orders)) AS BIGINT) AS VARCHAR) AS key_bucket FROM ("
+    ("SELECT *, CAST(CAST(floor(o_orderkey / (SELECT CAST(ceil(max(o_orderkey) / greatest(8, ceil(count(*) / 1000000.0))) AS BIGINT) FROM orders)) AS BIGINT) AS VARCHAR) AS key_bucket FROM ("
      "SELECT * FROM source_orders UNION ALL " +
      anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"]) + ")")
 O["merge_into_table_nulls"] = with_("fo_null") + \
@@ -516,7 +516,7 @@ O["sync_table_incremental"] = with_("target_orders", "source_orders") + \
      f"UNION ALL SELECT *, {ts(X.ORDERS_LAST)}, 'FULL' FROM (" +
      anti("target_orders", "source_orders", ["o_orderkey", "tenant_id"]) + ")")
 O["sync_table_bucketed"] = with_("target_orders", "source_orders") + \
-    ("SELECT *, CAST(CAST(floor(o_orderkey / (SELECT CAST(ceil(max(o_orderkey) / 8.0) AS BIGINT) FROM orders)) AS BIGINT) AS VARCHAR) AS key_bucket FROM (" +
+    ("SELECT *, CAST(CAST(floor(o_orderkey / (SELECT CAST(ceil(max(o_orderkey) / greatest(8, ceil(count(*) / 1000000.0))) AS BIGINT) FROM orders)) AS BIGINT) AS VARCHAR) AS key_bucket FROM (" +
      O["sync_table_incremental"].split("\n")[-1] + ")")
 O["sync_all_report"] = with_("fo", "fe") + \
     ("SELECT tenant_id, 'orders' AS table_name, 'FULL' AS sync_mode, count(*) AS records_synced, "

@@ -19,7 +19,9 @@ from ..functions.hashing import with_row_hash
 from ..functions.timeutil import bound_for
 from ..operators import merge as M
 from ..operators.metrics import flag_present, outcome_of_flags, rows_per_tenant, run_report
-from ..operators.transform import add_system_columns, align_to_target
+from ..operators.transform import (
+    SYSTEM_COLUMNS, add_system_columns, align_to_target, quarantine_bad_values,
+)
 from ..sinks import writers as W
 from ..sources import scans as S
 from .control import status_record
@@ -80,12 +82,15 @@ def _window_rows(source: DataFrame, plan: DataFrame, column: str, now) -> DataFr
 def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataFrame,
                run_time: datetime | str, watermark: str | None, keys: Sequence[str] = (),
                hash_dedup: bool = True, bucket: Column | None = None,
-               bucket_col: str = "key_bucket") -> DataFrame:
+               bucket_col: str = "key_bucket",
+               field_types: Mapping[str, str] | None = None) -> DataFrame:
     """P-01: sync one table for every tenant in ``plan`` (columns
     ``tenant_id, sync_mode, safe_start``) and return per-tenant statistics.
 
     FULL tenants: all their source rows replace the tenant (also when there
-    are none).  INCREMENTAL tenants: rows in ``(safe_start, run_time]`` are
+    are none).  ``field_types`` (source types by column) normalises the rows
+    first, values that do not convert go to ``bad_values`` (PR-02, PR-04).
+    INCREMENTAL tenants: rows in ``(safe_start, run_time]`` are
     merged on key + tenant, or appended by hash when there is no key.
 
     ``bucket`` (an expression of the key, or of ``data_hash`` for key-less
@@ -93,6 +98,8 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
     rewrite only the buckets their changes touch; FULL tenants are replaced
     whole and lose buckets they no longer have."""
     spark = source.sparkSession
+    if field_types:
+        source = quarantine_bad_values(source, field_types, keep=(*SYSTEM_COLUMNS, watermark or ""))
     # staged: the decisions are few rows of a known size, and are taken once
     plan = W.stage(plan.select(TENANT, "sync_mode", "safe_start"), "plan")
     full_tenants = [r[0] for r in plan.where(F.col("sync_mode") == "FULL").select(TENANT).collect()]
@@ -153,7 +160,7 @@ def sync_table(source: DataFrame, target_path: str, table_name: str, plan: DataF
                     .select(TENANT, F.lit(table_name).alias("table_name"), "sync_mode",
                             F.coalesce("records_synced", F.lit(0)).cast("bigint").alias("records_synced"),
                             F.lit("SUCCESS").alias("status")), "stats")
-    W.release(*([changes] if staged is changes else [changes, staged]))
+    W.release(plan, changes, staged if staged is not changes else None)
     return stats
 
 
@@ -177,7 +184,7 @@ def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
     per-(tenant, table) statistics and the new control records.
 
     ``tables[name]`` = dict(source=..., target_path=..., plan=..., watermark=...,
-    keys=[...], bucket=...).  ``parallel`` tables run as concurrent Spark jobs
+    keys=[...], bucket=..., field_types=...).  ``parallel`` tables run as concurrent Spark jobs
     (threads submitting jobs; the cluster shares executors between them).
     A table that fails is reported FAILED (its error kept) and the others
     continue.  ``started_at`` and ``duration_sec`` are the table's own; see
@@ -195,7 +202,8 @@ def sync_all(tables: Mapping[str, dict], run_time: datetime | str,
     def attempt(name: str, spec: dict) -> DataFrame:
         try:
             st = sync_table(spec["source"], spec["target_path"], name, spec["plan"], run_time,
-                            spec.get("watermark"), spec.get("keys", ()), bucket=spec.get("bucket"))
+                            spec.get("watermark"), spec.get("keys", ()), bucket=spec.get("bucket"),
+                            field_types=spec.get("field_types"))
             return st.withColumn("error_message", F.lit(None).cast("string"))
         except Exception as exc:  # noqa: BLE001 - report and go on with the others
             return spec["plan"].select(

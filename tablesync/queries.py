@@ -328,14 +328,16 @@ def _merge_on_key(spark, d):
     return M.merge_on_key(X.target_orders(spark, d), X.source_orders(spark, d), ["o_orderkey"])
 
 
-KEY_RANGES = 8
+MIN_KEY_RANGES, ROWS_PER_RANGE = 8, 1_000_000
 
 
 def _key_range_bucket(spark, d):
     """``floor(o_orderkey / width)`` with the width set from the key range
-    (one scalar), so each tenant has KEY_RANGES partitions at any scale."""
-    mx = X.table(spark, d, "orders").agg(F.max("o_orderkey")).first()[0] or 1
-    width = max(1, -(-int(mx) // KEY_RANGES))
+    and the number of rows (two scalars): a range holds about
+    ROWS_PER_RANGE rows, whatever the size of the table."""
+    mx, n = X.table(spark, d, "orders").agg(F.max("o_orderkey"), F.count("*")).first()
+    ranges = max(MIN_KEY_RANGES, -(-n // ROWS_PER_RANGE))
+    width = max(1, -(-int(mx or 1) // ranges))
     return F.floor(F.col("o_orderkey") / F.lit(width))
 
 

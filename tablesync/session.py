@@ -96,11 +96,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(conf).exists(p))
 
 
-def new_run_id() -> str:
-    return uuid.uuid4().hex
-
-
 __all__ = [
     "REQUIRED_CONF", "configure", "local_session", "checkpoint_root",
-    "scratch_path", "to_local", "path_exists", "new_run_id",
+    "scratch_path", "to_local", "path_exists",
 ]

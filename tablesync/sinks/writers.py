@@ -2,13 +2,12 @@
 
 Layout: mutable targets are partitioned by ``tenant_id`` only, so a tenant
 can be replaced by dynamic partition overwrite without touching the others;
-append-only targets may add ``sync_date``.  Files inside a partition are
-spread by a salt so a tenant holding a third of the rows is written by many
-tasks, and sorted by the watermark for row-group pruning.
+append-only targets may add ``sync_date``.  Writer tasks are sized by
+``REBALANCE``, so a tenant holding a third of the rows is written by many, and
+rows are sorted by the watermark for row-group pruning.
 
 Every rewrite of a table that is also read goes through a staged copy under
-the shared checkpoint folder (SK-06): the staged write can be retried as a
-whole, and the final overwrite only commits complete partitions.
+the shared checkpoint folder (SK-06), released when the write has ended.
 """
 
 from __future__ import annotations
@@ -99,13 +98,6 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     return existing_schema(spark, path) is None or spark.read.parquet(path).isEmpty()
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
 # ---------------------------------------------------------------- SK-01 / SK-02
 def write_truncate(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
                    sort_col: str | None = None) -> None:
@@ -233,19 +225,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     p = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(p)
-    return spark.read.parquet(p)
+    out = spark.read.parquet(p)
+    out._staged_at = p
+    return out
 
 
-def release(*staged: DataFrame) -> None:
-    """Delete staged copies (after the write that consumed them committed),
-    so merges do not leave a copy of every increment in the shared folder."""
+def release(*staged: DataFrame | None) -> None:
+    """Delete staged copies (what :func:`stage` returned) once the write that
+    consumed them has ended, so merges do not leave a copy of every increment
+    in the shared folder."""
     for df in staged:
-        spark = df.sparkSession
-        for f in df.inputFiles()[:1]:
-            root = f.rsplit("/", 1)[0]
-            if "/tablesync-scratch/" in root:
-                fs, p = _fs(spark, root)
-                fs.delete(p, True)
+        if root := getattr(df, "_staged_at", None):
+            fs, p = _fs(df.sparkSession, root)
+            fs.delete(p, True)
 
 
 def replace_tenant(source: DataFrame, path: str, tenants: Sequence[str] | None = None,
@@ -260,13 +252,13 @@ def replace_tenant(source: DataFrame, path: str, tenants: Sequence[str] | None =
     if tenants is not None:
         source = source.where(_among(TENANT, list(tenants)))
     staged = stage(source, "replace")
-    overwrite_partitions(staged, path, (TENANT,), sort_col)
-    if tenants is not None:
-        present = {r[0] for r in staged.select(TENANT).distinct().collect()}
-        missing = [t for t in tenants if t not in present]
-        if missing:
-            drop_tenant_partitions(spark, path, missing)
-    release(staged)
+    try:
+        overwrite_partitions(staged, path, (TENANT,), sort_col)
+        if tenants is not None:
+            present = set(touched_tenants(staged))
+            drop_tenant_partitions(spark, path, [t for t in tenants if t not in present])
+    finally:
+        release(staged)
 
 
 # ---------------------------------------------------------------- J-01 on a table
@@ -294,25 +286,27 @@ def merge_into_table(source: DataFrame, path: str, keys: Sequence[str],
         return
     target = spark.read.parquet(path)
     src = stage(align_to_target(source, target.schema), "merge-src")
-    if bucket is None:
-        t = prune_to_tenants(target, touched_tenants(src))
-    else:
-        # touched (tenant, bucket) pairs: bounded by tenants x buckets
-        t = prune_to_pairs(target, src, bucket_col)
-    merged = stage(merge_on_key(t, src, keys, latest_by=latest_by), "merge")
-    overwrite_partitions(merged, path, parts, sort_col)
-    release(src, merged)
+    merged = None
+    try:
+        if bucket is None:
+            t = prune_to_tenants(target, touched_tenants(src))
+        else:
+            t = prune_to_pairs(target, src, bucket_col)
+        merged = stage(merge_on_key(t, src, keys, latest_by=latest_by), "merge")
+        overwrite_partitions(merged, path, parts, sort_col)
+    finally:
+        release(src, merged)
 
 
 # ---------------------------------------------------------------- SK-07
 def rebuild_with_hash(spark: SparkSession, path: str, backup_path: str | None = None,
-                      hash_col: str = "data_hash") -> bool:
+                      hash_col: str = "data_hash") -> str | None:
     """SK-07: if the target lacks the hash column, back it up and rewrite it
-    *with* the hash computed (other tenants' rows are kept).  Returns True
-    when a rebuild happened."""
+    *with* the hash computed (other tenants' rows are kept).  Returns the
+    backup's path, None when there was nothing to do."""
     target = spark.read.parquet(path)
     if hash_col in target.columns:
-        return False
+        return None
     backup = backup_path or scratch_path(spark, "backup")
     target.write.mode("overwrite").parquet(backup)
     rebuilt = with_row_hash(spark.read.parquet(backup), hash_col)
@@ -321,4 +315,4 @@ def rebuild_with_hash(spark: SparkSession, path: str, backup_path: str | None =
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(path)
-    return True
+    return backup

@@ -271,11 +271,6 @@ def ordered_increment(df: DataFrame, column: str, key: str | None = None) -> Dat
     return df.orderBy(*([column] + ([key] if key else [])))
 
 
-def sorted_for_write(df: DataFrame, column: str, by: str = "tenant_id") -> DataFrame:
-    """File layout order: no global sort, only within each output partition."""
-    return df.sortWithinPartitions(by, column)
-
-
 def capped_increment(df: DataFrame, column: str, key: str, cap: int) -> DataFrame:
     """S-03: the first ``cap`` rows of the increment (``TakeOrderedAndProject``)."""
     return df.orderBy(column, key).limit(cap)

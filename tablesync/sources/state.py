@@ -98,12 +98,3 @@ def write_status_documents(docs: DataFrame, path: str, one_file_per_tenant: bool
     else:
         out = docs.repartition(files, "tenant_id") if files else docs
         out.write.mode("overwrite").json(path)
-
-
-def write_legacy_documents(rows: DataFrame, path: str) -> None:
-    """Old layout: one document per (tenant, table) in a directory named
-    ``{tenant}_{table}.json``."""
-    named = rows.withColumn(
-        "state_file", F.concat(F.concat_ws("_", "tenant_id", "table_name"), F.lit(".json")))
-    (named.select("state_file", *[F.col(f.name) for f in TABLE_STATE.fields])
-     .repartition("state_file").write.mode("overwrite").partitionBy("state_file").json(path))

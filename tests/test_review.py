@@ -190,3 +190,11 @@ def test_dedup_merge_leaves_other_tenants_files(spark, tmp_table):
     PL.dedup_merge(_frame(spark, [(2, "a", 9.0)]), path, T1, None, ["id"])     # moves from b to a
     assert [(r[1], r[2], r[3]) for r in _read(spark, path)] == [(1, "a", 1.0), (2, "a", 9.0), (3, "c", 3.0)]
     assert files and all(os.stat(f).st_mtime_ns == t for f, t in files.items())
+
+
+def test_sync_table_normalises_and_quarantines(spark, tmp_table):
+    path = tmp_table("typed")
+    src = spark.createDataFrame([(1, "a", "12"), (2, "a", "junk")], "id long, tenant_id string, v string")
+    PL.sync_table(src, path, "t", _plan(spark, ["a"], "FULL"), T0, None, ["id"], field_types={"id": "bigint", "v": "int"})
+    got = {r["id"]: r for r in spark.read.parquet(path).collect()}
+    assert (got[1]["v"], got[2]["v"], got[2]["bad_values"]) == (12, None, {"v": "junk"})
