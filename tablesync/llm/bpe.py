@@ -20,6 +20,8 @@ from __future__ import annotations
 import re
 from array import array
 
+from tablesync.llm.common import remembered
+
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN_BYTES = bytes([9, 10, 13, *range(32, 127), *(b for b in range(0xC0, 0x100) if b not in (0xD7, 0xF7))])
 CONTRACTION = re.compile(rf"'[{LETTERS}]")
@@ -27,8 +29,8 @@ CONTRACTION = re.compile(rf"'[{LETTERS}]")
 BLANK_RUN = re.compile(rf"[\t\n\r ][\t\n\r](?=[{LETTERS}])")
 SAFE_CUT = re.compile(r"(?<=\S) ")
 PIECE_CHARS = 1 << 16
-MAX_PARTS = 600_000
-MAX_CHUNKS = 200_000
+MAX_PARTS = 400_000
+MAX_CHUNKS = 150_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -132,13 +134,7 @@ class Encoder:
                 for own in cut]
 
 
-_encoders: dict[tuple[int, bool], Encoder] = {}
-
-
 def encoder(tokenizer_json: str, lengths_only: bool) -> Encoder:
     """This worker's encoder, kept with what it remembers from task to task."""
-    key = (hash(tokenizer_json), lengths_only)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(tokenizer_json, lengths_only)
-    return _encoders[key]
+    return remembered(("encoder", hash(tokenizer_json), lengths_only),
+                      lambda: Encoder(tokenizer_json, lengths_only))

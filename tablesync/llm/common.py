@@ -18,6 +18,7 @@ from tablesync.session import scratch_path
 # A set of keys is broadcast only up to this many rows (about 30 MB);
 # beyond it the same join shuffles.
 BROADCAST_ROWS = 500_000
+ARROW_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,11 +53,25 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package available to the workers."""
+    """``mapInArrow`` with this package available to the workers, in batches
+    of few rows: texts are long, and a batch is held several times over."""
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return df.mapInArrow(fn, schema)
 
 
+_held: dict[object, object] = {}
+
+
+def remembered(name: object, make: Callable):
+    """What a Python worker keeps from task to task under ``name``: one thing at
+    a time, so a worker that serves several operators holds one's memory."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def whole_text(text_col: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))

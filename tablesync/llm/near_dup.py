@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_map, balanced, broadcast_if_small, stage, text_key
+from tablesync.llm.common import arrow_map, balanced, broadcast_if_small, remembered, stage, text_key
 from tablesync.llm.components import components
 
 SHINGLE = 5
@@ -46,7 +46,7 @@ REGISTERS = BANDS * ROWS
 BASE = 1.2              # registers fit a byte
 BLOCK = 256             # members of a block
 LIKELIHOOD_RATIO = 14.0
-WORD_MEMORY = 500_000
+WORD_MEMORY = 250_000
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -63,16 +63,14 @@ class _WordHashes(dict):
         return value
 
 
-_hash_of = _WordHashes()
-
-
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII blanks only
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    a = np.fromiter(map(_hash_of.__getitem__, words), np.uint64, n)
+    known = remembered("word hashes", _WordHashes)
+    a = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     width = min(n, SHINGLE)
     h = np.full(n - width + 1, width, np.uint64)
     for j in range(width):

@@ -37,7 +37,7 @@ MAX_TRAIN = 3000
 MAX_TRAIN_CHARS = 20_000
 HELD_OUT_OF, HELD_OUT = 3, 1
 REPEAT = b"\x00again"
-WORD_MEMORY = 400_000
+WORD_MEMORY = 200_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 

@@ -47,7 +47,7 @@ MAX_FEATURES = 2048
 PREFIXES = (3, 4, 5, 6)
 FOLDS = 3
 STEPS, RATE, PENALTY = 250, 1.0, 1e-6
-WORD_MEMORY = 400_000
+WORD_MEMORY = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
