@@ -5,7 +5,9 @@ fixed order: each later model also sees the probabilities of the earlier ones.
 For training, those come from out-of-fold predictions (each part is predicted
 by models that have not seen it), so a later model meets them as it will in
 use.  The last category is the label ``toxic`` itself; the ones before it are
-that label restricted to documents with a seed word of the category.
+groups of the toxic training documents, found in these alone: spherical k-means
+on the features that tell toxic from other documents.  Every toxic training
+document is in one group, whatever its language; groups are numbered by size.
 
 Trained by numpy on at most ``MAX_TRAIN`` labelled documents, the first by a
 hash of their id outside the held-out fold (``quality.fold``).  Features are
@@ -34,11 +36,8 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import arrow_map, balanced
 from tablesync.llm.quality import training_rows
 
-CATEGORIES = {
-    "insult": ("idiot", "moron", "stupid", "clown", "fool", "dumb"),
-    "contempt": ("loser", "pathetic", "worthless", "useless"),
-    "degradation": ("scum", "trash", "disgusting", "vermin", "filth"),
-}
+GROUPS = 5
+CATEGORIES = tuple(f"group_{i + 1}" for i in range(GROUPS))
 FINAL = "toxic"
 CHAIN = (*CATEGORIES, FINAL)
 MAX_TRAIN = 8000
@@ -46,6 +45,8 @@ MIN_DOCS = 5
 MAX_FEATURES = 2048
 PREFIXES = (3, 4, 5, 6)
 FOLDS = 3
+# toxic documents that a group may start from; rounds of k-means
+STARTS, ROUNDS = 512, 20
 STEPS, RATE, PENALTY = 250, 1.0, 1e-6
 WORD_MEMORY = 150_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -156,14 +157,48 @@ def _vocabulary(bags: list[set[str]], toxic: list[int]) -> dict[str, int]:
     return {f: i for i, f in enumerate(sorted(score, key=lambda f: (-score[f], f))[:MAX_FEATURES])}
 
 
+def _groups(rows: list[np.ndarray], toxic: np.ndarray, width: int) -> list[np.ndarray]:
+    """A 0/1 label per category: each toxic document is in one group, of
+    documents that share features commoner in toxic ones (weighted by log odds
+    ratio).  Groups start from the documents that, one after the other, bring
+    all others closest to a start."""
+    bad = np.nonzero(toxic)[0]
+    labels = [np.zeros(len(toxic)) for _ in CATEGORIES]
+    if not len(bad):
+        return labels
+    cols = np.concatenate([*rows, np.empty(0, np.int64)])
+    owner = np.repeat(toxic, [len(r) for r in rows])
+    n1, n0 = np.bincount(cols[owner > 0], minlength=width), np.bincount(cols[owner == 0], minlength=width)
+    clean = len(toxic) - len(bad)
+    odds = (n1 + 0.5) / (len(bad) - n1 + 0.5) / ((n0 + 0.5) / (clean - n0 + 0.5))
+    weight = np.maximum(np.log(odds), 0).astype(np.float32)
+    x = np.zeros((len(bad), width), np.float32)
+    for i, row in enumerate(bad):
+        x[i, rows[row]] = weight[rows[row]]
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    like = x[:STARTS] @ x.T
+    best, starts = np.zeros(len(bad), np.float32), []
+    for _ in CATEGORIES:
+        starts.append(int(np.maximum(like - best, 0).sum(axis=1).argmax()))
+        best = np.maximum(best, like[starts[-1]])
+    centre = x[starts]
+    for _ in range(ROUNDS):
+        own = (x @ centre.T).argmax(axis=1)
+        centre = np.stack([x[own == g].sum(axis=0) for g in range(GROUPS)])
+        centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
+    sizes = np.bincount(own, minlength=GROUPS)
+    for label, g in zip(labels, np.argsort(-sizes, kind="stable")):
+        label[bad[own == g]] = 1
+    return labels
+
+
 def train(texts: list[str], toxic: list[int]) -> Chain:
     bags = [words_of(t) for t in texts]
     vocabulary = _vocabulary(bags, toxic)
     finder = Chain(vocabulary, [])
     rows = [np.array(finder.columns(b), np.int64) for b in bags]
     y = np.array(toxic, np.float64)
-    labels = [y * np.array([not b.isdisjoint(seeds) for b in bags], np.float64)
-              for seeds in CATEGORIES.values()] + [y]
+    labels = [*_groups(rows, y, len(vocabulary)), y]
     part = np.arange(len(y)) % FOLDS
     x = _Rows(rows, len(vocabulary), np.zeros((len(y), 0)))
     models = []

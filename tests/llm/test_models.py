@@ -2,10 +2,13 @@
 
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
+from tablesync.llm import toxicity as toxicity_module
 from tablesync.llm.decontaminate import build_index, contamination, find_matches, item_words
 from tablesync.llm.quality import keep_good, quality_scores
 from tablesync.llm.toxicity import CHAIN, toxicity
@@ -39,6 +42,30 @@ def test_toxicity_held_out(spark):
     assert sum(r["toxic"] for r in clean) / len(clean) < 0.03
 
 
+def test_toxicity_categories_reach_every_language():
+    """Categories come from the training rows: no language is left without."""
+    read = {t: pq.read_table(f"/root/testdata/sf0.1/{t}.parquet").to_pylist() for t in ("documents", "labels")}
+    docs = {r["doc_id"]: r for r in read["documents"]}
+    train, held = [], []
+    for r in read["labels"]:
+        d = docs[r["doc_id"]]
+        (held if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 else train).append((d["text"], r["toxic"], d["lang"]))
+    train = [x for x in train if len(x[0]) <= 20_000]
+    chain = toxicity_module.train([x[0] for x in train], [x[1] for x in train])
+    p = chain.probabilities([x[0] for x in held])
+    for lang in {x[2] for x in held}:
+        named = [p[i, :-1].max() >= 0.5 for i, x in enumerate(held) if x[1] and x[2] == lang]
+        assert sum(named) / len(named) > 0.4, lang
+
+
+def test_toxicity_groups_hold_every_toxic_row():
+    rows = [np.array(r, np.int64) for r in ([0, 1], [0, 1], [2, 3], [3, 2], [4], [], [5], [5])]
+    toxic = np.array([1, 1, 1, 1, 1, 1, 0, 0.0])
+    labels = toxicity_module._groups(rows, toxic, 6)
+    assert len(labels) == len(CHAIN) - 1 and (sum(labels) == toxic).all()
+    assert all(g[0] == g[1] and g[2] == g[3] and g[0] + g[2] < 2 for g in labels)
+
+
 def test_models_edges(spark, edge_docs, no_docs, tables):
     none = tables["labels"].filter("doc_id < 0")
     rows = quality_scores(edge_docs, none).collect()
