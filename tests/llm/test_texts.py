@@ -147,6 +147,24 @@ def test_pii_added_kinds_and_context():
     assert near > find_spans("see a@b.cd")[0]["score"] > find_spans("order a@b.cd")[0]["score"]
 
 
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947",
+                                  "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "ZZ33 1234 5678 9012 345"])
+def test_pii_iban_before_words(iban):
+    """The word after an IBAN is none of it, whatever it starts with."""
+    for before in ("", "IBAN ", "IBAN: ", "An DE "):
+        for after in ("", ".", " BIC COBADEFFXXX", " Danke", " EUR 50 now", " 50 EUR", " A", ", " + iban, " " + iban):
+            t = before + iban + after
+            found = [t[s["start"]:s["end"]] for s in find_spans(t) if s["kind"] == "iban"]
+            assert found == [iban] * t.count(iban), t
+    for t in (iban + "x", iban + "7", "x" + iban, iban[:-1]):
+        assert not any(s["kind"] == "iban" for s in find_spans(t)), t
+
+
+def test_pii_iban_linear():
+    for t in ("DE89 " * 60_000, "DE89" * 75_000, "ZZ00 1 " * 40_000):
+        find_spans(t)
+
+
 def test_pii_linear_on_long_runs():
     for t in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" + " " * 300_000, "1 " * 150_000):
         find_spans(t)
