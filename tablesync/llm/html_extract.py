@@ -12,7 +12,8 @@ one Arrow pass, no shuffle; pages are parsed whole.
 
 Text inside a block is decoded and its white space becomes one space; main
 blocks are joined by one space.  Scripts, styles, templates and the head hold
-no blocks; a tag cut off by the end of the page is markup.
+no blocks; a head without an end tag ends where HTML ends it, at a tag or text
+that it cannot hold; a tag cut off by the end of the page is markup.
 
 Edge cases: a null or empty page, or one without main blocks, has an empty
 text; a null id or url stays null; repeated rows give repeated results; an
@@ -38,6 +39,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q s
 samp small span strike strong sub sup time tt u var wbr img""".split())
 SILENT = frozenset("script style template noscript head title svg iframe object textarea select option button".split())
+# any other opening tag, or text, ends an open head whose end tag was left out
+IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript noframes template".split())
+# these hold any tag but body, in the head too
+HOLDERS = frozenset("noscript noframes template".split())
 # an opening tag of the key ends an open element of the value, up to a container
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt", ("dl",)), "dd": ("dd", ("dl",)),
           "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table"))}
@@ -85,7 +90,16 @@ class Blocks(HTMLParser):
             own.add("digit")
         return sorted(own)
 
+    def _end_head(self, tag: str) -> None:
+        for i, (name, _) in enumerate(self.open):
+            if name == "head":
+                if tag == "body" or not any(t in HOLDERS for t, _ in self.open[i:]):
+                    self._pop(i)
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.silent and tag not in IN_HEAD:
+            self._end_head(tag)
         if tag not in INLINE:
             self._end_block()
             if tag == "p" or tag not in VOID:
@@ -132,6 +146,8 @@ class Blocks(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.silent and self.open[-1][0] == "head" and data.strip():
+            self._end_head("")
         if not self.silent:
             self.text.append(data)
             if self.links:

@@ -225,3 +225,15 @@ def test_extract_page(spark):
 
 def test_blocks_of_broken_html():
     assert [t for t, _ in blocks("<p>a<p>b</i><li>c<li>d</div>e</p>&lt;f")] == ["a", "b", "c", "d", "e", "<f"]
+
+
+@pytest.mark.parametrize("start", ["<body>", "<body class=x>", ""])
+@pytest.mark.parametrize("head", ["<title>T</title>", "<title>T</title><script>var t='</p>';</script><meta charset=u>",
+                                  "<noscript><div>Turn on</div></noscript>", ""])
+def test_page_without_head_end(head, start):
+    """HTML lets </head> be left out."""
+    rest = "<article><h1>Title here</h1><p>First words of it, all here.</p><p>Second part, with more of it.</p></article></body></html>"
+    whole = blocks(f"<html><head>{head}</head>{start}{rest}")
+    assert [t for t, _ in whole] == ["Title here", "First words of it, all here.", "Second part, with more of it."]
+    assert blocks(f"<html><head>{head}{start}{rest}") == whole
+    assert [t for t, _ in blocks(f"<head>{head}Plain <b>text</b><p>more")] == ["Plain text", "more"]
