@@ -4,15 +4,16 @@
    (term, row, position) for each token that is a term of the benchmark, as
    Parquet segments that keep the order of the input: nothing is shuffled.  One
    more posting a row keeps its id and its number of words.
-2. ``find_matches`` takes for each window of benchmark words its two rarest
-   terms (by the index's own counts), turns their lists into diagonals
-   (position in the text minus position in the item) and intersects them.
-   Diagonals that survive meet the postings of all other words of their
-   windows.  A window whose words all lie on the diagonal is an exact phrase
-   match; one with ``NEAR_SHARE`` of its words within ``SLACK`` positions of it
-   is a proximity match.
-
-Every group is keyed by row and diagonal, so no key outgrows one text; lists of
+2. ``find_matches`` takes for each window of benchmark words its rarest terms
+   (by the index's own counts) and turns their lists into diagonals (position
+   in the text minus position in the item).  For exact phrases the lists of two
+   are intersected; diagonals that survive meet the postings of all other words
+   of their windows.  A proximity match is a window with ``NEAR_SHARE`` of its
+   words within ``SLACK`` positions of one diagonal.  If it may lack m words, at
+   least two of its m + 2 rarest are in place: lists are met in ranges of
+   diagonals, and ranges with enough of them meet the other words.
+
+Every group is keyed by row and diagonals, so no key outgrows one text; lists of
 test terms and surviving rows are broadcast only below a counted bound and
 joined by shuffle beyond it.
 
@@ -69,7 +70,8 @@ def build_index(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -
 
 def windows_of(items: DataFrame, terms: DataFrame, counts: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """(item terms, windows): item, q (position in the item), term; and item,
-    s (first position), n (words), q1 and q2 (positions of its rarest terms)."""
+    s (first position), n (words) and rare ((count, position) of its words,
+    rarest first)."""
     placed = (items.select("item", F.posexplode("words").alias("q", "word"))
               .join(broadcast_if_small(terms), "word").select("item", "q", "term"))
     starts = items.select(
@@ -80,22 +82,15 @@ def windows_of(items: DataFrame, terms: DataFrame, counts: DataFrame, window: in
     places = starts.select("item", "s", "n", F.explode(F.sequence("s", F.expr("s + n - 1"))).alias("q"))
     rare = (places.join(rarity, ["item", "q"]).groupBy("item", "s", "n")
             .agg(F.array_sort(F.collect_list(F.struct("c", "q"))).alias("rare")))
-    # a window with a word that no text has cannot occur
-    rare = rare.filter(F.col("rare")[0]["c"] > 0)
-    return placed, rare.select("item", "s", "n", F.col("rare")[0]["q"].alias("q1"),
-                               F.coalesce(F.try_element_at("rare", F.lit(2))["q"],
-                                          F.col("rare")[0]["q"]).alias("q2"))
+    return placed, rare
 
 
-def find_matches(postings: DataFrame, terms: DataFrame, items: DataFrame, window: int = WINDOW,
-                 slack: int = SLACK, near_share: float = NEAR_SHARE) -> DataFrame:
-    """One row per matching window: row, item, start, n (words) and kind
-    (phrase or proximity; a proximity match's start is where the phrase would
-    begin)."""
-    tokens = postings.filter(F.col("term") != ROW_TERM).select("term", "row", "pos")
-    counts = stage(tokens.groupBy("term").agg(F.count("*").alias("c")), "decon-counts")
-    placed, windows = windows_of(items, terms, counts, window)
-    windows = stage(windows, "decon-windows")
+def _phrases(tokens: DataFrame, placed: DataFrame, windows: DataFrame) -> DataFrame:
+    """Windows whose words all lie on a diagonal: row, item, start, s, n."""
+    # a window with a word that no text has cannot occur
+    windows = stage(windows.filter(F.col("rare")[0]["c"] > 0).select(
+        "item", "s", "n", F.col("rare")[0]["q"].alias("q1"),
+        F.coalesce(F.try_element_at("rare", F.lit(2))["q"], F.col("rare")[0]["q"]).alias("q2")), "decon-windows")
 
     # offset-adjusted lists of the rarest terms, intersected on the diagonal
     anchors = (windows.select("item", F.explode(F.array("q1", "q2")).alias("q")).distinct()
@@ -113,31 +108,94 @@ def find_matches(postings: DataFrame, terms: DataFrame, items: DataFrame, window
             .distinct().join(broadcast_if_small(placed), ["item", "q"]))
     rows = broadcast_if_small(alive.select("row").distinct())
     near = tokens.join(rows, "row", "left_semi")
-    off = F.col("pos") - F.col("d") - F.col("q")
-    found = (need.join(near, ["row", "term"]).filter(off.between(-slack, slack))
-             .groupBy("row", "item", "d")
-             .agg(F.collect_set(F.when(off == 0, F.col("q"))).alias("exact"),
-                  F.collect_set("q").alias("near")))
-    inside = F.expr("sequence(s, s + n - 1)")
-    hits = (alive.join(found, ["row", "item", "d"])
-            .withColumn("n_exact", F.size(F.array_intersect(inside, "exact")))
-            .withColumn("n_near", F.size(F.array_intersect(inside, "near"))))
-    kind = (F.when(F.col("n_exact") == F.col("n"), "phrase")
-            .when(F.col("n_near") >= F.ceil(F.col("n") * near_share), "proximity"))
-    return (hits.select("row", "item", (F.col("d") + F.col("s")).alias("start"), "n", kind.alias("kind"))
-            .filter("kind is not null"))
+    found = (need.join(near, ["row", "term"]).filter("pos = d + q")
+             .groupBy("row", "item", "d").agg(F.collect_set("q").alias("exact")))
+    return (alive.join(found, ["row", "item", "d"])
+            .filter("size(array_intersect(sequence(s, s + n - 1), exact)) = n")
+            .select("row", "item", (F.col("d") + F.col("s")).alias("start"), "s", "n"))
+
+
+def _proximities(tokens: DataFrame, placed: DataFrame, windows: DataFrame, slack: int,
+                 near_share: float) -> DataFrame:
+    """Windows with enough words near a diagonal: row, item, start, s, n.  The
+    diagonals D of a text are dealt in ranges of ``width``; range b holds
+    b * width <= D - slack < (b + 1) * width, and a word near one of its D has
+    a diagonal of b * width up to (b + 2) * width - 1."""
+    width = 2 * slack + 1
+    # of the `tried` rarest words at least `meet` are near; a word that no text has is not
+    windows = (windows.withColumn("enough", F.ceil(F.col("n") * near_share).cast("int"))
+               .filter("size(filter(rare, x -> x.c > 0)) >= enough")
+               .withColumn("tried", F.expr("least(n, n - enough + 2)"))
+               .withColumn("meet", F.expr("tried - (n - enough)"))
+               .withColumn("qs", F.expr("transform(slice(rare, 1, tried), x -> x.q)"))
+               .withColumn("bits", F.expr("aggregate(qs, 0L, (a, q) -> a | shiftleft(1L, q % 64))")))
+    windows = stage(windows.select("item", "s", "n", "enough", "meet", "qs", "bits"), "decon-near-windows")
+
+    anchors = windows.select("item", F.explode("qs").alias("q")).distinct().join(placed, ["item", "q"])
+    lists = (tokens.join(broadcast_if_small(anchors), "term")
+             .withColumn("at", F.expr(f"cast(floor((pos - q) / {width}) as int)"))
+             .select("row", "item", F.explode(F.array(F.col("at") - 1, F.col("at"))).alias("b"),
+                     F.expr("shiftleft(1L, q % 64)").alias("bit")))
+    least = windows.groupBy("item").agg(F.min("meet").alias("least"))
+    # places 64 apart share a bit: this only lets more through
+    alive = (lists.groupBy("row", "item", "b").agg(F.bit_or("bit").alias("got"))
+             .join(broadcast_if_small(least), "item").filter("bit_count(got) >= least")
+             .join(broadcast_if_small(windows.drop("qs")), "item").filter("bit_count(got & bits) >= meet")
+             .select("row", "item", "b", "s", "n", "enough"))
+    alive = stage(alive, "decon-near-alive")
+
+    need = (alive.select("row", "item", "b", F.explode(F.sequence("s", F.expr("s + n - 1"))).alias("q"))
+            .distinct().join(broadcast_if_small(placed), ["item", "q"]))
+    near = tokens.join(broadcast_if_small(alive.select("row").distinct()), "row", "left_semi")
+    # a bit for each D of the range that the word is near to
+    every = (1 << width) - 1
+    found = (broadcast_if_small(need).join(near, ["row", "term"])
+             .withColumn("shift", F.expr(f"pos - q - b * {width}"))
+             .filter(f"shift between 0 and {width + 2 * slack - 1}")
+             .withColumn("near", F.expr(f"{every}L & shiftright(shiftleft({every}L, shift), {2 * slack})"))
+             .groupBy("row", "item", "b", "q").agg(F.bit_or("near").alias("near")))
+    counts = [F.sum(F.expr(f"shiftright(near, {j}) & 1")).alias(f"n{j}") for j in range(width)]
+    best = F.greatest(*(F.struct(F.col(f"n{j}").alias("c"), F.lit(-abs(j - slack)).alias("mid"), F.lit(j).alias("j"))
+                        for j in range(width)))
+    return (alive.join(found, ["row", "item", "b"]).filter("q between s and s + n - 1")
+            .groupBy("row", "item", "b", "s", "n", "enough").agg(*counts).withColumn("best", best)
+            .filter("best.c >= enough")
+            .select("row", "item", F.expr(f"b * {width} + {slack} + best.j + s").alias("start"), "s", "n"))
+
+
+def find_matches(postings: DataFrame, terms: DataFrame, items: DataFrame, window: int = WINDOW,
+                 slack: int = SLACK, near_share: float = NEAR_SHARE, proximity: bool = True) -> DataFrame:
+    """Matching windows: row, item, start, n (words) and kind (phrase, or with
+    ``proximity`` also proximity; a proximity match's start is where the phrase
+    would begin: one for each range of diagonals, none beside a phrase match of
+    the same window)."""
+    tokens = postings.filter(F.col("term") != ROW_TERM).select("term", "row", "pos")
+    counts = stage(tokens.groupBy("term").agg(F.count("*").alias("c")), "decon-counts")
+    placed, windows = windows_of(items, terms, counts, window)
+    placed, windows = stage(placed, "decon-placed"), stage(windows, "decon-rare")
+    exact = _phrases(tokens, placed, windows)
+    out = exact.withColumn("kind", F.lit("phrase"))
+    if proximity:
+        exact = stage(exact, "decon-phrases")
+        same = exact.select("row", "item", "s", F.col("start").alias("begin"))
+        near = _proximities(tokens, placed, windows, slack, near_share)
+        near = near.join(same, (near["row"] == same["row"]) & (near["item"] == same["item"]) & (near["s"] == same["s"])
+                         & F.abs(near["start"] - same["begin"]).between(0, 2 * slack), "left_anti")
+        out = exact.withColumn("kind", F.lit("phrase")).unionByName(near.withColumn("kind", F.lit("proximity")))
+    return out.select("row", "item", "start", "n", "kind")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text",
-                  window: int = WINDOW) -> DataFrame:
+                  window: int = WINDOW, proximity: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, ``n_words``, ``n_hit`` (words inside a
     phrase match), ``n_items``, ``item_ids`` (sorted as strings),
-    ``contaminated`` and ``text_key`` (the row's fingerprint)."""
+    ``contaminated`` and ``text_key`` (the row's fingerprint); with
+    ``proximity`` also ``near_item_ids`` (items of proximity matches, sorted)."""
     items = item_words(items, item_id_col, item_text_col)
     postings, terms = build_index(docs, items, id_col, text_col)
-    matches = stage(find_matches(postings, terms, items, window).filter("kind = 'phrase'")
-                    .select("row", "item", "start", "n"), "decon-matches")
+    every = stage(find_matches(postings, terms, items, window, proximity=proximity), "decon-matches")
+    matches = every.filter("kind = 'phrase'")
     hit = (matches.select("row", "start", "n").distinct()
            .select("row", F.explode(F.expr("sequence(start, start + n - 1)")).alias("pos")).distinct()
            .groupBy("row").agg(F.count("*").alias("n_hit")))
@@ -146,9 +204,16 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
              .groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")))
     rows = postings.filter(F.col("term") == ROW_TERM).select("row", "id", "text_key", "pos")
     result = rows.join(hit.join(which, "row"), "row", "left")
+    near = []
+    if proximity:
+        by_row = (every.filter("kind = 'proximity'").select("row", "item").distinct()
+                  .join(broadcast_if_small(named), "item")
+                  .groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("near_item_ids")))
+        result = result.join(by_row, "row", "left")
+        near = [F.coalesce("near_item_ids", F.array().cast("array<string>")).alias("near_item_ids")]
     return result.select(
         F.col("id").alias(id_col), F.col("pos").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-        F.col("n_hit").isNotNull().alias("contaminated"), "text_key")
+        F.col("n_hit").isNotNull().alias("contaminated"), "text_key", *near)

@@ -49,6 +49,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5 with the items of proximity matches, which its SQL has no column for."""
+    rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), proximity=True)
+    return rows.drop("text_key")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -81,8 +87,8 @@ def registry() -> dict[str, Query]:
         return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
     return {q.__name__: configured(q) for q in (
-        op1_html_extract, op2_token_counts, op3_quality, op4_pii, op5_decontamination, op6_toxicity, op7_packing,
-        op8_near_duplicates, op9_exact_dedup, op10_url_filter)}
+        op1_html_extract, op2_token_counts, op3_quality, op4_pii, op5_decontamination, op5_proximity, op6_toxicity,
+        op7_packing, op8_near_duplicates, op9_exact_dedup, op10_url_filter)}
 
 
 OP9_SQL = r"""

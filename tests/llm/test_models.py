@@ -1,5 +1,6 @@
 """Trained operators by held-out accuracy; decontamination matches; pipeline."""
 
+import random
 import zlib
 
 import numpy as np
@@ -113,6 +114,45 @@ def test_phrase_and_proximity_matches(docs_of, items):
     assert kinds == {1: {"phrase"}, 2: {"proximity"}}
 
 
+def _brute_near(text, item, slack=3, window=10):
+    """Whether some window has 0.8 of its words within ``slack`` of a diagonal."""
+    n = min(window, len(item))
+    places = {}
+    for i, w in enumerate(text):
+        places.setdefault(w, []).append(i)
+    for s in range(len(item) - n + 1):
+        for d in range(-len(item) - slack, len(text) + slack):
+            got = sum(any(abs(p - d - q) <= slack for p in places.get(item[q], ())) for q in range(s, s + n))
+            if got >= -(-n * 8 // 10):
+                return True
+    return False
+
+
+def test_proximity_equals_brute_force(spark, docs_of):
+    """Replaced rarest words, words put in between and left out, by every window."""
+    rng = random.Random(6)
+    lists = [ITEM.split(), ITEM.split()[:10], "one two three four five".split(), "short item".split(),
+             [f"v{rng.randrange(30)}" for _ in range(90)], [f"v{rng.randrange(60)}" for _ in range(140)]]
+    texts = [[f"v{rng.randrange(60)}" for _ in range(rng.randint(20, 200))] for _ in range(10)]
+    for item in lists:
+        for _ in range(12):
+            t, at = list(item), rng.randrange(max(1, len(item) - 12))
+            t = t[at:at + rng.randint(8, 25)]
+            for _ in range(rng.randint(0, 5)):
+                at = rng.randrange(len(t) + 1)
+                t[at:at + rng.randint(0, 1)] = rng.choice([[], [f"new{rng.randrange(99)}"], [rng.choice(ITEM.split())]])
+            texts.append([f"v{rng.randrange(60)}" for _ in range(rng.randint(0, 9))] + t)
+    texts += [ITEM.split()[:5] + ["put", "in"] + ITEM.split()[5:], [*ITEM.split()[:2], "other", *ITEM.split()[3:]]] * 3
+    items = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lists)], "item_id long, text string")
+    docs = docs_of([(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: {int(x) for x in [*r["item_ids"], *r["near_item_ids"]]}
+           for r in contamination(docs, items, proximity=True).collect()}
+    assert got == {i: {k for k, item in enumerate(lists) if _brute_near(t, item)} for i, t in enumerate(texts)}
+    only = {r["doc_id"]: r["near_item_ids"] for r in contamination(docs, items, proximity=True)
+            .filter("not contaminated and size(near_item_ids) > 0").collect()}
+    assert "0" in only[len(texts) - 1] and "0" in only[len(texts) - 2]
+
+
 def test_pipeline_stages(spark, tables):
     """Each stage against a plain version of its decisions."""
     docs = tables["documents"]
