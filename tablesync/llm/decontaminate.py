@@ -126,9 +126,10 @@ def _proximities(tokens: DataFrame, placed: DataFrame, windows: DataFrame, slack
     windows = (windows.withColumn("enough", F.ceil(F.col("n") * near_share).cast("int"))
                .filter("size(filter(rare, x -> x.c > 0)) >= enough")
                .withColumn("tried", F.expr("least(n, n - enough + 2)"))
-               .withColumn("meet", F.expr("tried - (n - enough)"))
                .withColumn("qs", F.expr("transform(slice(rare, 1, tried), x -> x.q)"))
-               .withColumn("bits", F.expr("aggregate(qs, 0L, (a, q) -> a | shiftleft(1L, q % 64))")))
+               .withColumn("bits", F.expr("aggregate(qs, 0L, (a, q) -> a | shiftleft(1L, q % 64))"))
+               # windows of more than 64 words share bits
+               .withColumn("meet", F.expr("bit_count(bits) - (n - enough)")))
     windows = stage(windows.select("item", "s", "n", "enough", "meet", "qs", "bits"), "decon-near-windows")
 
     anchors = windows.select("item", F.explode("qs").alias("q")).distinct().join(placed, ["item", "q"])
