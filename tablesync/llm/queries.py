@@ -11,10 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.llm.collocations import collocations
 from tablesync.llm.common import table
 from tablesync.llm.decontaminate import contamination
 from tablesync.llm.exact_dup import exact_groups
+from tablesync.llm.fill_middle import fill_in_middle, restored
 from tablesync.llm.html_extract import extract_main_text
+from tablesync.llm.line_runs import dedup_lines
 from tablesync.llm.near_dup import near_duplicates
 from tablesync.llm.packing import pack_documents
 from tablesync.llm.pii import find_pii, pii_digest
@@ -81,6 +84,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def registry() -> dict[str, Query]:
     """The queries; each sets the session's required options first."""
     def configured(query: Query) -> Query:
@@ -88,7 +106,8 @@ def registry() -> dict[str, Query]:
 
     return {q.__name__: configured(q) for q in (
         op1_html_extract, op2_token_counts, op3_quality, op4_pii, op5_decontamination, op5_proximity, op6_toxicity,
-        op7_packing, op8_near_duplicates, op9_exact_dedup, op10_url_filter)}
+        op7_packing, op8_near_duplicates, op9_exact_dedup, op10_url_filter, op11_fill_middle,
+        op12_collocations, op13_line_dedup)}
 
 
 OP9_SQL = r"""
@@ -157,5 +176,75 @@ FROM d LEFT JOIN size USING (doc_id) LEFT JOIN low ON low.node = d.doc_id
 """
 
 
+OP11_SQL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS w,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+d AS (
+  SELECT doc_id, t, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS x, greatest(h1 % (n + 1), h2 % (n + 1)) AS y,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (
+  SELECT *, coalesce(array_to_string(w[1:x], ''), '') AS pre, coalesce(array_to_string(w[x + 1:y], ''), '') AS mid,
+         coalesce(array_to_string(w[y + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (
+  SELECT lang, phrase, k, count(*) AS f FROM (
+    SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+    FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k) GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM g WHERE f >= 100),
+cand AS (
+  SELECT lang, phrase, k, f FROM often a WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM often b WHERE b.lang = a.lang AND b.k > a.k AND 100 * b.f >= 100 * a.f
+      AND contains(' ' || b.phrase || ' ', ' ' || a.phrase || ' '))),
+cut AS (
+  SELECT lang, phrase, f, c, array_to_string(ws[1:c], ' ') AS first, array_to_string(ws[c + 1:], ' ') AS rest
+  FROM (SELECT lang, phrase, f, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.f AS a, c, x.f AS l, y.f AS r, n,
+         CAST((1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cut JOIN often x ON x.lang = cut.lang AND x.phrase = first JOIN often y ON y.lang = cut.lang AND y.phrase = rest
+  JOIN total ON total.lang = cut.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+
+OP13_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+  SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE owner <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE owner IS NULL OR owner = doc_id), ''))
+         AS kept_sha256
+FROM k LEFT JOIN o USING (key) GROUP BY doc_id
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL, "op8_near_duplicates": OP8_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op5_decontamination": OP5_SQL, "op8_near_duplicates": OP8_SQL, "op9_exact_dedup": OP9_SQL,
+            "op11_fill_middle": OP11_SQL, "op12_collocations": OP12_SQL, "op13_line_dedup": OP13_SQL}
