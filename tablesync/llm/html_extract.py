@@ -12,8 +12,10 @@ one Arrow pass, no shuffle; pages are parsed whole.
 
 Text inside a block is decoded and its white space becomes one space; main
 blocks are joined by one space.  Scripts, styles, templates and the head hold
-no blocks; a head without an end tag ends where HTML ends it, at a tag or text
-that it cannot hold; a tag cut off by the end of the page is markup.
+no blocks; a head without an end tag ends where HTML ends it, at a tag or text that
+it cannot hold.  A tag, comment, script or style that the end of the page cuts
+off is markup to the end, as in HTML.  Parsing takes time in proportion to the
+page, whatever bytes it holds.
 
 Edge cases: a null or empty page, or one without main blocks, has an empty
 text; a null id or url stays null; repeated rows give repeated results; an
@@ -23,9 +25,9 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import cache
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -49,15 +51,27 @@ CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt", ("dl",)), "dd": ("dd"
 TRAIN_PAGES = 1000
 EPOCHS, RATE, PENALTY = 150, 0.5, 1e-4
 NAME = re.compile(r"[a-z]+")
-CUT_TAG = re.compile(r"<(?:[A-Za-z/!?][^<>]*)?\Z")
-
-
-class Blocks(HTMLParser):
-    """Leaf blocks of a page: (text, features)."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, frozenset[str]]] = []
+# a page's markup, each in one pass without going back: an unclosed one ends the page
+ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*+))?""")
+OPENING = re.compile(r"""<([A-Za-z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|["'])*+)>""")
+ENDING = re.compile(r"</([A-Za-z][^\s/>]*+)[^>]*+>")
+COMMENT_END = re.compile(r"--!?>")
+# the content of these is text up to their own end tag
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "title", "textarea")}
+
+
+class Blocks:
+    """Leaf blocks of a page: (text, features).  Every step costs the same
+    however deep the page is nested: open elements are known by the places of
+    each name, names of classes by their counts.  ``known`` limits the features
+    to a model's own."""
+
+    def __init__(self, known: Collection[str] | None = None) -> None:
+        self.known = known
+        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.places: dict[str, list[int]] = {}      # of the open elements, by tag
+        self.outer: list[int] = []                  # of those that are not inline
+        self.names: dict[str, int] = {}             # how many open elements have a name
         self.silent = 0
         self.text: list[str] = []
         self.linked = 0
@@ -71,12 +85,9 @@ class Blocks(HTMLParser):
         self.text, self.linked = [], 0
 
     def _features(self, text: str) -> list[str]:
-        own: set[str] = set()
-        for _, names in self.open:
-            own |= names
-        parent = next((t for t, _ in reversed(self.open) if t not in INLINE), "none")
+        own = set(self.names)
+        own.add("parent " + (self.open[self.outer[-1]][0] if self.outer else "none"))
         words = text.count(" ") + 1
-        own.add("parent " + parent)
         own.add("words " + ("1" if words == 1 else "2" if words < 5 else "5" if words < 10
                             else "10" if words < 25 else "25"))
         share = self.linked / len(text)
@@ -90,14 +101,17 @@ class Blocks(HTMLParser):
             own.add("digit")
         return sorted(own)
 
+    def _last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag, or -1."""
+        at = self.places.get(tag)
+        return at[-1] if at else -1
+
     def _end_head(self, tag: str) -> None:
-        for i, (name, _) in enumerate(self.open):
-            if name == "head":
-                if tag == "body" or not any(t in HOLDERS for t, _ in self.open[i:]):
-                    self._pop(i)
-                return
+        if at := self.places.get("head"):
+            if tag == "body" or max(map(self._last, HOLDERS)) < at[0]:
+                self._pop(at[0])
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def start(self, tag: str, attrs: list[tuple[str, str]]) -> None:
         if self.silent and tag not in IN_HEAD:
             self._end_head(tag)
         if tag not in INLINE:
@@ -117,35 +131,45 @@ class Blocks(HTMLParser):
                 names |= {"name " + w for w in NAME.findall(v.lower())}
             elif k == "hidden" or (k == "style" and v and "none" in v.lower()):
                 names.add("hidden")
-        self.open.append((tag, frozenset(names)))
+        if self.known is not None:
+            names = {n for n in names if n in self.known}
+        for n in names:
+            self.names[n] = self.names.get(n, 0) + 1
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag not in INLINE:
+            self.outer.append(len(self.open))
+        self.open.append((tag, tuple(names)))
         self.silent += tag in SILENT
         self.links += tag == "a"
 
     def _pop(self, i: int) -> None:
-        for tag, _ in self.open[i:]:
+        while len(self.open) > i:
+            tag, names = self.open.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.outer.pop()
+            for n in names:
+                self.names[n] -= 1
+                if not self.names[n]:
+                    del self.names[n]
             self.silent -= tag in SILENT
             self.links -= tag == "a"
-        del self.open[i:]
 
     def _close(self, tag: str, within: tuple[str, ...]) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._pop(i)
-                return
-            if self.open[i][0] in within:
-                return
-
-    def handle_endtag(self, tag: str) -> None:
+        i = self._last(tag)
+        if i >= 0 and i > max(self._last(w) for w in within if w != tag):
+            self._pop(i)
+
+    def end(self, tag: str) -> None:
         if tag not in INLINE:
             self._end_block()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._pop(i)
-                return
-            if tag in INLINE and self.open[i][0] not in INLINE:
-                return
-
-    def handle_data(self, data: str) -> None:
+        i = self._last(tag)
+        # an inline end tag reaches no further than the innermost other element
+        if i >= 0 and (tag not in INLINE or not self.outer or i > self.outer[-1]):
+            self._pop(i)
+
+    def data(self, data: str) -> None:
+        data = unescape(data) if "&" in data else data
         if self.silent and self.open[-1][0] == "head" and data.strip():
             self._end_head("")
         if not self.silent:
@@ -153,15 +177,64 @@ class Blocks(HTMLParser):
             if self.links:
                 self.linked += len(data.strip())
 
-    def close(self) -> None:
-        super().close()
+    def _attributes(self, raw: str) -> tuple[list[tuple[str, str]], bool]:
+        """Names and values, and whether a slash ends the tag."""
+        out, end = [], 0
+        for m in ATTRIBUTE.finditer(raw):
+            value = m[2] or ""
+            out.append((m[1].lower(), unescape(value[1:-1] if value[:1] in ("'", '"') else value)))
+            end = m.end()
+        return out, "/" in raw[end:]
+
+    def feed(self, html: str) -> None:
+        at = 0
+        while (i := html.find("<", at)) >= 0:
+            if i > at:
+                self.data(html[at:i])
+            c = html[i + 1:i + 2]
+            if c.isascii() and c.isalpha():
+                m = OPENING.match(html, i)
+                if m is None:
+                    break
+                tag = m[1].lower()
+                attrs, closed = self._attributes(m[2]) if m[2] else ([], False)
+                self.start(tag, attrs)
+                at = m.end()
+                if closed:
+                    self.end(tag)
+                elif tag in RAW:
+                    m = RAW[tag].search(html, at)
+                    if m is None:
+                        break
+                    at = m.start()
+            elif c == "/":
+                m = ENDING.match(html, i)
+                if m:
+                    self.end(m[1].lower())
+                    at = m.end()
+                else:
+                    at = html.find(">", i) + 1
+            elif c in ("!", "?"):
+                if html.startswith("<!--", i):
+                    m = COMMENT_END.search(html, i + 2)
+                    at = m.end() if m else 0
+                else:
+                    at = html.find(">", i) + 1
+            elif c:
+                self.data("<")
+                at = i + 1
+            else:
+                break
+            if not at:
+                break
+        else:
+            self.data(html[at:])
         self._end_block()
 
 
-def blocks(html: str) -> list[tuple[str, list[str]]]:
-    parser = Blocks()
-    parser.feed(CUT_TAG.sub("", html))
-    parser.close()
+def blocks(html: str, known: Collection[str] | None = None) -> list[tuple[str, list[str]]]:
+    parser = Blocks(known)
+    parser.feed(html)
     return parser.found
 
 
@@ -257,7 +330,7 @@ def default_field() -> Field:
 
 
 def main_text(html: str, field: Field) -> str:
-    found = blocks(html)
+    found = blocks(html, field.weights)
     labels = field.decode([names for _, names in found])
     return " ".join(text for (text, _), y in zip(found, labels) if y)
 
