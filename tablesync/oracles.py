@@ -26,8 +26,8 @@ FL_COLS = {"l_orderkey": INT, "l_partkey": INT, "l_suppkey": INT, "l_linenumber"
 
 def _text(col: str, kind: str) -> str:
     if kind == DBL:
-        # sign, 53-bit mantissa, binary exponent: by successive doubling from the
-        # printed exponent of the number's own base-2 logarithm
+        # sign, 53-bit mantissa, binary exponent, by the same rule as the code;
+        # tests hold the text against Python's float.hex
         a = f"nullif(abs({col}), 0)"
         e = f"floor(log2({a}))"
         m = f"({a} / pow(2.0, {e}))"
@@ -576,5 +576,63 @@ O["scalar_functions"] = with_("fe") + \
      "TRY_CAST(strftime(ts, '%Y-%m-%dT%H:%M:%S') AS TIMESTAMP) AS parsed FROM fe")
 
 
+# columns that come and go, tenants, types, indexes: :mod:`tablesync.queries_more`
+O["safe_append_new_column"] = O["safe_append"]
+O["safe_append_lost_column"] = O["safe_append"]
+O["safe_append_indexed"] = O["safe_append"].replace(ts(X.ORDERS_LAST), ts(X.ORDERS_NOW))
+O["sync_table_keyless_new_column"] = O["sync_table_keyless"]
+O["sync_table_null_tenant"] = with_("fo", extra=[
+    ("n", "SELECT * REPLACE (nullif(tenant_id, '5-LOW') AS tenant_id) FROM fo"),
+    ("inc", f"SELECT *, {ts(X.ORDERS_NOW)} AS sync_timestamp, 'INCREMENTAL' AS sync_mode FROM n "
+            f"WHERE o_orderdate <= {ts(X.ORDERS_NOW)} AND (o_orderdate > {ts(X.ORDERS_LAST)} "
+            "OR tenant_id = '1-URGENT')")]) + \
+    (f"SELECT * FROM inc UNION ALL SELECT *, {ts(X.ORDERS_LAST)}, 'FULL' FROM n "
+     f"WHERE o_orderdate <= {ts(X.ORDERS_LAST)} AND tenant_id IS DISTINCT FROM '1-URGENT'")
+O["scan_tenants"] = O["union_tenants"]
+O["multitenant_load_failing"] = (
+    "SELECT o_orderpriority AS tenant_id, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'FAILED' ELSE 'SUCCESS' END "
+    "AS status, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 0 ELSE count(*) END AS row_count FROM orders GROUP BY 1 "
+    "UNION ALL SELECT '6-ABSENT', 'FAILED', 0")
+O["legacy_incremental_compatible"] = with_("events_history", extra=[
+    ("tgt", f"SELECT *, {ts(X.EVENTS_TARGET_END)} AS sync_timestamp, 'FULL' AS sync_mode FROM events_history"),
+    ("src0", "SELECT * EXCLUDE (props) REPLACE (value + 1 AS value) FROM fe"),
+    ("last", "SELECT tenant_id, max(ts) AS m FROM events_history GROUP BY 1"),
+    ("src", "SELECT s.* FROM src0 s JOIN last l USING (tenant_id) WHERE s.ts > l.m - INTERVAL 1 HOUR "
+            f"UNION ALL SELECT * FROM src0 WHERE ts >= {ts(QQ.LEGACY_NOW)} - INTERVAL 24 HOUR "
+            "AND tenant_id NOT IN (SELECT tenant_id FROM last)")]) + \
+    (f"SELECT s.*, t.props, {ts(QQ.LEGACY_NOW)} AS sync_timestamp, 'INCREMENTAL' AS sync_mode FROM src s "
+     "LEFT JOIN tgt t USING (event_id, tenant_id) UNION ALL BY NAME " + anti("tgt", "src", ["event_id", "tenant_id"]))
+O["normalize_types_all"] = (
+    "WITH d AS (SELECT *, o_orderkey % 4 AS k, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders) "
+    "SELECT o_orderkey, CASE WHEN k IN (2, 3) THEN CAST(day AS DATE) END AS v_date, "
+    "CASE WHEN k IN (0, 1) THEN CAST(day || ' 10:11:12' AS TIMESTAMP) END AS v_time, "
+    "CASE k WHEN 0 THEN '0' WHEN 1 THEN '7' WHEN 2 THEN 'yes' END AS v_flag, "
+    "CASE WHEN k <> 2 THEN hex(o_orderpriority) END AS v_bytes, CAST(o_custkey AS VARCHAR) AS v_other FROM d")
+O["smart_sync_dirty"] = with_("dirty_wide", extra=[
+    ("b", "SELECT o_orderkey, string_agg(column_name, ',' ORDER BY column_name) AS bad_columns FROM ("
+     "SELECT o_orderkey, 'v_int' AS column_name FROM dirty_wide "
+     f"WHERE v_int IS NOT NULL AND v_int <> '' AND NOT regexp_full_match(trim(v_int), {INT_NUM}) "
+     "UNION ALL SELECT o_orderkey, 'v_double' FROM dirty_wide "
+     "WHERE v_double IS NOT NULL AND v_double <> '' AND TRY_CAST(v_double AS DOUBLE) IS NULL "
+     "UNION ALL SELECT o_orderkey, 'v_decimal' FROM dirty_wide "
+     "WHERE v_decimal IS NOT NULL AND v_decimal <> '' AND TRY_CAST(v_decimal AS DECIMAL(38,9)) IS NULL) GROUP BY 1")]) + \
+    ("SELECT o_orderkey, o_orderpriority AS tenant_id, 'FULL' AS sync_mode, "
+     f"{_int_of.format(c='v_int')} AS v_int, TRY_CAST(NULLIF(v_double, '') AS DOUBLE) AS v_double, "
+     "TRY_CAST(NULLIF(v_decimal, '') AS DECIMAL(38,9)) AS v_decimal, v_text, "
+     "coalesce(bad_columns, '') AS bad_columns "
+     "FROM dirty_wide JOIN orders USING (o_orderkey) LEFT JOIN b USING (o_orderkey)")
+O["reconcile_tree"] = O["reconcile"]
+O["newest_from_metadata"] = with_("fe") + "SELECT tenant_id, max(event_time) AS newest FROM fe GROUP BY 1"
+O["offset_page"] = with_("fe") + "SELECT * FROM fe ORDER BY ts, event_id LIMIT 500 OFFSET 500"
+O["sync_plan_control_table"] = O["sync_plan"]
+O["migrate_status_documents"] = O["migrate_status"].rpartition("SELECT lg.*")[0] + (
+    "SELECT tenant_id, '2025-01-01T00:00:00' AS last_updated, count(*) AS total_tables, '{' || string_agg("
+    "'\"' || table_key || '\":' || CAST(to_json({'table_name': table_name, 'last_sync_time': last_sync_time, "
+    "'sync_status': sync_status, 'sync_mode': sync_mode, 'records_synced': records_synced, "
+    "'error_message': error_message, 'updated_at': updated_at}) AS VARCHAR), ',' ORDER BY table_key) || '}' AS tables "
+    "FROM lg GROUP BY 1")
+O["stream_upsert_distinct"] = O["stream_upsert"]
+
+
 def oracles() -> dict[str, str]:
     return dict(O)

@@ -10,15 +10,85 @@ documents and parsed where compared; unparsable text counts as no time.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import ts_lit
 from ..operators.merge import latest_per_key, merge_on_key
+from ..sinks import writers as W
 
 KEY = ["tenant_id", "table_name"]
+HISTORY_SCHEMA = ("tenant_id string, table_name string, last_sync_time string, sync_status string, sync_mode string, "
+                  "records_synced bigint, error_message string, updated_at string")
+_HISTORY_COLUMNS = [c.split()[0] for c in HISTORY_SCHEMA.split(", ")]
+LOG_RUNS = 16       # runs that the control table's log holds before it is folded
+
+
+def join_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on (tenant, table); a NULL tenant is a tenant like any other."""
+    other = right.withColumnsRenamed({k: f"_{k}" for k in KEY})
+    same = left[KEY[0]].eqNullSafe(F.col(f"_{KEY[0]}")) & left[KEY[1]].eqNullSafe(F.col(f"_{KEY[1]}"))
+    out = left.join(other, same, how)
+    return out if how in ("left_anti", "left_semi") else out.drop(*[f"_{k}" for k in KEY])
+
+
+class ControlTable:
+    """C-01/C-02 on a path: a snapshot of the control history and a log of the
+    runs after it.  A run appends its records to the log; when the log holds
+    ``log_runs`` runs it is folded into a new snapshot, which keeps what any plan
+    or summary asks for: of every (tenant, table) the newest record and the
+    newest success.  So a plan reads a bounded number of files whatever the number
+    of runs.  The note that lists the parts is written last."""
+
+    def __init__(self, spark: SparkSession, path: str, log_runs: int = LOG_RUNS):
+        self.spark, self.path, self.log_runs = spark, path.rstrip("/"), log_runs
+        note = W.get_note(spark, self.path, "control")
+        self.parts: list[str] = note["parts"] if note else []
+        # a table of an older layout: all records in tenant partitions
+        self.old = note is None and W.existing_schema(spark, self.path) is not None
+
+    def read(self) -> DataFrame:
+        if self.old:
+            return W.read_table(self.spark, self.path).select(*_HISTORY_COLUMNS)
+        if not self.parts:
+            return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(*[f"{self.path}/part={p}" for p in self.parts])
+
+    def _write(self, rows: DataFrame, kind: str) -> str:
+        name = f"{kind}-{uuid.uuid4().hex}"
+        # as few files as the rows need
+        rows.select(*_HISTORY_COLUMNS).hint("rebalance").write.parquet(f"{self.path}/part={name}")
+        return name
+
+    def _list(self, parts: list[str]) -> None:
+        self.parts = parts
+        W.put_note(self.spark, self.path, "control", {"parts": parts})
+
+    def append(self, records: DataFrame) -> None:
+        if self.old:
+            kept = self.read()
+            tenants = W.touched_tenants(kept)
+            self._list([self._write(kept, "snapshot")])
+            self.old = False
+            W.drop_tenant_partitions(self.spark, self.path, tenants)
+        self._list([*self.parts, self._write(records, "log")])
+        if len([p for p in self.parts if p.startswith("log")]) >= self.log_runs:
+            self.fold()
+
+    def fold(self) -> None:
+        """Snapshot and log into a new snapshot; the old parts go last."""
+        history = self.read()
+        ok = history.where((F.col("sync_status") == "SUCCESS") & _t("last_sync_time").isNotNull())
+        best = latest_per_key(ok.withColumn("_s", _t("last_sync_time")), KEY, "_s").drop("_s")
+        before = self.parts
+        snapshot = self._write(current_status(history).unionByName(best).distinct(), "snapshot")
+        self._list([snapshot])
+        fs, _ = W._fs(self.spark, self.path)
+        for p in before:
+            fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/part={p}"), True)
 
 
 def _t(c: str):
@@ -93,7 +163,7 @@ def sync_plan(facts: DataFrame, history: DataFrame, force_full: bool = False,
     and a last run that did not fail; otherwise FULL with the first reason
     that applies.  Write: FULL -> replace tenant; keys -> merge; else append
     new rows by hash."""
-    j = facts.join(history_state(history), KEY, "left")
+    j = join_key(facts, history_state(history), "left")
     has_wm = F.col("watermark_column").isNotNull()
     has_hist = F.col("last_sync_time").isNotNull()
     failed = F.coalesce(F.col("last_status") == "FAILED", F.lit(False))
@@ -116,6 +186,15 @@ def sync_plan(facts: DataFrame, history: DataFrame, force_full: bool = False,
                     start.alias("safe_start"))
 
 
+def facts_of_known(facts: DataFrame, history: DataFrame) -> DataFrame:
+    """Facts of the (tenant, table) pairs that the history knows and ``facts``
+    lacks (no source rows any more): their table's, as its other tenants have them."""
+    columns = [c for c in facts.columns if c not in KEY]
+    of_table = facts.groupBy("table_name").agg(F.min(F.struct(*columns)).alias("f"))
+    known = join_key(history.select(*KEY).distinct(), facts.select(*KEY), "left_anti")
+    return known.join(of_table, "table_name").select(*KEY, *[F.col(f"f.{c}") for c in columns])
+
+
 def sync_plan_legacy(facts: DataFrame, dedup_mode: str = "merge") -> DataFrame:
     """C-05: older strategy: key -> merge, else timestamp -> incremental,
     else hash dedup; ``dedup_mode != 'merge'`` forces the hash append."""
@@ -181,5 +260,19 @@ def migrate_status(legacy: DataFrame, run_time_text: str) -> DataFrame:
         F.coalesce("records_synced", F.lit(0)).cast("bigint").alias("records_synced"),
         "error_message",
         F.coalesce("updated_at", F.lit(run_time_text)).alias("updated_at"))
-    per_tenant = rows.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("total_tables"))
-    return rows.join(per_tenant, "tenant_id")
+    # one scan: a tenant's tables are few, and are counted where they are
+    w = Window.partitionBy("tenant_id")
+    return rows.withColumn("total_tables", F.count(F.lit(1)).over(w))
+
+
+def tenant_documents(migrated: DataFrame, run_time_text: str) -> DataFrame:
+    """A-15: the per-tenant state document as the new layout stores it: tenant,
+    ``last_updated``, ``total_tables`` and ``tables`` as JSON text, an object by
+    table key in the order of the keys."""
+    state = F.struct("table_name", "last_sync_time", "sync_status", "sync_mode", "records_synced", "error_message",
+                     "updated_at")
+    entry = F.struct(F.col("table_key").alias("key"), state.alias("value"))
+    return (migrated.groupBy("tenant_id")
+            .agg(F.count(F.lit(1)).alias("total_tables"), F.sort_array(F.collect_list(entry)).alias("_t"))
+            .select("tenant_id", F.lit(run_time_text).alias("last_updated"), "total_tables",
+                    F.to_json(F.map_from_entries("_t"), {"ignoreNullFields": "false"}).alias("tables")))

@@ -45,6 +45,7 @@ def query(name: str):
 
 
 def registry() -> dict[str, Q]:
+    from . import queries_more  # noqa: F401 - registers its own
     return dict(_REG)
 
 

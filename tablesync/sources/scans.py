@@ -90,24 +90,90 @@ def last_value_per_tenant(target: DataFrame, column: str, by: str = "tenant_id")
     return agg.where(F.col("_last").isNotNull())
 
 
+# ---------------------------------------------------------------- bounds per tenant
+BOUND_GROUPS = 8        # scans or terms that per-tenant bounds become, at most
+BROADCAST_TENANTS = 100_000
+LISTED_TENANTS = 200    # tenants that a term names, at most
+
+
+def _bound_groups(rows: list, groups: int) -> list[tuple]:
+    """(lowest bound, tenants) of at most ``groups`` groups, oldest first: the
+    sorted bounds are cut at their widest gaps, so a tenant far behind does not
+    widen the others' window."""
+    rows = sorted(rows, key=lambda r: r[1])
+    gaps = sorted(range(1, len(rows)), key=lambda i: rows[i][1] - rows[i - 1][1], reverse=True)[:groups - 1]
+    cuts = [0, *sorted(i for i in gaps if rows[i][1] != rows[i - 1][1]), len(rows)]
+    return [(rows[a][1], [r[0] for r in rows[a:b]]) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def _one_of(by: str, tenants: list) -> Column:
+    named = F.col(by).isin([t for t in tenants if t is not None])
+    return named | F.col(by).isNull() if None in tenants else named
+
+
+def rows_after_bounds(source: DataFrame, bounds: DataFrame, column: str, bound_column: str, by: str = "tenant_id",
+                      groups: int = BOUND_GROUPS, partitioned: bool = False) -> DataFrame:
+    """Rows of ``source`` with ``column`` beyond their tenant's bound; tenants
+    without one are left out, a NULL tenant is a tenant like any other.
+
+    The bounds (one row a tenant: control data) come to the driver and become
+    literals that reach the scan: a disjunction of few (tenants, bound) terms, the
+    tenants named where they are the older ones; or, where the source is
+    ``partitioned`` by tenant, one scan for each group of tenants, of its partitions
+    and its bound.  The exact bound is then joined."""
+    spark = source.sparkSession
+    dt = _dtype(source, column)
+    bound = F.col(bound_column)
+    if isinstance(dt, T.IntegralType) and not isinstance(bounds.schema[bound_column].dataType, T.IntegralType):
+        bound = F.unix_timestamp(bound)
+    exact = bounds.where(bound.isNotNull()).select(F.col(by).alias("_by"), bound.alias("_bound"))
+    rows = [(r[0], r[1]) for r in exact.collect()]
+    if not rows:
+        return source.limit(0)
+    found = _bound_groups(rows, groups)
+
+    def after(value) -> Column:
+        return F.col(column) > (F.lit(value).cast(dt) if isinstance(value, int) else bound_for(dt, value))
+    if partitioned:
+        near = None
+        for low, tenants in found:
+            part = source.where(_one_of(by, tenants) & after(low))
+            near = part if near is None else near.unionByName(part)
+    else:
+        terms = after(found[-1][0])
+        for low, tenants in found[:-1]:
+            terms = terms | ((_one_of(by, tenants) & after(low)) if len(tenants) <= LISTED_TENANTS else after(low))
+        near = source.where(after(found[0][0]) & terms)
+    local = spark.createDataFrame(rows, exact.schema)
+    if len(rows) <= BROADCAST_TENANTS:
+        local = F.broadcast(local)
+    return (near.join(local, F.col(by).eqNullSafe(F.col("_by")) & (F.col(column) > F.col("_bound")))
+            .select(*source.columns))
+
+
 # ---------------------------------------------------------------- SC-04
+def lookback_after(source: DataFrame, last: DataFrame, column: str, lookback_hours: float = 1,
+                   by: str = "tenant_id", partitioned: bool = False) -> DataFrame:
+    """Per tenant, rows newer than its ``_last`` minus the lookback."""
+    if isinstance(last.schema["_last"].dataType, T.IntegralType):
+        bound = F.col("_last") - F.lit(int(lookback_hours * 3600))
+    else:
+        bound = F.col("_last") - F.make_dt_interval(secs=F.lit(float(lookback_hours * 3600)))
+    return rows_after_bounds(source, last.select(by, bound.alias("_start")), column, "_start", by,
+                             partitioned=partitioned)
+
+
 def lookback_scan(source: DataFrame, target: DataFrame, column: str,
                   lookback_hours: float = 1, by: str = "tenant_id",
-                  target_column: str | None = None) -> DataFrame:
+                  target_column: str | None = None, partitioned: bool = False) -> DataFrame:
     """SC-04: per tenant, rows newer than (newest value in target - lookback).
 
-    The per-tenant maximum is an aggregate with one row per tenant; AQE
-    broadcasts it when its measured size is small, else sort-merge joins.
+    The per-tenant maximum is an aggregate with one row per tenant, whose
+    bounds reach the scan (see :func:`rows_after_bounds`).
     Tenants without history are not returned (see :func:`bootstrap_recent`).
     """
     last = last_value_per_tenant(target, target_column or column, by)
-    if _is_epoch(source, column):
-        bound = F.col("_last") - F.lit(int(lookback_hours * 3600))
-    else:
-        bound = F.col("_last") - F.make_dt_interval(secs=F.lit(float(lookback_hours * 3600)))
-    return (source.join(last, by, "inner")
-            .where(F.col(column) > bound)
-            .drop("_last"))
+    return lookback_after(source, last, column, lookback_hours, by, partitioned)
 
 
 lookback_scan_epoch = lookback_scan
