@@ -5,10 +5,13 @@ so executors need no local copy.  Long texts are cut at safe boundaries (a
 space that follows a non-blank: both pre-tokenisers start a new piece there),
 and a piece goes one of two ways with equal results:
 
-* plain pieces (ASCII and Latin-1 letters, no contraction, no special-token
-  opener, no run of blanks before a letter) fall apart at spaces, and then into
-  letter runs and what lies between them, which the pre-tokeniser never joins;
-  the library encodes a part when it is first met, later ones are looked up;
+* plain pieces (ASCII and Latin-1 letters, digits and punctuation, no
+  special-token opener) are encoded here: for a byte-level vocabulary whose ids
+  are its merge ranks by ``tiktoken`` from those ranks; for one with word ends
+  a piece falls apart at spaces, and then into letter runs and what lies between
+  them, which the pre-tokeniser never joins (pieces with a contraction or a run
+  of blanks before a letter excepted); the library encodes a part when it is
+  first met, later ones are looked up;
 * all other pieces are encoded whole by the library.
 
 What is remembered is emptied when full, so it is bounded; it lives as long as
@@ -17,6 +20,7 @@ the Python worker, across its tasks.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
@@ -33,6 +37,31 @@ MAX_PARTS = 400_000
 MAX_CHUNKS = 150_000
 
 
+# the byte-level pre-tokeniser's pattern (fixed value)
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def merge_ranks(tokenizer_json: str) -> dict[bytes, int] | None:
+    """Ranks of a byte-level vocabulary whose ids follow its merges, else None."""
+    spec = json.loads(tokenizer_json)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    if (spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space")
+            or not before.get("use_regex", True) or model.get("type", "BPE") != "BPE"
+            or model.get("end_of_word_suffix") or model.get("ignore_merges") or model.get("dropout")):
+        return None
+    # printable bytes stand for themselves, the others for characters from 256 on
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    vocab = model["vocab"]
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    if any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
+    return ranks if len(ranks) == 256 + len(pairs) else None
+
+
 def read_tokenizer(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -90,6 +119,12 @@ class Encoder:
         # the byte-level alphabet, as the library itself maps a character
         mapped = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.alphabet = {c: mapped(chr(c))[0][0] for c in PLAIN_BYTES}
+        self.direct = None
+        if ranks := merge_ranks(tokenizer_json):
+            import tiktoken
+
+            self.direct = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks,
+                                            special_tokens={}).encode_ordinary
         self.parts = _Memory(self._part, max_parts)
         self.chunks = _Memory(self._chunk if self.folds else lambda c: self._chunk(" " + c), max_chunks)
 
@@ -100,6 +135,8 @@ class Encoder:
             return False
         if raw.translate(None, PLAIN_BYTES) or "<|" in piece:
             return False
+        if self.direct:
+            return True
         if "'" in piece and CONTRACTION.search(piece):
             return False
         return self.folds or not BLANK_RUN.search(piece)
@@ -118,6 +155,8 @@ class Encoder:
         return self.join(map(self.parts.__getitem__, self.find(chunk)))
 
     def _piece(self, piece: str) -> int | bytes:
+        if self.direct:
+            return self._value(self.direct(piece))
         if self.folds:
             return self.join(map(self.chunks.__getitem__, piece.lower().split()))
         if "  " in piece:
