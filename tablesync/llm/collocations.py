@@ -6,13 +6,15 @@ graph node belongs to one language.
 1. Words are counted per language (combined in each batch, then shuffled).
    Hashes that two words share are looked for; if a frequent word has one, the
    hash seed changes.
-2. Pieces are cut where no phrase of ``min_count`` can pass: at words, then at
-   word pairs, that are too rare.  Both filters are bitmaps of fixed size that
-   never call a frequent word or pair rare, so no wanted count changes.
-3. The longest grams (``MAX_WORDS``) that start at each place are the edges
-   between the overlapping nodes of one word less; where fewer words are left in
-   the piece, the rest of it is a piece end.  Edges and ends are summed by Spark.
-4. Unary paths (a node that one edge enters, one leaves, where no piece starts or ends)
+2. No phrase of ``min_count`` runs over a word, a word pair or a triple that is
+   rarer.  For each of the three a scan counts hashes (of those that the filter
+   before lets pass), and a bitmap of fixed size marks what is frequent.  It may
+   let a rare one pass, never call a frequent one rare, so no wanted count changes.
+3. The longest gram (up to ``MAX_WORDS``) that starts at each place and runs over
+   nothing rare is an edge between the overlapping nodes of one word less, or,
+   where it is shorter, an end: of the piece, or of what can be frequent in it.
+   Edges and ends are summed by Spark.
+4. Unary paths (a node that one edge enters, one leaves, where nothing starts or ends)
    are compacted: in each of ``ROUNDS`` rounds, nodes picked by a coin of their
    hash join their two paths into one, so a row stays short whatever the length
    of a repeated passage.
@@ -22,8 +24,8 @@ graph node belongs to one language.
    decimals; those inside a longer candidate of the same count go; the first
    ``top`` of each language are found in salted groups, then among what is left.
 
-Three scans of the texts, nothing but sums leaves a task; the driver gets the
-two bitmaps (``BITS`` bits each, whatever the input) and a number of rows.
+Four scans of the texts, nothing but sums leaves a task; the driver gets the
+three bitmaps (``BITS`` bits each, whatever the input) and a number of rows.
 
 Edge cases: a null or empty text has no piece; a null language is ``und``; null
 and repeated ids matter to nothing, repeated rows count again; a very long piece
@@ -49,7 +51,9 @@ TOP = 2000
 UNKNOWN = "und"
 ROUNDS = 3
 BITS = 27                 # a filter has 2 ** BITS bits: 16 MB
+FILTERS = (2, 3)          # words of the grams that are filtered
 WORD_MEMORY = 300_000
+HELD = 1 << 19            # counts that a task sums up before it hands them on
 GROUP_ROWS = 100_000      # rows that one ranking group should hold
 
 # A-Z to a-z, a tab to a space, what ends a piece to a full stop
@@ -132,18 +136,39 @@ def frequent_words(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return np.where(passes(bits, words), words, np.uint64(0))
 
 
-def grams(words: np.ndarray, pair_bits: np.ndarray, width: int) -> np.ndarray:
-    """A row per word: the gram of ``width`` words that starts there, or what is
-    left of its piece, filled up with zeros.  Pieces end at zeros and between
-    words that are too rare a pair."""
+def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each place on; 0 where a piece ends among them."""
+    h = words
+    for k in range(1, size):
+        h = pair_hash(h[:max(0, len(words) - k)], words[k:])
+    return h
+
+
+def reach(words: np.ndarray, filters: dict[int, np.ndarray], width: int) -> np.ndarray:
+    """How many words, up to ``width``, run from each place on without the end
+    of their piece and without a gram that a filter (bits by size) stops."""
+    n = len(words)
+    alive = words != 0
+    out = alive.astype(np.int64)
+    stops = {size: np.append(passes(bits, gram_hashes(words, size)), np.zeros(min(n, size - 1), bool))
+             for size, bits in filters.items()}
+    for k in range(2, width + 1):
+        ahead = np.append(words[k - 1:], np.zeros(min(n, k - 1), np.uint64)) != 0
+        alive = alive & ahead
+        for size, ok in stops.items():
+            if size <= k:
+                alive &= np.append(ok[k - size:], np.zeros(min(n, k - size), bool))
+        out += alive
+    return out
+
+
+def grams(words: np.ndarray, filters: dict[int, np.ndarray], width: int) -> np.ndarray:
+    """A row per word: the gram of up to ``width`` words that starts there (see
+    ``reach``), filled up with zeros."""
     n = len(words)
-    left = np.zeros(n, np.int64)                   # words from here to the piece's end
-    if n:
-        linked = np.append(passes(pair_bits, pair_hash(words[:-1], words[1:])), False)
-        ends = np.flatnonzero(~linked)             # a piece's last word, or a zero
-        left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1
+    length = reach(words, filters, width)
     padded = np.append(words, np.zeros(width, np.uint64))
-    out = np.stack([np.where(left > k, padded[k:n + k], np.uint64(0)) for k in range(width)], axis=1)
+    out = np.stack([np.where(length > k, padded[k:n + k], np.uint64(0)) for k in range(width)], axis=1)
     return out[words != 0]
 
 
@@ -156,19 +181,27 @@ def _by_lang(part: pa.RecordBatch, texts: list[str]) -> dict[str, list[str]]:
 
 def _vocabulary(slim: DataFrame, seed: int) -> DataFrame:
     """lang, word, h, c: every word with its count."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(found: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        for lang, counts in found.items():
+            prefix = lang.encode() + b"\0"
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(prefix + w, seed) or 1 for w in counts),
+                                 np.uint64, len(counts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()),
+                 pa.array(hashes.view(np.int64)), pa.array(list(counts.values()), pa.int64())],
+                ["lang", "word", "h", "c"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter] = {}
         for part, texts in balanced(batches, "text"):
             for lang, own in _by_lang(part, texts).items():
-                found = word_counts(own)
-                prefix = lang.encode() + b"\0"
-                hashes = np.fromiter((xxhash.xxh3_64_intdigest(prefix + w, seed) or 1 for w in found),
-                                     np.uint64, len(found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.binary()).cast(pa.string()),
-                     pa.array(hashes.view(np.int64)), pa.array(list(found.values()), pa.int64())],
-                    ["lang", "word", "h", "c"])
+                found.setdefault(lang, Counter()).update(word_counts(own))
+            if sum(map(len, found.values())) > HELD:
+                yield from counted(found)
+                found = {}
+        yield from counted(found)
 
     rows = arrow_map(slim, work, "lang string, word string, h long, c long")
     return rows.groupBy("lang", "word", "h").agg(F.sum("c").alias("c"))
@@ -186,30 +219,45 @@ def _filter_bits(found: DataFrame, hash_col: str) -> np.ndarray:
     return out
 
 
-def _pair_counts(slim: DataFrame, seed: int, word_bits) -> DataFrame:
-    """place, c: at each place of the pair filter the number of pairs that fall on it."""
+def _read_bits(shared: dict) -> dict[int, np.ndarray]:
+    return {size: np.frombuffer(bits.value, np.uint8) for size, bits in shared.items()}
+
+
+def _place_counts(slim: DataFrame, seed: int, shared: dict, size: int) -> DataFrame:
+    """place, c: how many grams of ``size`` words, of those that the filters of
+    fewer words let pass, fall on each place of a filter."""
+    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
+        at, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(c.astype(np.int64))], ["place", "c"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(word_bits.value, np.uint8)
+        bits = _read_bits(shared)
+        word_bits = bits.pop(1)
+        held: list[np.ndarray] = []
         for part, texts in balanced(batches, "text"):
             for lang, own in _by_lang(part, texts).items():
-                words = frequent_words(word_hashes(own, lang, seed), bits)
-                pairs = pair_hash(words[:-1], words[1:])
-                at, c = np.unique(place(pairs[pairs != 0]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(c.astype(np.int64))], ["place", "c"])
+                words = frequent_words(word_hashes(own, lang, seed), word_bits)
+                hashes = gram_hashes(words, size)
+                held.append(place(hashes[reach(words, bits, size)[:len(hashes)] >= size]))
+            if sum(map(len, held)) > 8 * HELD:
+                yield summed(held)
+                held = []
+        yield summed(held)
 
     rows = arrow_map(slim, work, "place long, c long")
     return rows.groupBy("place").agg(F.sum("c").alias("c"))
 
 
-def _edges(slim: DataFrame, seed: int, word_bits, pair_bits, width: int) -> DataFrame:
-    """w1 .. w<width>, c: summed edges (all words set) and piece ends (zeros at the end)."""
+def _edges(slim: DataFrame, seed: int, shared: dict, width: int) -> DataFrame:
+    """w1 .. w<width>, c: summed edges (all words set) and ends (zeros at the end)."""
     names = [f"w{k + 1}" for k in range(width)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, pairs = np.frombuffer(word_bits.value, np.uint8), np.frombuffer(pair_bits.value, np.uint8)
+        bits = _read_bits(shared)
+        word_bits = bits.pop(1)
         for part, texts in balanced(batches, "text"):
             for lang, own in _by_lang(part, texts).items():
-                found = grams(frequent_words(word_hashes(own, lang, seed), bits), pairs, width).view(np.int64)
+                found = grams(frequent_words(word_hashes(own, lang, seed), word_bits), bits, width).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ascontiguousarray(found[:, k])) for k in range(width)], names)
 
@@ -256,14 +304,17 @@ def phrase_graph(docs: DataFrame, lang_col: str, text_col: str, min_count: int,
         if shared.filter((F.col("words") > 1) & (F.col("c") >= min_count)).isEmpty():
             break
         seed += 1
-    share = spark.sparkContext.broadcast
-    word_bits = share(_filter_bits(vocabulary.filter(F.col("c") >= min_count), "h").tobytes())
-    # place is the hash's upper bits; as a hash again for the common helper
-    pairs = _pair_counts(slim, seed, word_bits).filter(F.col("c") >= min_count)
-    pair_bits = share(_filter_bits(pairs.select(F.shiftleft("place", 64 - BITS).alias("h")), "h").tobytes())
+    def share(found: DataFrame, column: str):
+        return spark.sparkContext.broadcast(_filter_bits(found, column).tobytes())
+    shared = {1: share(vocabulary.filter(F.col("c") >= min_count), "h")}
+    for size in FILTERS:
+        if size < max_words:
+            often = _place_counts(slim, seed, shared, size).filter(F.col("c") >= min_count)
+            # a place is the upper bits of a hash; as a hash again for the common helper
+            shared = shared | {size: share(often.select(F.shiftleft("place", 64 - BITS).alias("h")), "h")}
 
     names = [f"w{k + 1}" for k in range(max_words)]
-    edges = stage(_edges(slim, seed, word_bits, pair_bits, max_words), "phrase-edges")
+    edges = stage(_edges(slim, seed, shared, max_words), "phrase-edges")
     whole = edges.filter(f"{names[-1]} <> 0").select(F.array(*names).alias("words"), "c")
     ends = edges.filter(f"{names[-1]} = 0").select(F.filter(F.array(*names), lambda w: w != 0).alias("words"), "c")
     if max_words < 3 or not rounds:
