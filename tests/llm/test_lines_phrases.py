@@ -260,11 +260,33 @@ def test_score_beyond_64_bits(spark):
     assert row["s"] == 1000 * 4_000_000_000_000 * 9_000_000_000_000_000 // 4_000_000_000_000 ** 2
 
 
+def _bits(hashes=None):
+    out = np.zeros(1 << (C.BITS - 3), np.uint8)
+    if hashes is None:
+        return out + np.uint8(255)
+    at = C.place(np.array(hashes, np.uint64))
+    np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return out
+
+
+def _read(rows):
+    return [[int(x) for x in row if x] for row in rows]
+
+
 def test_grams_end_with_their_piece():
     words = np.array([5, 6, 7, 0, 8, 0, 0, 9], np.uint64)
-    every = np.full(1 << (C.BITS - 3), 255, np.uint8)
-    got = [[int(x) for x in row if x] for row in C.grams(words, every, 5)]
-    assert got == [[5, 6, 7], [6, 7], [7], [8], [9]]
-    assert C.grams(np.empty(0, np.uint64), every, 5).shape == (0, 5)
-    nothing = np.zeros_like(every)
-    assert [[int(x) for x in row if x] for row in C.grams(words, nothing, 5)] == [[5], [6], [7], [8], [9]]
+    for filters in ({}, {2: _bits()}, {2: _bits(), 3: _bits()}):
+        assert _read(C.grams(words, filters, 5)) == [[5, 6, 7], [6, 7], [7], [8], [9]]
+    assert C.grams(np.empty(0, np.uint64), {2: _bits()}, 5).shape == (0, 5)
+    assert _read(C.grams(words, {2: _bits([])}, 5)) == [[5], [6], [7], [8], [9]]
+    assert _read(C.grams(words[:1], {2: _bits(), 3: _bits()}, 5)) == [[5]]
+
+
+def test_grams_run_over_nothing_rare():
+    words = np.array([11, 12, 13, 14, 15, 16], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    pairs, triples = C.gram_hashes(words, 2), C.gram_hashes(words, 3)
+    assert len(pairs) == 5 and len(triples) == 4
+    # all pairs but the fourth, all triples but the first
+    filters = {2: _bits(np.delete(pairs, 3)), 3: _bits(triples[1:])}
+    got = [len(r) for r in _read(C.grams(words, filters, 5))]
+    assert got == [2, 3, 2, 1, 2, 1]
