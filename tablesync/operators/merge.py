@@ -34,14 +34,29 @@ def any_null(keys: Sequence[str]) -> Column:
     return out
 
 
+def _hashable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _hashable(dt.elementType)
+    return not isinstance(dt, T.StructType) or all(_hashable(f.dataType) for f in dt.fields)
+
+
+def _spread(df: DataFrame, nulls: Column) -> Column:
+    """0, or a hash of the row where its key is NULL: a join key that keeps
+    rows which match nothing from meeting in one partition."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
+    return F.when(nulls, F.xxhash64(*cols)).otherwise(F.lit(0).cast("bigint"))
+
+
 def _anti_on(left: DataFrame, right_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left rows whose key has no match.  Rows with a NULL key can never
-    match, so they bypass the join: all of them would otherwise hash to one
-    shuffle partition (one hot task when a third of the rows lack a key)."""
+    """Left rows whose key has no match, in one scan of ``left``.  Rows with a
+    NULL key can never match; all of them would hash to one shuffle partition
+    (one hot task when a third of the rows lack a key), so they carry a spread."""
     # USING-style join on names: safe when both sides derive from one table
-    nulls = any_null(keys)
-    matched = left.where(~nulls).join(right_keys.where(~nulls), list(keys), "left_anti")
-    return matched.unionByName(left.where(nulls))
+    right = right_keys.where(~any_null(keys)).withColumn("_spread", F.lit(0).cast("bigint"))
+    return (left.withColumn("_spread", _spread(left, any_null(keys)))
+            .join(right, [*keys, "_spread"], "left_anti").select(*[F.col(f"`{c}`") for c in left.columns]))
 
 
 # ---------------------------------------------------------------- W-05
@@ -56,8 +71,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     hot key ships one row per input partition, never all its rows to one
     task.  No hashing or string formatting per row."""
     cols = df.columns
-    orderable = [f.name for f in df.schema.fields
-                 if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    orderable = [f.name for f in df.schema.fields if _hashable(f.dataType)]
     order = [F.col(f"`{order_col}`").desc_nulls_last()]
     if tiebreak is not None:
         order.append(tiebreak.desc_nulls_last())
@@ -139,9 +153,11 @@ def merge_shared_columns(target: DataFrame, source: DataFrame, keys: Sequence[st
     src = latest_per_key(source.where(~nulls), ks, latest_by or ks[0])
     shared = [c for c in target.columns if c in set(src.columns)]
     types = {f.name: f.dataType for f in target.schema.fields}
-    s = src.select(*shared).withColumn("_src", F.lit(True)).alias("s")
-    t = target.where(~nulls).alias("t")
-    cond = [F.col(f"s.`{k}`") == F.col(f"t.`{k}`") for k in ks]
+    s = src.select(*shared).withColumns({"_src": F.lit(True), "_spread": F.lit(0).cast("bigint")}).alias("s")
+    # one scan of the target: its rows with a NULL key match nothing and stay,
+    # spread over the join's partitions
+    t = target.withColumn("_spread", _spread(target, nulls)).alias("t")
+    cond = [F.col(f"s.`{k}`") == F.col(f"t.`{k}`") for k in (*ks, "_spread")]
     j = t.join(s, cond, "full_outer")
     present = F.col("s._src").isNotNull()
     out = []
@@ -151,13 +167,11 @@ def merge_shared_columns(target: DataFrame, source: DataFrame, keys: Sequence[st
         else:
             col = F.col(f"t.`{c}`")
         out.append(col.cast(types[c]).alias(c))
-    # NULL keys never match: such target rows stay, such source rows are
-    # inserted; neither goes through the join (no single hot partition)
-    t_null = target.where(nulls)
+    # NULL keys never match: such source rows are inserted
     s_null = source.where(nulls).select(*[
         (F.col(f"`{c}`") if c in shared else F.lit(None)).cast(types[c]).alias(c)
         for c in target.columns])
-    return j.select(*out).unionByName(t_null).unionByName(s_null)
+    return j.select(*out).unionByName(s_null)
 
 
 # ---------------------------------------------------------------- J-06 / J-07 / A-04
