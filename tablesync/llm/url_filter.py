@@ -1,10 +1,13 @@
 """URL filter: explicit host and path rules first, a trained model for the rest.
 
 The model is a logistic regression on hashed character n-grams of host and
-path, trained by numpy gradient descent on the small labelled table below
-(where the job is planned, under a second).  Rules are column expressions; the
+path, trained by numpy gradient descent on the small labelled table of
+``url_table`` (where the job is planned, about a second).  Rules are column expressions; the
 longest that fits wins.  One scan, one Arrow pass, no shuffle.
 
+A url's n-grams are a set, so a very long path costs time in proportion; ties of
+rules of one length go to the one listed first.
+
 Edge cases: a null url, or one without ``://``, has an empty host and path and
 no rule; a null id stays null; repeated rows give repeated results; an empty
 table gives an empty result; other columns are ignored, whatever their names.
@@ -21,76 +24,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import arrow_map, lower_ascii
+from tablesync.llm.url_table import LABELLED
 
 BUCKETS = 1 << 15
 NGRAMS = (3, 4, 5)
-EPOCHS, RATE, DECAY = 300, 2.0, 1e-4
-
-# Labelled urls (host/path): 1 = block, 0 = allow.
-LABELLED = tuple((u, 0) for u in """
-en.wikipedia.org/wiki/Photosynthesis docs.python.org/3/library/re.html
-news.example.com/en/2021/05/article blog.example.net/en/853/ www.example.org/en/25
-www.nature.com/articles/s41586 arxiv.org/abs/1706.03762 m.example.com/fr/676
-stackoverflow.com/questions/11227809 www.bbc.co.uk/news/science-environment
-developer.mozilla.org/en-US/docs/Web/HTML example.net/de/770 www.gutenberg.org/ebooks/1342
-www.britannica.com/topic/history github.com/apache/spark/blob/master/README.md
-www.lemonde.fr/sciences/article/2020 www.spiegel.de/wissenschaft/artikel
-elpais.com/ciencia/2022-01-10/articulo blog.example.com/es/14 example.com/en/301
-www.university.edu/research/papers library.example.org/books/chapter/7
-www.gov.uk/guidance/how-to-apply medium.com/story/learning-to-read
-www.theguardian.com/world/2019/report m.example.net/en/440 www.example.net/fr/12
-recipes.example.com/bread/sourdough travel.example.com/guide/lisbon
-www.w3.org/TR/html52 spark.apache.org/docs/latest/sql-ref.html example.org/about/history
-museum.example.net/collection/paintings www.weather.gov/forecast/today
-journal.example.com/volume/4/issue/2 school.example.edu/courses/algebra
-forum.example.net/thread/1204 www.example.com/es/88 notes.example.net/de/5/
-kids.example.org/stories/fox""".split()) + tuple((u, 1) for u in """
-ads.example.com/banner/click adserver.trackmedia.net/pixel/track.gif
-casino-bonus.bet/free-spins win.jackpot-casino.com/play/slots
-cheap-pills.biz/buy/viagra pharmacy-discount.biz/order/pills
-xxx-adult.tube/videos/hot live-sex.cam/girls adult.example.com/porn/gallery
-free-download-crack.ru/keygen/serial warez.top/crack/full-version
-click.tracker-ads.com/redirect/banner popunder.adnetwork.biz/pop/click
-login-verify-account.tk/secure/update paypal-secure-login.xyz/verify/account
-bank-security-update.ml/login/verify get-rich-quick.loan/bitcoin/profit
-crypto-doubler.top/invest/profit forex-bonus.bid/signup/win
-replica-watches.shop/cheap/rolex outlet-cheap-bags.shop/sale/discount
-torrent-free.to/download/movie streaming-free-movies.to/watch/hd
-lottery-winner.win/claim/prize prize-claim.click/winner/iphone
-spamlink.click/go/affiliate affiliate.clickbank.biz/hop/redirect
-doubleclick.example.net/ads/impression pixel.adtrack.net/collect/impression
-escort-girls.date/hot/adult dating-hookup.date/sex/now
-loan-payday.loan/apply/fast payday-cash.loan/credit/instant
-seo-backlinks.biz/buy/links buy-followers.top/instagram/cheap
-malware-host.ru/exe/setup.exe phish.example.tk/account/verify
-poker-online.bet/bonus/casino betting-odds.bet/win/bonus
-miracle-diet.shop/lose/weight/pills""".split())
+EPOCHS, RATE, DECAY = 600, 1.0, 1e-4
+HOST_SHARE = 2.0
 
 Rule = tuple[str, str, str]
 
 
-def _ngrams(host: str, path: str) -> list[int]:
-    found = {f"h{g}" for n in NGRAMS for t in [f"^{host}$"] for g in (t[i:i + n] for i in range(len(t) - n + 1))}
-    found |= {f"p{g}" for n in NGRAMS for t in [f"^{path}$"] for g in (t[i:i + n] for i in range(len(t) - n + 1))}
-    return sorted({zlib.crc32(g.encode()) % BUCKETS for g in found})
+def _ngrams(host: str, path: str) -> tuple[list[int], list[int]]:
+    """Hashed n-grams of the host and of the path, each a set."""
+    def grams(kind: str, text: str) -> list[int]:
+        found = {kind + text[i:i + n] for n in NGRAMS for i in range(len(text) - n + 1)}
+        return sorted({zlib.crc32(g.encode()) % BUCKETS for g in found})
+    return grams("h", f"^{host}$"), grams("p", f"^{path}$")
+
+
+def _scaled(host: str, path: str) -> tuple[list[int], np.ndarray]:
+    """Features and their weights: host and path count alike whatever their
+    lengths, the host for more."""
+    h, p = _ngrams(host, path)
+    return h + p, np.concatenate([np.full(len(h), HOST_SHARE / np.sqrt(len(h) or 1), np.float32),
+                                  np.full(len(p), 1 / np.sqrt(len(p) or 1), np.float32)])
 
 
 def train(labelled=LABELLED) -> np.ndarray:
     """Weights by hashed n-gram, the bias last (full-batch gradient descent)."""
-    rows = [(*u.partition("/")[::2], y) for u, y in labelled]
+    # each host alone as well: it has to be judged whatever page of it is asked for
+    rows = [row for u, y in labelled for host, _, path in [u.partition("/")] for row in ((host, path, y), (host, "", y))]
     x = np.zeros((len(rows), BUCKETS + 1), np.float32)
     for r, (host, path, _) in zip(x, rows):
-        idx = _ngrams(host.lower(), "/" + path)
-        r[idx] = 1 / np.sqrt(max(1, len(idx)))
+        idx, share = _scaled(host.lower(), "/" + path)
+        np.add.at(r, idx, share)
         r[-1] = 1
+    used = np.append(x[:, :-1].any(axis=0), True)
+    x = np.ascontiguousarray(x[:, used])        # few of the buckets hold an n-gram of the table
     y = np.array([r[2] for r in rows], np.float32)
-    w = np.zeros(BUCKETS + 1, np.float32)
+    v = np.zeros(x.shape[1], np.float32)
     for _ in range(EPOCHS if len(rows) else 0):
-        p = 1 / (1 + np.exp(-x @ w))
-        w -= RATE * (x.T @ (p - y) / len(y) + DECAY * w)
+        p = 1 / (1 + np.exp(-x @ v))
+        v -= RATE * (x.T @ (p - y) / len(y) + DECAY * v)
+    w = np.zeros(BUCKETS + 1, np.float32)
+    w[used] = v
     return w
 
 
+def block_score(host: str, path: str, w: np.ndarray) -> float:
+    idx, share = _scaled(host, path)
+    return float(1 / (1 + np.exp(-(float(w[idx] @ share) + w[-1]))))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     part = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     return (lower_ascii(F.coalesce(F.regexp_extract(url, part, 1), F.lit(""))),
@@ -117,12 +102,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
-            z = []
-            for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):
-                idx = _ngrams(h, p)
-                z.append(w[idx].sum() / np.sqrt(max(1, len(idx))) + w[-1])
-            score = 1 / (1 + np.exp(-np.asarray(z, np.float64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "block_score"])
+            score = [block_score(h, p, w) for h, p in
+                     zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, "block_score"])
 
     out = arrow_map(parts, scored, f"id {id_type}, host string, path string, block_score double")
     rule = verdict = None
