@@ -624,6 +624,10 @@ O["smart_sync_dirty"] = with_("dirty_wide", extra=[
 O["reconcile_tree"] = O["reconcile"]
 O["newest_from_metadata"] = with_("fe") + "SELECT tenant_id, max(event_time) AS newest FROM fe GROUP BY 1"
 O["offset_page"] = with_("fe") + "SELECT * FROM fe ORDER BY ts, event_id LIMIT 500 OFFSET 500"
+O["page_bounds"] = with_("fe", extra=[
+    ("w", window_sql("fe", "ts", EV_SAFE, X.EVENTS_NOW)),
+    ("r", "SELECT ts, event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS i, count(*) OVER () AS n FROM w")]) + \
+    ("SELECT i // 1000 AS page_no, ts, event_id, least(1000, n - i) AS row_count FROM r WHERE i % 1000 = 0")
 O["sync_plan_control_table"] = O["sync_plan"]
 O["migrate_status_documents"] = O["migrate_status"].rpartition("SELECT lg.*")[0] + (
     "SELECT tenant_id, '2025-01-01T00:00:00' AS last_updated, count(*) AS total_tables, '{' || string_agg("

@@ -189,6 +189,13 @@ def _offset_page(spark, d):
     return S.page(X.fe(spark, d), "ts", "event_id", PAGE_NO, PAGE_SIZE)
 
 
+@query("page_bounds")
+def _page_bounds(spark, d):
+    """SC-10: where each page of the increment begins, by a quantile sketch."""
+    inc = S.incremental_window(X.fe(spark, d), "ts", X.EVENTS_LAST, X.EVENTS_NOW, 10)
+    return S.page_bounds(inc, "ts", "event_id", 1000)
+
+
 # ---------------------------------------------------------------- control
 @query("sync_plan_control_table")
 def _sync_plan_control_table(spark, d):

@@ -7,9 +7,11 @@ JDBC ``WHERE`` clause; nothing wraps the column in a function.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date, datetime
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -292,6 +294,90 @@ def paged_scan(df: DataFrame, column: str, key: str, page_size: int,
             .drop("_slice", "_pos", "_start"))
 
 
+SLICES_PER_PAGE = 4     # sketch quantiles to a page: what of the rows is ranked exactly
+MAX_SLICES = 20_000
+
+
+def _slices(df: DataFrame, column: str, pages: int) -> list:
+    """Approximate quantiles of the column (a mergeable sketch, one pass), sorted
+    and distinct: the upper ends of slices; none for a column without values."""
+    m = min(MAX_SLICES, max(2, pages * SLICES_PER_PAGE))
+    found = df.agg(F.percentile_approx(column, [i / m for i in range(1, m)], 10 * m)).first()[0]
+    return sorted(set(found or []))
+
+
+def _slice_of(values: pa.ChunkedArray | pa.Array, ends: pa.Array) -> np.ndarray:
+    return np.searchsorted(ends.to_numpy(zero_copy_only=False), values.to_numpy(zero_copy_only=False), side="left")
+
+
+def page_bounds(df: DataFrame, column: str, key: str, page_size: int) -> DataFrame:
+    """SC-10 without a shuffle of rows: per page of ``page_size`` rows in the order
+    (column, key) its ``page_no``, its first row's column and key, and ``row_count``;
+    pages are those of :func:`paged_scan`.  Rows need a column value.
+
+    A quantile sketch cuts the column into slices; one pass counts their rows
+    exactly.  A page begins in the slice that holds its first rank; only those
+    slices' (column, key) pairs, about one in ``SLICES_PER_PAGE``, are ranked.  The
+    pages are then independent reads (:func:`read_page`)."""
+    spark = df.sparkSession
+    slim = df.where(F.col(column).isNotNull()).select(F.col(column).alias("c"), F.col(key).alias("k"))
+    n = slim.count()
+    pages = -(-n // page_size)
+    schema = f"page_no bigint, {column} {slim.schema['c'].dataType.simpleString()}, " \
+             f"{key} {slim.schema['k'].dataType.simpleString()}, row_count bigint"
+    if not n:
+        return spark.createDataFrame([], schema)
+    ends = _slices(slim, "c", pages)
+    arrow_ends = pa.array(ends)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(ends) + 1, np.int64)
+        for b in batches:
+            total += np.bincount(_slice_of(b.column(0), arrow_ends.cast(b.column(0).type)), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["s", "n"])
+    counts = dict(slim.select("c").mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n")).collect())
+    # slices in which a page begins, and the rank that each starts at
+    wanted, before = {}, 0
+    for s in range(len(ends) + 1):
+        own = counts.get(s, 0)
+        if own and -(-before // page_size) * page_size < before + own:
+            wanted[s] = before
+        before += own
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = np.array(sorted(wanted))
+        for b in batches:
+            s = _slice_of(b.column(0), arrow_ends.cast(b.column(0).type))
+            mask = np.isin(s, keep)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(mask)), b.column(1).filter(pa.array(mask)),
+                                              pa.array(s[mask].astype(np.int64))], ["c", "k", "s"])
+    types = f"c {slim.schema['c'].dataType.simpleString()}, k {slim.schema['k'].dataType.simpleString()}, s bigint"
+    picked = paged_scan(slim.mapInArrow(pick, types), "c", "k", 1)      # page_no: the rank among what was picked
+    first = picked.groupBy("s").agg(F.min("page_no").alias("first"))
+    starts = spark.createDataFrame(sorted(wanted.items()), "s bigint, start bigint")
+    rank = F.col("start") + F.col("page_no") - F.col("first")
+    heads = (picked.join(F.broadcast(first.join(starts, "s")), "s").withColumn("rank", rank)
+             .where(F.col("rank") % page_size == 0))
+    page = (F.col("rank") / page_size).cast("bigint")
+    return heads.select(page.alias("page_no"), F.col("c").alias(column), F.col("k").alias(key),
+                        F.least(F.lit(page_size), F.lit(n) - F.col("rank")).cast("bigint").alias("row_count"))
+
+
+def read_page(df: DataFrame, column: str, key: str, first: tuple, after: tuple | None) -> DataFrame:
+    """The rows of one page: from its first (column, key) up to, without, the next
+    page's.  The column's range reaches the scan as literals."""
+    dt = _dtype(df, column)
+
+    def lit(v) -> Column:
+        return F.lit(v).cast(dt) if isinstance(v, int) else bound_for(dt, v)
+    c, k = F.col(column), F.col(key)
+    rows = df.where((c >= lit(first[0])) & ((c > lit(first[0])) | (k >= F.lit(first[1]))))
+    if after is not None:
+        rows = rows.where((c <= lit(after[0])) & ((c < lit(after[0])) | (k < F.lit(after[1]))))
+    return rows
+
+
 # ---------------------------------------------------------------- SC-11
 def backfill_ranges(spark: SparkSession, start: TimeLike, end: TimeLike,
                     months: int = 1) -> DataFrame:

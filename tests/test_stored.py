@@ -382,3 +382,25 @@ def test_stream_removes_repeated_deliveries(spark, tmp_table):
     assert got[1, "a"] == 2.0 and got[1, "b"] == 1.0 and got[3, "a"] == 3.0 and got[None, "a"] == 4.0
     assert counts["late"] == 1 and counts["state"] <= 4        # what a day of event time holds
     assert spark.read.parquet(out).count() == 12
+
+
+# ---------------------------------------------------------------- SC-10
+@pytest.mark.parametrize("ties", [False, True])
+def test_pages_by_bounds_are_those_of_the_numbering(spark, tmp_table, ties):
+    path = tmp_table("pages")
+    rng = random.Random(5)
+    rows = [(i, "a", 1.0, 3 if ties and rng.random() < 0.5 else rng.randrange(40)) for i in range(1234)]
+    _frame(spark, rows).write.parquet(path)
+    src = spark.read.parquet(path)
+    bounds = sorted(tuple(r) for r in S.page_bounds(src, "updated_at", "id", 100).collect())
+    numbered = {}
+    for r in S.paged_scan(src, "updated_at", "id", 100).collect():
+        numbered.setdefault(r["page_no"], []).append((r["updated_at"], r["id"]))
+    assert [(p, *min(numbered[p]), len(numbered[p])) for p in sorted(numbered)] == bounds
+    for i in (0, 5, 12):
+        after = bounds[i + 1][1:3] if i + 1 < len(bounds) else None
+        page = S.read_page(src, "updated_at", "id", bounds[i][1:3], after)
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "GreaterThanOrEqual(updated_at" in plan
+        assert sorted((r["updated_at"], r["id"]) for r in page.collect()) == sorted(numbered[i])
+    assert S.page_bounds(src.limit(0), "updated_at", "id", 100).count() == 0
