@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.session import scratch_path
@@ -18,25 +18,40 @@ from tablesync.session import scratch_path
 # A set of keys is broadcast only up to this many rows (about 30 MB);
 # beyond it the same join shuffles.
 BROADCAST_ROWS = 500_000
+LEAST_PARTS = 12
 ARROW_ROWS = 500
+ARROW_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def stage(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back, from at
+    most ``parts`` tasks (see ``parts_for``), so few rows are few files.
 
     Cuts the lineage: what follows reads files that every executor sees, so a
     lost executor costs the running tasks only, and row ids stay fixed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, parts: int | None = None) -> tuple[DataFrame, int]:
+    """``stage`` and the number of rows, counted on the way."""
+    seen = Observation()
+    out = stage(df.observe(seen, F.count("*").alias("n")), name, parts)
+    return out, seen.get["n"]
+
+
+def parts_for(rows: int, per_part: int) -> int:
+    """Tasks for so many rows: in proportion, ``LEAST_PARTS`` at least."""
+    return max(LEAST_PARTS, -(-rows // per_part))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers (once per Spark context), for
     sessions whose executors don't have it installed."""
@@ -54,9 +69,10 @@ def ship_package(spark: SparkSession) -> None:
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package available to the workers, in batches
-    of few rows: texts are long, and a batch is held several times over."""
+    of few rows and bytes: texts are long, and a batch is held several times over."""
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return df.mapInArrow(fn, schema)
 
 

@@ -6,20 +6,25 @@
    Registers of a union are the maxima of the parts' (``merge_registers``).
 2. Texts with one shingle set form a class; one text stands for it.
 3. Bands of registers put classes into buckets.  Buckets with the same members
-   count once.  Inside a bucket the joint maximum likelihood of two sketches
-   (of the counts of greater, smaller and equal registers, given both set
-   sizes) rules out pairs far below the threshold; the pairs left connect a
-   bucket's members, and a spanning forest of them is all that is emitted.
-4. The forests join classes into families.  Inside a family pairs are confirmed
-   on the full shingle sets, likeliest first, skipping those already connected;
-   again only a spanning forest leaves the task.
-5. Connected components of the confirmed links.
-
-Large buckets and families are dealt in blocks, a task per pair of blocks, so
-no group is held whole and no pair list is written.  At ``BANDS`` x ``ROWS``
-registers a pair at similarity 0.75 misses every band with probability below
-1e-6, and the likelihood test drops it with probability below 1e-6; both fall
-steeply above 0.75.
+   count once.
+4. Only connectivity is wanted, so each bucket first links its members to its
+   leader (the smallest): one pair a member and bucket, tested by the joint
+   maximum likelihood of the two sketches (of the counts of greater, smaller and
+   equal registers, given both set sizes), then confirmed on the full sets.  A
+   set of thousands of near copies is connected here, in linear work.
+5. Buckets whose other members are not all connected yet keep for the rest the
+   pairs that differ in component: the members outside the bucket's largest component
+   (the minor ones) meet all members, in blocks, a task per pair of blocks.
+   Sketches pick the members that may have a partner; only those bring their full
+   sets, in blocks of bounded bytes, and a task emits a spanning forest of what it
+   confirms.  So no group is held whole, no pair list is written, and no pair of a
+   bucket that could connect something is left out.
+6. Connected components of the confirmed links.
+
+At ``BANDS`` x ``ROWS`` registers a pair at similarity 0.75 misses every band
+with probability below 1e-5 if registers are independent, and the likelihood test
+drops it with probability below 1e-6; both fall steeply above 0.75 (a test plants
+pairs between 0.75 and 0.80 and finds them all).
 
 Edge cases: a null text, or one without words, has an empty set and is linked
 with nothing; under five words the whole sequence is the one shingle; a null id
@@ -29,14 +34,16 @@ one component; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_map, balanced, broadcast_if_small, remembered, stage, text_key
+from tablesync.llm.common import (
+    arrow_map, balanced, broadcast_if_small, counted, parts_for, remembered, stage, text_key,
+)
 from tablesync.llm.components import components
 
 SHINGLE = 5
@@ -44,7 +51,10 @@ THRESHOLD = 75          # percent
 BANDS, ROWS = 64, 6
 REGISTERS = BANDS * ROWS
 BASE = 1.2              # registers fit a byte
-BLOCK = 256             # members of a block
+BLOCK = 256             # members of a block of sketches
+SET_BLOCK = 2 << 20     # bytes of full sets in a block, about
+SKETCHES_PER_PART = 50_000
+PAIRS_PER_PART = 32_000
 LIKELIHOOD_RATIO = 14.0
 WORD_MEMORY = 250_000
 
@@ -147,105 +157,105 @@ class Forest:
         return True
 
 
-def _candidate_pairs(regs: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray,
-                     same_block: bool, band: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each member of ``left`` the members of ``right`` that may link with
-    it, and how many registers agree.  Pairs that agree in a band before
-    ``band`` meet there."""
-    for i, x in enumerate(left):
-        ys = right[i + 1:] if same_block else right
-        ys = ys[np.minimum(n[ys], n[x]) * 100 >= THRESHOLD * np.maximum(n[ys], n[x])]
-        if not len(ys):
-            continue
-        agree = regs[ys] == regs[x]
-        equal = agree.sum(axis=1)
-        new = equal >= REGISTERS // 2
-        if band:
-            new[new] = ~agree[new, :band * ROWS].reshape(-1, band, ROWS).all(axis=2).any(axis=1)
-        ys, equal = ys[new], equal[new]
-        if not len(ys):
-            continue
-        greater = (regs[ys] < regs[x]).sum(axis=1)
-        ok = may_link(greater, REGISTERS - equal - greater, np.full(len(ys), n[x], np.float64),
-                      n[ys].astype(np.float64))
-        if ok.any():
-            yield x, ys[ok], equal[ok]
-
-
-def _forest(rows: pa.Table, verify: bool, forest: Forest) -> list[tuple[int, int]]:
-    """Links among a pair of blocks that connect what ``forest`` has not
-    connected yet: pairs that may link, or with ``verify`` pairs confirmed on
-    their full sets."""
-    ids = rows.column("rep").to_numpy().tolist()
-    n = rows.column("n").to_numpy()
-    regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint8).reshape(len(ids), REGISTERS)
-    own, lo, hi = (rows.column(c).to_numpy() for c in ("own", "lo", "hi"))
-    same = lo[0] == hi[0]
-    left, right = np.nonzero(own == lo)[0], np.nonzero(own == hi)[0]
-    out = []
-    if not verify:
-        band = rows.column("band")[0].as_py()
-        for x, ys, _ in _candidate_pairs(regs, n, left, right, same, band):
-            out += [(ids[x], ids[y]) for y in ys.tolist() if forest.join(ids[x], ids[y])]
-        return out
-    found = list(_candidate_pairs(regs, n, left, right, same, 0))
-    if not found:
-        return out
-    xs = np.concatenate([np.full(len(ys), x) for x, ys, _ in found])
-    ys = np.concatenate([y for _, y, _ in found])
-    order = np.argsort(-np.concatenate([e for _, _, e in found]), kind="stable")
-    sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
-    for x, y in zip(xs[order].tolist(), ys[order].tolist()):
-        if forest.root(ids[x]) == forest.root(ids[y]):
-            continue
-        a, b = (sets[x], sets[y]) if len(sets[x]) <= len(sets[y]) else (sets[y], sets[x])
-        at = np.searchsorted(b, a)
-        at[at == len(b)] = 0
-        shared = int((b[at] == a).sum())
-        if 100 * shared >= THRESHOLD * (len(a) + len(b) - shared):
-            forest.join(ids[x], ids[y])
-            out.append((ids[x], ids[y]))
-    return out
+def _agreement(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether rows of registers ``a`` and ``b`` may link, row by row."""
+    ok = np.minimum(n_a, n_b) * 100 >= THRESHOLD * np.maximum(n_a, n_b)
+    greater, equal = (a > b).sum(axis=1), (a == b).sum(axis=1)
+    ok &= equal >= REGISTERS // 2
+    if ok.any():
+        at = np.nonzero(ok)[0]
+        ok[at] = may_link(greater[at], REGISTERS - equal[at] - greater[at], n_a[at].astype(np.float64),
+                          n_b[at].astype(np.float64))
+    return ok
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold, by their full content."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or 100 * len(a) < THRESHOLD * len(b):
+        return False
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    shared = int((b[at] == a).sum())
+    return 100 * shared >= THRESHOLD * (len(a) + len(b) - shared)
+
+
+def _registers_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, REGISTERS)
+
+
+def _likely_pairs(pairs: DataFrame, sketches: DataFrame, parts: int) -> DataFrame:
+    """The pairs (x, y) that may link, by their sketches; row by row."""
+    def side(c: str) -> DataFrame:
+        return sketches.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            if t.num_rows:
+                ok = _agreement(_registers_of(t.column("regs_x")), _registers_of(t.column("regs_y")),
+                                t.column("n_x").to_numpy(), t.column("n_y").to_numpy())
+                yield t.select(["x", "y"]).filter(pa.array(ok))
+
+    return arrow_map(pairs.join(side("x"), "x").join(side("y"), "y").coalesce(parts), work, "x long, y long")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
+    """The pairs (x, y) whose full sets reach the threshold; row by row."""
+    def side(c: str) -> DataFrame:
+        return sets.select(F.col("rep").alias(c), F.col("set").alias(f"set_{c}"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            ok = [_linked(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64))
+                  for a, b in zip(t.column("set_x"), t.column("set_y"))]
+            yield t.select(["x", "y"]).filter(pa.array(ok, pa.bool_()))
+
+    return arrow_map(pairs.join(side("x"), "x").join(side("y"), "y").coalesce(parts), work, "x long, y long")
+
+
+def _blocks_of(members: DataFrame, minor_blocks: Column, all_blocks: Column, *carry: str) -> DataFrame:
+    """Deal each group's members into pairs of blocks: ``i`` of the minor ones
+    with ``j`` of all; ``role`` is 0 in a minor block, 1 in a block of all."""
+    own = F.xxhash64("rep", "grp")
+    keep = ("grp", "band", "rep", "comp", *carry)
+    left = members.filter("minor").select(
+        *keep, F.pmod(own, minor_blocks).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), (all_blocks - 1).cast("int"))).alias("j"), F.lit(0).alias("role"))
+    right = members.select(
+        *keep, F.explode(F.sequence(F.lit(0), (minor_blocks - 1).cast("int"))).alias("i"),
+        F.pmod(own, all_blocks).cast("int").alias("j"), F.lit(1).alias("role"))
+    return left.unionByName(right)
 
 
-def _links_in_groups(members: DataFrame, verify: bool) -> DataFrame:
-    """Links that connect groups.  ``members``: grp, size, rep, n, regs, and
-    band, or set to confirm pairs; a row goes to each pair of blocks its block
-    is part of."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumn("own", F.pmod(F.xxhash64("rep", "grp"), blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select(*[c for c in ("grp", "band", "rep", "n", "regs", "set") if c in members.columns], "own",
-                         F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    dealt = dealt.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
+def _per_block_pair(dealt: DataFrame, fn: Callable[[pa.Table], list[tuple]], schema: str) -> DataFrame:
+    """Apply ``fn`` to the rows of each pair of blocks (grp, i, j)."""
+    dealt = dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+    names = [f.split()[0] for f in schema.split(", ")]
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        forest = Forest()
+        out: list[tuple] = []
         key = None
-        out: list[tuple[int, int]] = []
+
+        def ready() -> pa.RecordBatch:
+            rows = np.array(out, np.int64).reshape(-1, len(names))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names)
 
         def flush() -> None:
             if held:
-                rows = pa.concat_tables(held)
-                if rows.num_rows > 1:
-                    out.extend(_forest(rows, verify, forest))
+                out.extend(fn(pa.concat_tables(held)))
                 held.clear()
 
-        def ready() -> pa.RecordBatch:
-            pairs = np.array(out, np.int64).reshape(-1, 2)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            g, lo, hi = (t.column(c).to_numpy() for c in ("grp", "lo", "hi"))
-            cut = np.nonzero((g[1:] != g[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))[0] + 1
+            if not t.num_rows:
+                continue
+            g, i, j = (t.column(c).to_numpy() for c in ("grp", "i", "j"))
+            cut = np.nonzero((g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
             for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(g)]):
-                if e == s:
-                    continue
-                k = (g[s], lo[s], hi[s])
-                if k != key:
+                if (k := (g[s], i[s], j[s])) != key:
                     flush()
                     key = k
                 held.append(t.slice(s, e - s))
@@ -254,7 +264,57 @@ def _links_in_groups(members: DataFrame, verify: bool) -> DataFrame:
         flush()
         yield ready()
 
-    return arrow_map(dealt, links, "a long, b long").distinct()
+    return arrow_map(dealt, work, schema)
+
+
+def _open_pairs(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """For each minor row of a pair of blocks the rows of the other block that
+    may link with it and are of another component.  Pairs that agree in a band
+    before this bucket's meet there."""
+    role, comp, rep, n = (rows.column(c).to_numpy() for c in ("role", "comp", "rep", "n"))
+    regs = _registers_of(rows.column("regs"))
+    band = rows.column("band")[0].as_py()
+    right = np.nonzero(role == 1)[0]
+    for x in np.nonzero(role == 0)[0].tolist():
+        ys = right[(comp[right] != comp[x]) & (rep[right] != rep[x])]
+        ys = ys[np.minimum(n[ys], n[x]) * 100 >= THRESHOLD * np.maximum(n[ys], n[x])]
+        if band and len(ys):
+            first = (regs[ys, :band * ROWS] == regs[x, :band * ROWS]).reshape(-1, band, ROWS).all(axis=2).any(axis=1)
+            ys = ys[~first]
+        if len(ys):
+            ys = ys[_agreement(np.broadcast_to(regs[x], (len(ys), REGISTERS)), regs[ys],
+                               np.full(len(ys), n[x]), n[ys])]
+        if len(ys):
+            yield x, ys
+
+
+def _partners(rows: pa.Table) -> list[tuple]:
+    """(grp, rep) of the rows that have a possible partner in these blocks."""
+    found: set[int] = set()
+    for x, ys in _open_pairs(rows):
+        found.update(ys.tolist(), (x,))
+    rep, grp = rows.column("rep").to_numpy(), rows.column("grp")[0].as_py()
+    return [(grp, rep[i]) for i in found]
+
+
+def _forest(rows: pa.Table) -> list[tuple]:
+    """Confirmed links of these blocks that connect components, a spanning forest."""
+    forest, out = Forest(), []
+    comp = rows.column("comp").to_pylist()
+    rep = rows.column("rep").to_pylist()
+    sets = rows.column("set")
+    for x, ys in _open_pairs(rows):
+        a = np.frombuffer(sets[x].as_buffer(), np.uint64)
+        for y in ys.tolist():
+            if (forest.root(comp[x]) != forest.root(comp[y])
+                    and _linked(a, np.frombuffer(sets[y].as_buffer(), np.uint64))):
+                forest.join(comp[x], comp[y])
+                out.append((rep[x], rep[y]))
+    return out
+
+
+def _blocks(total: Column, size: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(total / size)).cast("int")
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_sets: bool = False) -> DataFrame:
@@ -306,16 +366,51 @@ def _band_keys() -> Column:
         lambda j: F.xxhash64(j, F.substring(F.col("regs"), j * ROWS + 1, F.lit(ROWS))))).alias("band", "key")
 
 
+def _sided(rows: DataFrame, weight: Column, parts: int) -> DataFrame:
+    """The rows (grp, comp, ..) of groups with several components, with
+    ``minor`` (outside the group's largest component), the group's weight ``w``
+    and that of its minor rows ``m``."""
+    sums = rows.groupBy("grp", "comp").agg(F.sum(weight).alias("w"))
+    facts = (sums.groupBy("grp").agg(F.count("*").alias("k"), F.sum("w").alias("w"),
+                                      F.max(F.struct("w", "comp")).alias("major"))
+             .filter("k > 1").select("grp", "w", (F.col("w") - F.col("major.w")).alias("m"),
+                                     F.col("major.comp").alias("major")))
+    facts = stage(facts, "sketch-sides", parts)
+    return rows.join(facts, "grp").withColumn("minor", F.col("comp") != F.col("major")).drop("major")
+
+
+def _links_apart(apart: DataFrame, sketches: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
+                 text_col: str, parts: int) -> DataFrame:
+    """Links (x, y) between components of buckets that hold several: the rows
+    of ``_sided`` in; component pairs out, enough to connect what links."""
+    def deal(rows: DataFrame, size: int) -> DataFrame:
+        return _blocks_of(rows, _blocks(F.col("m"), size), _blocks(F.col("w"), size), "n", "regs")
+
+    rows = stage(apart.join(sketches, "rep"), "sketch-sided")
+    hopeful = stage(_per_block_pair(deal(rows, BLOCK), _partners, "grp long, rep long").distinct(), "sketch-hopeful")
+    wanted = classes.join(hopeful.select("rep").distinct(), "rep", "left_semi").select("rep", "id", "text_key")
+    sets = stage(_sets_of(docs, wanted, id_col, text_col), "sketch-sets")
+    # the hopeful members alone, dealt by the bytes of their sets
+    few = rows.drop("minor", "w", "m").join(hopeful, ["grp", "rep"], "left_semi")
+    few = stage(_sided(few, F.col("n") * 8 + REGISTERS, parts), "sketch-few", parts)
+    dealt = deal(few, SET_BLOCK).join(sets, "rep")
+    links = _per_block_pair(dealt, _forest, "x long, y long")
+    of = few.select("rep", "comp").distinct()
+    return (links.join(of.select(F.col("rep").alias("x"), F.col("comp").alias("cx")), "x")
+            .join(of.select(F.col("rep").alias("y"), F.col("comp").alias("cy")), "y")
+            .select(F.col("cx").alias("x"), F.col("cy").alias("y")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (the
     smallest id reachable over links), ``kept`` (id = component_id) and
     ``text_key`` (the row's fingerprint)."""
-    rows = stage(sketch(docs, id_col, text_col), "sketch")
+    rows, n_rows = counted(sketch(docs, id_col, text_col), "sketch")
     first = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "text_key", "n_shingles", "regs"))
     classes = rows.filter("n_shingles > 0").groupBy("print").agg(first.alias("f"))
     classes = stage(classes.select(
         F.monotonically_increasing_id().alias("rep"), "print", "f.id", "f.text_key",
-        F.col("f.n_shingles").alias("n"), "f.regs"), "sketch-classes")
+        F.col("f.n_shingles").alias("n"), "f.regs"), "sketch-classes", parts_for(n_rows, SKETCHES_PER_PART))
 
     # buckets by band; those with the same members count once
     banded = classes.select("rep", _band_keys())
@@ -323,29 +418,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.count("*").alias("size"), F.min("rep").alias("low"), F.bit_xor(F.xxhash64("rep")).alias("x"))
     buckets = (marked.filter("size > 1").groupBy("size", "low", "x")
                .agg(F.min(F.struct("band", "key")).alias("k")))
-    buckets = stage(buckets.select("k.band", "k.key", "size"), "sketch-buckets")
+    buckets = stage(buckets.select("k.band", "k.key", "low"), "sketch-buckets",
+                    parts_for(n_rows, 4 * SKETCHES_PER_PART))
     members = (banded.join(broadcast_if_small(buckets), ["band", "key"])
-               .select(F.xxhash64("band", "key").alias("grp"), "band", "size", "rep"))
-    members = stage(members, "sketch-members")
+               .select(F.xxhash64("band", "key").alias("grp"), "band", "rep", "low"))
+    members, n_members = counted(members, "sketch-members")
     sketches = classes.select("rep", "n", "regs")
-    maybe = _links_in_groups(members.join(sketches, "rep"), verify=False)
-
-    families = stage(components(maybe, "a", "b"), "sketch-families")
-    sizes = families.groupBy("component").agg(F.count("*").alias("size"))
-    family = stage(families.join(sizes, "component").select(
-        F.col("component").alias("grp"), "size", F.col("node").alias("rep")), "sketch-family")
-    wanted = stage(classes.join(family.select("rep"), "rep", "left_semi").select("rep", "id", "text_key"),
-                   "sketch-wanted")
-    sets = _sets_of(docs, wanted, id_col, text_col)
-    links = _links_in_groups(family.join(sketches, "rep").join(sets, "rep"), verify=True)
-
-    groups = components(links, "a", "b")
+
+    # every member with its bucket's leader
+    pairs = members.filter("rep <> low").select(F.col("rep").alias("x"), F.col("low").alias("y")).distinct()
+    pairs, n_pairs = counted(pairs, "sketch-pairs", parts_for(n_members, 8 * PAIRS_PER_PART))
+    likely, n_likely = counted(_likely_pairs(pairs, sketches, parts_for(n_pairs, PAIRS_PER_PART)), "sketch-likely")
+    ends = likely.select(F.col("x").alias("rep")).unionByName(likely.select(F.col("y").alias("rep"))).distinct()
+    few = parts_for(n_likely, PAIRS_PER_PART // 8)
+    sets = stage(_sets_of(docs, classes.join(ends, "rep", "left_semi").select("rep", "id", "text_key"),
+                          id_col, text_col), "sketch-sets", few)
+    links = stage(_confirmed(likely, sets, few), "sketch-links")
+    groups = stage(components(links, "x", "y"), "sketch-groups", few)
+
+    # what the leaders left apart; a leader has met all members of its bucket
+    placed = members.filter("rep <> low").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "grp", "band", "rep", F.coalesce("component", "rep").alias("comp"))
+    light = parts_for(n_members, 8 * PAIRS_PER_PART)
+    apart = stage(_sided(placed, F.lit(1), light), "sketch-apart", light)
+    if not apart.isEmpty():
+        more = _links_apart(apart, sketches, classes, docs, id_col, text_col, light)
+        # between components only: few nodes, whatever the size of the groups
+        named = stage(more, "sketch-more")
+        merged = components(named, "x", "y").select(F.col("node").alias("component"), F.col("component").alias("to"))
+        known = groups.unionByName(named.select(F.col("x").alias("node")).unionByName(
+            named.select(F.col("y").alias("node"))).distinct().join(groups, "node", "left_anti")
+            .withColumn("component", F.col("node")))
+        groups = stage(known.join(merged, "component", "left").select(
+            "node", F.coalesce("to", "component").alias("component")), "sketch-merged", few)
+
     labelled = classes.select("print", F.col("id").alias("rep_id"), "rep").join(
         groups, F.col("rep") == F.col("node"), "left").select(
         "print", "rep_id", F.coalesce("component", "rep").alias("component"))
-    labelled = stage(labelled, "sketch-labelled")
+    light = parts_for(n_rows, 4 * SKETCHES_PER_PART)
+    labelled = stage(labelled, "sketch-labelled", light)
     lowest = labelled.groupBy("component").agg(F.min("rep_id").alias("component_id"))
-    named = stage(labelled.join(lowest, "component").select("print", "component_id"), "sketch-named")
+    named = stage(labelled.join(lowest, "component").select("print", "component_id"), "sketch-named", light)
     linked = rows.join(named, "print", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return linked.select(
