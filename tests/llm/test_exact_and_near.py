@@ -167,3 +167,41 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(links, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 130)}}
     assert components(links.filter("a < 0"), "a", "b").count() == 0
+
+
+def test_recall_just_above_the_threshold():
+    """10,000 planted pairs at similarity 0.75 to 0.80 share a band and pass the
+    likelihood test (registers come from one hash and a multiplier each)."""
+    rng = np.random.default_rng(9)
+    missed = unlikely = 0
+    for _ in range(10_000):
+        shared = int(rng.integers(60, 120))
+        alone = int(np.floor(shared * (1 / rng.uniform(0.75, 0.80) - 1)))       # shared / (shared + alone) >= 0.75
+        left = int(rng.integers(0, alone + 1))
+        if 100 * (shared + min(left, alone - left)) < 75 * (shared + max(left, alone - left)):
+            left = alone // 2
+        x = rng.integers(1, 2**63, shared + alone, dtype=np.uint64)
+        a, b = N.registers(x[:shared + left]), N.registers(np.concatenate([x[:shared], x[shared + left:]]))
+        assert shared / (shared + alone) >= 0.75
+        missed += not (a == b).reshape(N.BANDS, N.ROWS).all(axis=1).any()
+        ok = N._agreement(a[None], b[None], np.array([shared + left]), np.array([shared + alone - left]))
+        unlikely += not ok[0]
+    assert missed == 0 and unlikely == 0
+
+
+def test_a_family_costs_rows_in_proportion(docs_of, monkeypatch):
+    """5,000 near copies: what leaders link is not dealt into blocks again."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(110)]
+    rows = []
+    for i in range(5000):
+        text = list(base)
+        text[rng.randrange(110)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    dealt, tested = [], []
+    blocks, likely = N._blocks_of, N._likely_pairs
+    monkeypatch.setattr(N, "_blocks_of", lambda *a: dealt.append(blocks(*a).count()) or blocks(*a))
+    monkeypatch.setattr(N, "_likely_pairs", lambda p, *a: tested.append(p.count()) or likely(p, *a))
+    got = N.near_duplicates(docs_of(rows))
+    assert {r["component_id"] for r in got.collect()} == {0}
+    assert sum(tested) < 40 * len(rows) and sum(dealt) < 4 * len(rows)
