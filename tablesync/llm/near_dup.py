@@ -55,6 +55,7 @@ BLOCK = 256             # members of a block of sketches
 SET_BLOCK = 2 << 20     # bytes of full sets in a block, about
 SKETCHES_PER_PART = 50_000
 PAIRS_PER_PART = 32_000
+KEYS_PER_PART = 2_000_000
 LIKELIHOOD_RATIO = 14.0
 WORD_MEMORY = 250_000
 
@@ -419,7 +420,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = (marked.filter("size > 1").groupBy("size", "low", "x")
                .agg(F.min(F.struct("band", "key")).alias("k")))
     buckets = stage(buckets.select("k.band", "k.key", "low"), "sketch-buckets",
-                    parts_for(n_rows, 4 * SKETCHES_PER_PART))
+                    parts_for(n_rows * BANDS, KEYS_PER_PART))
     members = (banded.join(broadcast_if_small(buckets), ["band", "key"])
                .select(F.xxhash64("band", "key").alias("grp"), "band", "rep", "low"))
     members, n_members = counted(members, "sketch-members")
