@@ -265,9 +265,11 @@ def digest_tree(hashed: DataFrame, ks: Sequence[str], tenant_col: str = TENANT,
     Columns: tenant, ``level``, ``node``, ``n``, ``sum``, ``xor``."""
     finest = levels[-1]
     leaf = F.shiftrightunsigned(F.xxhash64(*ks), 64 - finest)
-    # with the key, so that two keys that swap their rows differ
-    rows = (hashed.select(tenant_col, leaf.alias("node"), F.xxhash64(*ks, "_h").alias("_h"))
-            .groupBy(tenant_col, "node").agg(*_digest()))
+    from ..sinks.writers import stage
+    # with the key, so that two keys that swap their rows differ; written down,
+    # so the levels above read leaves and not the rows again
+    rows = stage(hashed.select(tenant_col, leaf.alias("node"), F.xxhash64(*ks, "_h").alias("_h"))
+                 .groupBy(tenant_col, "node").agg(*_digest()), "digest-leaves")
     tree = rows.select(tenant_col, F.lit(len(levels)).alias("level"), "node", "n", "sum", "xor")
     for i in range(len(levels) - 1, -1, -1):
         bits = levels[i - 1] if i else 0
@@ -329,7 +331,7 @@ def reconcile_tree(source: DataFrame, target: DataFrame, keys: Sequence[str], te
     ks, cols = _compared(source, target, keys, tenant_col, compare)
     hashed_s, hashed_t = _hashed(source, ks, cols), _hashed(target, ks, cols)
     from ..sinks.writers import stage
-    trees = [stage(digest_tree(h, ks, tenant_col, levels), "digest-tree") for h in (hashed_s, hashed_t)]
+    trees = [digest_tree(h, ks, tenant_col, levels) for h in (hashed_s, hashed_t)]
     ranges, equal = differing_ranges(*trees, tenant_col, levels)
     ranges = stage(ranges, "digest-ranges")
     apart = _keyed_classes(rows_in_ranges(hashed_s, ranges, ks, tenant_col, levels),
