@@ -9,6 +9,8 @@ customer is a tenant holding the first ``1 + custkey % 9`` of them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ EVENTS_NOW = "2024-01-22 00:00:00"
 EVENTS_TARGET_END = "2024-01-20 00:00:00"
 EVENTS_BOOTSTRAP_NOW = "2024-01-30 23:57:12.194062"
 CATALOG_TABLES = 9
+CATALOG_TENANTS_PER_TASK = 16384
 
 # Table layouts of the catalog template:
 # (table_idx, table_name, ordinal_position, column_name, column_type, key_ordinal)
@@ -164,8 +167,13 @@ def catalog(spark, d):
     tmpl = literal_frame(
         spark, CATALOG_TEMPLATE, "table_idx int, table_name string, ordinal_position int, "
                           "column_name string, column_type string, key_ordinal int")
-    c = table(spark, d, "customer")
-    tenants = c.select(
+    # A customer becomes up to 41 catalog rows, and a file of a million customers
+    # is one task.  They are dealt out evenly (repeated keys too) while they are
+    # one narrow column, so that the sorts and aggregates per table, which begin
+    # in these tasks, hold as many rows a task whatever the size.
+    c = table(spark, d, "customer").select("c_custkey")
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(c.count() / CATALOG_TENANTS_PER_TASK))
+    tenants = c.repartition(tasks).select(
         F.concat(F.lit("shop"), F.col("c_custkey").cast("string")).alias("tenant_id"),
         F.explode(F.sequence(F.lit(1), (F.lit(1) + F.pmod("c_custkey", F.lit(CATALOG_TABLES)))
                              .cast("int"))).alias("table_idx"))
