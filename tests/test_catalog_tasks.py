@@ -65,3 +65,15 @@ def test_watermark_column_exact_over_repeated_keys(spark, tmp_path, small_tasks)
         "order_status_log": "update_time", "logs": "created_at"}))
     got = [tuple(r) for r in CAT.watermark_column_exact(cat).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_watermark_column_legacy_over_null_keys(spark, tmp_path, small_tasks):
+    keys = [None] * 500 + list(range(1, 1501))
+    cat = X.catalog(spark, _customers(tmp_path, keys))
+    _assert_dealt(cat, _catalog_rows(keys))
+    want = _expected(keys, _tables({
+        "users": "updated_at", "orders": "update_time", "products": "last_updated",
+        "order_status_log": "update_time", "logs": "created_at",
+        "legacy_counters": "last_modified"}))
+    got = [tuple(r) for r in CAT.watermark_column_legacy(cat).collect()]
+    assert len(got) == len(want) and set(got) == want
