@@ -3,29 +3,32 @@
 Texts are cut into pieces and words; a word is hashed with its language, so a
 graph node belongs to one language.
 
-1. Words are counted per language (combined in each batch, then shuffled).
+1. The texts are cut into words once and staged as numbers of words, each row with
+   the words it numbers (see ``number_words``).  What follows reads these rows: it
+   counts or hashes a row's distinct words and looks the numbers up.
+2. Words are counted per language (combined in each task, then shuffled).
    Hashes that two words share are looked for; if a frequent word has one, the
    hash seed changes.
-2. No phrase of ``min_count`` runs over a word, a word pair or a triple that is
+3. No phrase of ``min_count`` runs over a word, a word pair or a triple that is
    rarer.  For each of the three a scan counts hashes (of those that the filter
    before lets pass), and a bitmap of fixed size marks what is frequent.  It may
    let a rare one pass, never call a frequent one rare, so no wanted count changes.
-3. The longest gram (up to ``MAX_WORDS``) that starts at each place and runs over
+4. The longest gram (up to ``MAX_WORDS``) that starts at each place and runs over
    nothing rare is an edge between the overlapping nodes of one word less, or,
    where it is shorter, an end: of the piece, or of what can be frequent in it.
-   Edges and ends are summed by Spark.
-4. Unary paths (a node that one edge enters, one leaves, where nothing starts or ends)
+   Equal ones of a row are counted in its task, then summed by Spark.
+5. Unary paths (a node that one edge enters, one leaves, where nothing starts or ends)
    are compacted: in each of ``ROUNDS`` rounds, nodes picked by a coin of their
    hash join their two paths into one, so a row stays short whatever the length
    of a repeated passage.
-5. The count of a node is the flow that leaves it plus its piece ends; shorter
+6. The count of a node is the flow that leaves it plus its piece ends; shorter
    grams follow level by level in the same way.
-6. Candidates meet the counts of their parts in shuffled joins; scores are exact
+7. Candidates meet the counts of their parts in shuffled joins; scores are exact
    decimals; those inside a longer candidate of the same count go; the first
    ``top`` of each language are found in salted groups, then among what is left.
 
-Four scans of the texts, nothing but sums leaves a task; the driver gets the
-three bitmaps (``BITS`` bits each, whatever the input) and a number of rows.
+One scan of the texts and four of the numbers, from which nothing but sums leaves a
+task; the driver gets the three bitmaps (``BITS`` bits each, whatever the input) and a number of rows.
 
 Edge cases: a null or empty text has no piece; a null language is ``und``; null
 and repeated ids matter to nothing, repeated rows count again; a very long piece
@@ -43,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import arrow_map, balanced, remembered, stage
+from tablesync.llm.common import arrow_map, balanced, stage
 
 MIN_COUNT = 100
 MAX_WORDS = 5
@@ -52,9 +55,13 @@ UNKNOWN = "und"
 ROUNDS = 3
 BITS = 27                 # a filter has 2 ** BITS bits: 16 MB
 FILTERS = (2, 3)          # words of the grams that are filtered
-WORD_MEMORY = 300_000
 HELD = 1 << 19            # counts that a task sums up before it hands them on
 GROUP_ROWS = 100_000      # rows that one ranking group should hold
+ROW_WORDS = 1 << 17       # words of a row of staged numbers
+BATCH_ROWS = 8            # rows of staged numbers that a task gets at a time
+# staged numbers: row groups of bounded bytes, though a row is long
+ROW_GROUPS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1}
+NUMBERED = "lang string, words binary, ids binary"
 
 # A-Z to a-z, a tab to a space, what ends a piece to a full stop
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r",
@@ -63,52 +70,38 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r",
 _END = b"."
 
 
-class _WordHashes(dict):
-    """Hashes of a language's words; the end of a piece is 0.  Empties itself when full."""
+def tokens(texts: list[str]) -> list[bytes]:
+    """Words of the texts, with a full stop at the end of each piece."""
+    raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_FOLD)
+    return raw.replace(_END, b" . ").split(b" ")
 
-    def __init__(self, lang: str, seed: int):
-        import xxhash
 
-        super().__init__()
-        self.digest, self.prefix, self.seed = xxhash.xxh3_64_intdigest, lang.encode() + b"\0", seed
+class _Numbers(dict):
+    """Numbers words in the order in which they come; 0 is the end of a piece."""
+
+    def __init__(self):
+        super().__init__({_END: 0})
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        value = 0 if word == _END else self.digest(self.prefix + word, self.seed) or 1
-        self[word] = value
+        self[word] = value = len(self)
         return value
 
 
-class _Hashes(dict):
-    def __init__(self, seed: int):
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, lang: str) -> _WordHashes:
-        if len(self) >= 16:
-            self.clear()
-        self[lang] = value = _WordHashes(lang, self.seed)
-        return value
-
+def number_words(texts: list[str], numbers: _Numbers) -> np.ndarray:
+    """The texts' words by their numbers, a piece end after each text."""
+    return np.fromiter(map(numbers.__getitem__, filter(None, tokens([*texts, ""]))), np.uint32)
 
-def tokens(texts: list[str]) -> list[bytes]:
-    """Words of the texts, with a full stop at the end of each piece."""
-    raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_FOLD)
-    return raw.replace(_END, b" . ").split(b" ")
 
+def _id_type(words: int) -> type:
+    return np.uint16 if words <= 1 << 16 else np.uint32
 
-def word_counts(texts: list[str]) -> Counter:
-    found = Counter(tokens(texts))
-    del found[b""], found[_END]
-    return found
 
+def word_hashes(words: list[bytes], lang: str, seed: int) -> np.ndarray:
+    """Hashes of the words; 0 for the end of a piece."""
+    import xxhash
 
-def word_hashes(texts: list[str], lang: str, seed: int) -> np.ndarray:
-    """Hashes of the words in order; 0 where a piece ends."""
-    words = [w for w in tokens(texts) if w]
-    known = remembered(("collocation words", seed), lambda: _Hashes(seed))[lang]
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    digest, prefix = xxhash.xxh3_64_intdigest, lang.encode() + b"\0"
+    return np.fromiter((0 if w == _END else digest(prefix + w, seed) or 1 for w in words), np.uint64, len(words))
 
 
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -172,6 +165,19 @@ def grams(words: np.ndarray, filters: dict[int, np.ndarray], width: int) -> np.n
     return out[words != 0]
 
 
+def summed_grams(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``grams`` that differ, with their numbers.  Sorted by a hash; where
+    two rows share one, a row may come twice, its numbers still add up."""
+    key = np.zeros(len(rows), np.uint64)
+    for k in range(rows.shape[1]):
+        key = key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k]
+    rows = rows[np.argsort(key)]
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    at = np.flatnonzero(first)
+    return rows[at], np.diff(np.append(at, len(rows)))
+
+
 def _by_lang(part: pa.RecordBatch, texts: list[str]) -> dict[str, list[str]]:
     out: dict[str, list[str]] = {}
     for lang, text in zip(part.column("lang").to_pylist(), texts):
@@ -179,15 +185,48 @@ def _by_lang(part: pa.RecordBatch, texts: list[str]) -> dict[str, list[str]]:
     return out
 
 
-def _vocabulary(slim: DataFrame, seed: int) -> DataFrame:
+def _numbered(slim: DataFrame) -> DataFrame:
+    """lang, words, ids: the texts of about ``ROW_WORDS`` words of a language as numbers,
+    and the words that these stand for."""
+    def rows(found: dict[str, tuple[_Numbers, list[np.ndarray]]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()),
+             pa.array([b" ".join(numbers) for numbers, _ in found.values()], pa.binary()),
+             pa.array([np.concatenate(ids).astype(_id_type(len(numbers))).tobytes()
+                       for numbers, ids in found.values()], pa.binary())], ["lang", "words", "ids"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
+        sizes: Counter = Counter()
+        for part, texts in balanced(batches, "text"):
+            for lang, own in _by_lang(part, texts).items():
+                numbers, ids = found.setdefault(lang, (_Numbers(), []))
+                ids.append(number_words(own, numbers))
+                sizes[lang] += len(ids[-1])
+                if sizes[lang] > ROW_WORDS:
+                    yield rows({lang: found.pop(lang)})
+                    del sizes[lang]
+            if sum(sizes.values()) > 4 * ROW_WORDS:
+                yield rows(found)
+                found, sizes = {}, Counter()
+        yield rows(found)
+
+    return arrow_map(slim, work, NUMBERED)
+
+
+def _read_numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """Language, distinct words (the end of a piece first) and the words' numbers of each row."""
+    for batch in batches:
+        for lang, words, ids in zip(*(batch.column(c) for c in ("lang", "words", "ids"))):
+            own = words.as_py().split(b" ")
+            yield lang.as_py(), own, np.frombuffer(ids.as_py(), _id_type(len(own)))
+
+
+def _vocabulary(numbered: DataFrame, seed: int) -> DataFrame:
     """lang, word, h, c: every word with its count."""
     def counted(found: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for lang, counts in found.items():
-            prefix = lang.encode() + b"\0"
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(prefix + w, seed) or 1 for w in counts),
-                                 np.uint64, len(counts))
+            hashes = word_hashes(list(counts), lang, seed)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()),
                  pa.array(hashes.view(np.int64)), pa.array(list(counts.values()), pa.int64())],
@@ -195,15 +234,15 @@ def _vocabulary(slim: DataFrame, seed: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
-        for part, texts in balanced(batches, "text"):
-            for lang, own in _by_lang(part, texts).items():
-                found.setdefault(lang, Counter()).update(word_counts(own))
+        for lang, words, ids in _read_numbered(batches):
+            counts = np.bincount(ids, minlength=len(words)).tolist()
+            found.setdefault(lang, Counter()).update(dict(zip(words[1:], counts[1:])))
             if sum(map(len, found.values())) > HELD:
                 yield from counted(found)
                 found = {}
         yield from counted(found)
 
-    rows = arrow_map(slim, work, "lang string, word string, h long, c long")
+    rows = arrow_map(numbered, work, "lang string, word string, h long, c long", BATCH_ROWS)
     return rows.groupBy("lang", "word", "h").agg(F.sum("c").alias("c"))
 
 
@@ -223,7 +262,7 @@ def _read_bits(shared: dict) -> dict[int, np.ndarray]:
     return {size: np.frombuffer(bits.value, np.uint8) for size, bits in shared.items()}
 
 
-def _place_counts(slim: DataFrame, seed: int, shared: dict, size: int) -> DataFrame:
+def _place_counts(numbered: DataFrame, seed: int, shared: dict, size: int) -> DataFrame:
     """place, c: how many grams of ``size`` words, of those that the filters of
     fewer words let pass, fall on each place of a filter."""
     def summed(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -234,35 +273,35 @@ def _place_counts(slim: DataFrame, seed: int, shared: dict, size: int) -> DataFr
         bits = _read_bits(shared)
         word_bits = bits.pop(1)
         held: list[np.ndarray] = []
-        for part, texts in balanced(batches, "text"):
-            for lang, own in _by_lang(part, texts).items():
-                words = frequent_words(word_hashes(own, lang, seed), word_bits)
-                hashes = gram_hashes(words, size)
-                held.append(place(hashes[reach(words, bits, size)[:len(hashes)] >= size]))
+        for lang, words, ids in _read_numbered(batches):
+            words = frequent_words(word_hashes(words, lang, seed), word_bits)[ids]
+            hashes = gram_hashes(words, size)
+            held.append(place(hashes[reach(words, bits, size)[:len(hashes)] >= size]))
             if sum(map(len, held)) > 8 * HELD:
                 yield summed(held)
                 held = []
         yield summed(held)
 
-    rows = arrow_map(slim, work, "place long, c long")
+    rows = arrow_map(numbered, work, "place long, c long", BATCH_ROWS)
     return rows.groupBy("place").agg(F.sum("c").alias("c"))
 
 
-def _edges(slim: DataFrame, seed: int, shared: dict, width: int) -> DataFrame:
+def _edges(numbered: DataFrame, seed: int, shared: dict, width: int) -> DataFrame:
     """w1 .. w<width>, c: summed edges (all words set) and ends (zeros at the end)."""
     names = [f"w{k + 1}" for k in range(width)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _read_bits(shared)
         word_bits = bits.pop(1)
-        for part, texts in balanced(batches, "text"):
-            for lang, own in _by_lang(part, texts).items():
-                found = grams(frequent_words(word_hashes(own, lang, seed), word_bits), bits, width).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ascontiguousarray(found[:, k])) for k in range(width)], names)
+        for lang, words, ids in _read_numbered(batches):
+            words = frequent_words(word_hashes(words, lang, seed), word_bits)[ids]
+            found, c = summed_grams(grams(words, bits, width))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in range(width)]
+                + [pa.array(c.astype(np.int64))], [*names, "c"])
 
-    rows = arrow_map(slim, work, ", ".join(f"{c} long" for c in names))
-    return rows.groupBy(*names).agg(F.count("*").alias("c"))
+    rows = arrow_map(numbered, work, ", ".join(f"{c} long" for c in [*names, "c"]), BATCH_ROWS)
+    return rows.groupBy(*names).agg(F.sum("c").alias("c"))
 
 
 def compact_paths(paths: DataFrame, inner: DataFrame, rounds: int, width: int) -> DataFrame:
@@ -297,9 +336,10 @@ def phrase_graph(docs: DataFrame, lang_col: str, text_col: str, min_count: int,
     spark = docs.sparkSession
     slim = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                        F.col(text_col).cast("string").alias("text")).filter("length(text) > 0")
+    numbered = stage(_numbered(slim), "phrase-numbers", **ROW_GROUPS)
     seed = 0
     while True:
-        vocabulary = stage(_vocabulary(slim, seed), "phrase-words")
+        vocabulary = stage(_vocabulary(numbered, seed), "phrase-words")
         shared = vocabulary.groupBy("h").agg(F.count("*").alias("words"), F.max("c").alias("c"))
         if shared.filter((F.col("words") > 1) & (F.col("c") >= min_count)).isEmpty():
             break
@@ -309,12 +349,12 @@ def phrase_graph(docs: DataFrame, lang_col: str, text_col: str, min_count: int,
     shared = {1: share(vocabulary.filter(F.col("c") >= min_count), "h")}
     for size in FILTERS:
         if size < max_words:
-            often = _place_counts(slim, seed, shared, size).filter(F.col("c") >= min_count)
+            often = _place_counts(numbered, seed, shared, size).filter(F.col("c") >= min_count)
             # a place is the upper bits of a hash; as a hash again for the common helper
             shared = shared | {size: share(often.select(F.shiftleft("place", 64 - BITS).alias("h")), "h")}
 
     names = [f"w{k + 1}" for k in range(max_words)]
-    edges = stage(_edges(slim, seed, shared, max_words), "phrase-edges")
+    edges = stage(_edges(numbered, seed, shared, max_words), "phrase-edges")
     whole = edges.filter(f"{names[-1]} <> 0").select(F.array(*names).alias("words"), "c")
     ends = edges.filter(f"{names[-1]} = 0").select(F.filter(F.array(*names), lambda w: w != 0).alias("words"), "c")
     if max_words < 3 or not rounds:

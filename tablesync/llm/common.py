@@ -27,16 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, parts: int | None = None, **options) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, from at
     most ``parts`` tasks (see ``parts_for``), so few rows are few files.
+    ``options`` are the writer's.
 
     Cuts the lineage: what follows reads files that every executor sees, so a
     lost executor costs the running tasks only, and row ids stay fixed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    (df.coalesce(parts) if parts else df).write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,11 +68,11 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(target)
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable, schema: str, rows: int = ARROW_ROWS) -> DataFrame:
     """``mapInArrow`` with this package available to the workers, in batches
     of few rows and bytes: texts are long, and a batch is held several times over."""
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return df.mapInArrow(fn, schema)
 

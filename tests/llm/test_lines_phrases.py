@@ -238,6 +238,30 @@ def test_collocations_edges(spark):
     assert _got(C.collocations(_docs(spark, rows))) == _phrases_brute(rows, 100)
 
 
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    """Every text is read once, in whatever portions its words are numbered."""
+    rows = _corpus(3, 80)
+    monkeypatch.setattr(C, "ROW_WORDS", 50)
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = _docs(spark, rows)
+    assert _got(C.collocations(docs.mapInArrow(watched, docs.schema), min_count=2)) == _phrases_brute(rows, 2)
+    assert seen.value == len(rows)
+
+
+def test_summed_grams():
+    rows = np.array([[1, 2, 3], [1, 2, 0], [1, 2, 3], [9, 0, 0], [1, 2, 3], [1, 2, 0]], np.uint64)
+    found, c = C.summed_grams(rows)
+    assert sorted((*map(int, r), int(n)) for r, n in zip(found, c)) == [(1, 2, 0, 2), (1, 2, 3, 3), (9, 0, 0, 1)]
+    found, c = C.summed_grams(rows[:0])
+    assert found.shape == (0, 3) and len(c) == 0
+
+
 def test_paths_are_compacted(spark):
     """A passage that always runs whole becomes few rows, and every edge stays."""
     words = [f"p{i}" for i in range(200)]
