@@ -9,14 +9,16 @@ graph node belongs to one language.
 2. Words are counted per language (combined in each task, then shuffled).
    Hashes that two words share are looked for; if a frequent word has one, the
    hash seed changes.
-3. No phrase of ``min_count`` runs over a word, a word pair or a triple that is
-   rarer.  For each of the three a scan counts hashes (of those that the filter
-   before lets pass), and a bitmap of fixed size marks what is frequent.  It may
+3. No phrase of ``min_count`` runs over a word, a word pair, a triple or four words
+   that are rarer.  Frequent words get numbers, by which a scan counts the pairs of
+   them.  For three and four words a scan counts hashes (of those that the filters
+   before let pass).  A bitmap of fixed size marks what is frequent.  It may
    let a rare one pass, never call a frequent one rare, so no wanted count changes.
 4. The longest gram (up to ``MAX_WORDS``) that starts at each place and runs over
    nothing rare is an edge between the overlapping nodes of one word less, or,
    where it is shorter, an end: of the piece, or of what can be frequent in it.
-   Equal ones of a row are counted in its task, then summed by Spark.
+   Those of three words or more are counted in their task, then summed by Spark;
+   the ends of a pair or word are its count, known by now, less what goes on from it.
 5. Unary paths (a node that one edge enters, one leaves, where nothing starts or ends)
    are compacted: in each of ``ROUNDS`` rounds, nodes picked by a coin of their
    hash join their two paths into one, so a row stays short whatever the length
@@ -27,8 +29,9 @@ graph node belongs to one language.
    decimals; those inside a longer candidate of the same count go; the first
    ``top`` of each language are found in salted groups, then among what is left.
 
-One scan of the texts and four of the numbers, from which nothing but sums leaves a
-task; the driver gets the three bitmaps (``BITS`` bits each, whatever the input) and a number of rows.
+One scan of the texts and five of the numbers, from which nothing but sums leaves a
+task; the driver gets the three bitmaps (``BITS`` bits each, whatever the input), 8 bytes
+for each frequent word and a number of rows.
 
 Edge cases: a null or empty text has no piece; a null language is ``und``; null
 and repeated ids matter to nothing, repeated rows count again; a very long piece
@@ -39,7 +42,7 @@ gives an empty result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +57,7 @@ TOP = 2000
 UNKNOWN = "und"
 ROUNDS = 3
 BITS = 27                 # a filter has 2 ** BITS bits: 16 MB
-FILTERS = (2, 3)          # words of the grams that are filtered
+FILTERS = (2, 3, 4)       # words of the grams that are filtered
 HELD = 1 << 19            # counts that a task sums up before it hands them on
 GROUP_ROWS = 100_000      # rows that one ranking group should hold
 ROW_WORDS = 1 << 17       # words of a row of staged numbers
@@ -124,9 +127,24 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) & (hashes != 0)
 
 
-def frequent_words(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def frequent_numbers(words: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The words' places, from 1, in the sorted hashes ``frequent``; 0 for a rare word or a piece end."""
+    own = words.view(np.int64)
+    at = np.searchsorted(frequent, own)
+    found = (at < len(frequent)) & (own != 0)
+    found[found] = frequent[at[found]] == own[found]
+    return np.where(found, at + 1, 0)
+
+
+def frequent_words(words: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """``words`` with those that are too rare turned into piece ends."""
-    return np.where(passes(bits, words), words, np.uint64(0))
+    return np.where(frequent_numbers(words, frequent) > 0, words, np.uint64(0))
+
+
+def pair_keys(numbers: np.ndarray) -> np.ndarray:
+    """The numbers of each two neighbours that are frequent, in one."""
+    a, b = numbers[:-1], numbers[1:]
+    return ((a << 32) | b)[(a > 0) & (b > 0)]
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -165,17 +183,20 @@ def grams(words: np.ndarray, filters: dict[int, np.ndarray], width: int) -> np.n
     return out[words != 0]
 
 
-def summed_grams(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``grams`` that differ, with their numbers.  Sorted by a hash; where
-    two rows share one, a row may come twice, its numbers still add up."""
+def summed_grams(rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``grams`` that differ, with their numbers (or sums of ``counts``).  Sorted by a
+    hash; where two rows share one, a row may come twice, its numbers still add up."""
     key = np.zeros(len(rows), np.uint64)
     for k in range(rows.shape[1]):
         key = key * np.uint64(0x9E3779B97F4A7C15) + rows[:, k]
-    rows = rows[np.argsort(key)]
+    order = np.argsort(key)
+    rows = rows[order]
     first = np.ones(len(rows), bool)
     first[1:] = (rows[1:] != rows[:-1]).any(axis=1)
     at = np.flatnonzero(first)
-    return rows[at], np.diff(np.append(at, len(rows)))
+    if counts is None or not len(at):
+        return rows[at], np.diff(np.append(at, len(rows)))
+    return rows[at], np.add.reduceat(counts[order], at)
 
 
 def _by_lang(part: pa.RecordBatch, texts: list[str]) -> dict[str, list[str]]:
@@ -258,52 +279,100 @@ def _filter_bits(found: DataFrame, hash_col: str) -> np.ndarray:
     return out
 
 
-def _read_bits(shared: dict) -> dict[int, np.ndarray]:
-    return {size: np.frombuffer(bits.value, np.uint8) for size, bits in shared.items()}
+def _read_shared(shared: dict) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Sorted hashes of the frequent words, and the filters' bits by size."""
+    return (np.frombuffer(shared[1].value, np.int64),
+            {size: np.frombuffer(bits.value, np.uint8) for size, bits in shared.items() if size > 1})
 
 
-def _place_counts(numbered: DataFrame, seed: int, shared: dict, size: int) -> DataFrame:
-    """place, c: how many grams of ``size`` words, of those that the filters of
-    fewer words let pass, fall on each place of a filter."""
+def _key_counts(numbered: DataFrame, keys_of: Callable, column: str) -> DataFrame:
+    """``column``, c: how often each key (a long) comes among ``keys_of(lang, words, ids)`` of the rows."""
     def summed(held: list[np.ndarray]) -> pa.RecordBatch:
-        at, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64),) * 2
-        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(c.astype(np.int64))], ["place", "c"])
+        keys, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], [column, "c"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = _read_bits(shared)
-        word_bits = bits.pop(1)
         held: list[np.ndarray] = []
         for lang, words, ids in _read_numbered(batches):
-            words = frequent_words(word_hashes(words, lang, seed), word_bits)[ids]
-            hashes = gram_hashes(words, size)
-            held.append(place(hashes[reach(words, bits, size)[:len(hashes)] >= size]))
+            held.append(keys_of(lang, words, ids))
             if sum(map(len, held)) > 8 * HELD:
                 yield summed(held)
                 held = []
         yield summed(held)
 
-    rows = arrow_map(numbered, work, "place long, c long", BATCH_ROWS)
-    return rows.groupBy("place").agg(F.sum("c").alias("c"))
+    rows = arrow_map(numbered, work, f"{column} long, c long", BATCH_ROWS)
+    return rows.groupBy(column).agg(F.sum("c").alias("c"))
+
+
+def _frequent_pairs(numbered: DataFrame, seed: int, shared: dict, min_count: int) -> DataFrame:
+    """w1, w2, h, c: the pairs of frequent words that occur ``min_count`` times, their hash and count."""
+    def keys_of(lang: str, words: list[bytes], ids: np.ndarray) -> np.ndarray:
+        return pair_keys(frequent_numbers(word_hashes(words, lang, seed), _read_shared(shared)[0])[ids])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _ = _read_shared(shared)
+        for batch in batches:
+            key = batch.column("pair").to_numpy()
+            a, b = frequent[(key >> 32) - 1], frequent[(key & 0xFFFFFFFF) - 1]
+            h = pair_hash(a.view(np.uint64), b.view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(h), batch.column("c")],
+                                             ["w1", "w2", "h", "c"])
+
+    counts = _key_counts(numbered, keys_of, "pair").filter(F.col("c") >= min_count)
+    return arrow_map(counts, named, "w1 long, w2 long, h long, c long")
+
+
+def _place_counts(numbered: DataFrame, seed: int, shared: dict, size: int) -> DataFrame:
+    """place, c: how many grams of ``size`` words, of those that the filters of
+    fewer words let pass, fall on each place of a filter."""
+    def keys_of(lang: str, words: list[bytes], ids: np.ndarray) -> np.ndarray:
+        frequent, bits = _read_shared(shared)
+        words = frequent_words(word_hashes(words, lang, seed), frequent)[ids]
+        hashes = gram_hashes(words, size)
+        return place(hashes[reach(words, bits, size)[:len(hashes)] >= size])
+
+    return _key_counts(numbered, keys_of, "place")
 
 
-def _edges(numbered: DataFrame, seed: int, shared: dict, width: int) -> DataFrame:
-    """w1 .. w<width>, c: summed edges (all words set) and ends (zeros at the end)."""
+def _edges(numbered: DataFrame, seed: int, shared: dict, width: int, least: int) -> DataFrame:
+    """w1 .. w<width>, c: summed edges (all words set) and ends (zeros at the end)
+    of ``least`` words or more."""
     names = [f"w{k + 1}" for k in range(width)]
 
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        found, c = (summed_grams(*map(np.concatenate, zip(*held))) if held
+                    else summed_grams(np.empty((0, width), np.uint64)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in range(width)]
+            + [pa.array(c.astype(np.int64))], [*names, "c"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = _read_bits(shared)
-        word_bits = bits.pop(1)
+        frequent, bits = _read_shared(shared)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for lang, words, ids in _read_numbered(batches):
-            words = frequent_words(word_hashes(words, lang, seed), word_bits)[ids]
-            found, c = summed_grams(grams(words, bits, width))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in range(width)]
-                + [pa.array(c.astype(np.int64))], [*names, "c"])
+            words = frequent_words(word_hashes(words, lang, seed), frequent)[ids]
+            rows = grams(words, bits, width)
+            held.append(summed_grams(rows[rows[:, least - 1] != 0]))
+            if sum(len(c) for _, c in held) > HELD:
+                yield summed(held)
+                held = []
+        yield summed(held)
 
     rows = arrow_map(numbered, work, ", ".join(f"{c} long" for c in [*names, "c"]), BATCH_ROWS)
     return rows.groupBy(*names).agg(F.sum("c").alias("c"))
 
 
+def _short_ends(edges: DataFrame, pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """words, c: the ends of one and two words: how often a frequent word (``words``: h, c)
+    or pair occurs, less what goes on from there: pairs, and edges and ends of more words."""
+    def left(known: DataFrame, on: DataFrame, names: list[str]) -> DataFrame:
+        gone = on.select(*names, (-F.col("c")).alias("c"))
+        return (known.select(*names, "c").unionByName(gone).groupBy(*names).agg(F.sum("c").alias("c"))
+                .filter("c <> 0").select(F.array(*names).alias("words"), "c"))
+
+    return left(pairs, edges, ["w1", "w2"]).unionByName(left(words.withColumnRenamed("h", "w1"), pairs, ["w1"]))
+
+
 def compact_paths(paths: DataFrame, inner: DataFrame, rounds: int, width: int) -> DataFrame:
     """Paths (words, c) with the nodes of ``inner`` (node) joined away where a
     coin falls right: a path that ends in a picked node is joined to the one
@@ -344,19 +413,26 @@ def phrase_graph(docs: DataFrame, lang_col: str, text_col: str, min_count: int,
         if shared.filter((F.col("words") > 1) & (F.col("c") >= min_count)).isEmpty():
             break
         seed += 1
-    def share(found: DataFrame, column: str):
-        return spark.sparkContext.broadcast(_filter_bits(found, column).tobytes())
-    shared = {1: share(vocabulary.filter(F.col("c") >= min_count), "h")}
-    for size in FILTERS:
+    def share(bits: np.ndarray):
+        return spark.sparkContext.broadcast(bits.tobytes())
+    frequent = vocabulary.filter(F.col("c") >= min_count)
+    shared = {1: share(np.sort(frequent.select("h").toArrow().column("h").to_numpy()))}
+    counted = max_words > 2       # pairs by a scan of their own, so edges of three words or more
+    if counted:
+        pairs = stage(_frequent_pairs(numbered, seed, shared, min_count), "phrase-pairs")
+        shared = shared | {2: share(_filter_bits(pairs, "h"))}
+    for size in FILTERS[1:]:
         if size < max_words:
             often = _place_counts(numbered, seed, shared, size).filter(F.col("c") >= min_count)
             # a place is the upper bits of a hash; as a hash again for the common helper
-            shared = shared | {size: share(often.select(F.shiftleft("place", 64 - BITS).alias("h")), "h")}
+            shared = shared | {size: share(_filter_bits(often.select(F.shiftleft("place", 64 - BITS).alias("h")), "h"))}
 
     names = [f"w{k + 1}" for k in range(max_words)]
-    edges = stage(_edges(numbered, seed, shared, max_words), "phrase-edges")
+    edges = stage(_edges(numbered, seed, shared, max_words, 3 if counted else 1), "phrase-edges")
     whole = edges.filter(f"{names[-1]} <> 0").select(F.array(*names).alias("words"), "c")
     ends = edges.filter(f"{names[-1]} = 0").select(F.filter(F.array(*names), lambda w: w != 0).alias("words"), "c")
+    if counted:
+        ends = ends.unionByName(stage(_short_ends(edges, pairs, frequent), "phrase-ends"))
     if max_words < 3 or not rounds:
         return vocabulary, whole, ends
     # flow into and out of the nodes: what leaves and ends there, and what enters

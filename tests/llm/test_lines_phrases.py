@@ -254,6 +254,43 @@ def test_texts_are_cut_into_words_once(spark, monkeypatch):
     assert seen.value == len(rows)
 
 
+def test_a_task_hands_on_each_edge_once(spark, monkeypatch):
+    """Grams of three words or more, summed over all rows of numbers that a task
+    reads; the ends of words and pairs come from their counts and leave no task."""
+    rows = _corpus(4, 150)
+    monkeypatch.setattr(C, "ROW_WORDS", 50)
+    made, real = spark.sparkContext.accumulator(0), C.arrow_map
+
+    def watched(df, fn, schema, *more):
+        def counting(batches):
+            for batch in fn(batches):
+                made.add(batch.num_rows)
+                yield batch
+        return real(df, counting if schema.startswith("w1 long, w2 long, w3 long") else fn, schema, *more)
+
+    monkeypatch.setattr(C, "arrow_map", watched)
+    vocabulary, whole, ends = C.phrase_graph(_docs(spark, rows).coalesce(1), "lang", "text", 3, 5, 0)
+    assert 0 < made.value == whole.count() + ends.filter("size(words) > 2").count()
+    # all places of frequent words end or go on somewhere
+    places = sum(r["c"] for r in whole.unionByName(ends).collect())
+    assert places == vocabulary.filter("c >= 3").agg(F.sum("c")).first()[0]
+
+
+def test_summed_grams_add_up_counts():
+    rows = np.array([[1, 2, 3], [9, 0, 0], [1, 2, 3]], np.uint64)
+    found, c = C.summed_grams(rows, np.array([4, 5, 6]))
+    assert sorted((*map(int, r), int(n)) for r, n in zip(found, c)) == [(1, 2, 3, 10), (9, 0, 0, 5)]
+    assert len(C.summed_grams(rows[:0], np.empty(0, np.int64))[1]) == 0
+
+
+def test_frequent_words_are_numbered():
+    frequent = np.sort(np.array([7, 2 ** 64 - 5, 9], np.uint64).view(np.int64))
+    words = np.array([0, 9, 8, 7, 2 ** 64 - 5, 2 ** 64 - 1], np.uint64)
+    assert C.frequent_numbers(words, frequent).tolist() == [0, 3, 0, 2, 1, 0]
+    assert C.pair_keys(np.array([0, 3, 0, 2, 1])).tolist() == [2 << 32 | 1]
+    assert not C.frequent_numbers(words, frequent[:0]).any()
+
+
 def test_summed_grams():
     rows = np.array([[1, 2, 3], [1, 2, 0], [1, 2, 3], [9, 0, 0], [1, 2, 3], [1, 2, 0]], np.uint64)
     found, c = C.summed_grams(rows)
