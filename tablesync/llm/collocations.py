@@ -11,9 +11,10 @@ graph node belongs to one language.
    hash seed changes.
 3. No phrase of ``min_count`` runs over a word, a word pair, a triple or four words
    that are rarer.  Frequent words get numbers, by which a scan counts the pairs of
-   them.  For three and four words a scan counts hashes (of those that the filters
-   before let pass).  A bitmap of fixed size marks what is frequent.  It may
-   let a rare one pass, never call a frequent one rare, so no wanted count changes.
+   them.  For three and four words a scan adds those that the filters before let pass
+   to counters, found by their hash, two for each ``min_count`` words of the corpus.
+   A bitmap marks what is frequent.  It may let a rare one pass, never call a
+   frequent one rare, so no wanted count changes.
 4. The longest gram (up to ``MAX_WORDS``) that starts at each place and runs over
    nothing rare is an edge between the overlapping nodes of one word less, or,
    where it is shorter, an end: of the piece, or of what can be frequent in it.
@@ -30,7 +31,7 @@ graph node belongs to one language.
    ``top`` of each language are found in salted groups, then among what is left.
 
 One scan of the texts and five of the numbers, from which nothing but sums leaves a
-task; the driver gets the three bitmaps (``BITS`` bits each, whatever the input), 8 bytes
+task; the driver gets the three bitmaps (2 ** ``BITS`` bits each at most, whatever the input), 8 bytes
 for each frequent word and a number of rows.
 
 Edge cases: a null or empty text has no piece; a null language is ``und``; null
@@ -42,7 +43,7 @@ gives an empty result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,9 @@ MAX_WORDS = 5
 TOP = 2000
 UNKNOWN = "und"
 ROUNDS = 3
-BITS = 27                 # a filter has 2 ** BITS bits: 16 MB
+BITS = 27                 # a filter has 2 ** BITS bits at most: 16 MB
+BLOCK_BITS = 15           # a row that hands on counters of a filter holds 2 ** BLOCK_BITS
+COUNTING_TASKS = 64       # tasks that hand on counters (the default parallelism, where that is more)
 FILTERS = (2, 3, 4)       # words of the grams that are filtered
 HELD = 1 << 19            # counts that a task sums up before it hands them on
 GROUP_ROWS = 100_000      # rows that one ranking group should hold
@@ -117,13 +120,19 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h
 
 
-def place(hashes: np.ndarray) -> np.ndarray:
-    """The bit of a filter that belongs to a hash."""
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def counter_bits(words: int, min_count: int) -> int:
+    """2 to this power are the counters of a filter: so many that ``min_count`` / 2 words
+    at most fall on one on average, as far as ``BITS`` allows."""
+    return min(BITS, max(BLOCK_BITS, (2 * words // min_count).bit_length()))
+
+
+def place(hashes: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """The bit, of 2 ** ``bits`` of a filter, that belongs to a hash."""
+    return (hashes >> np.uint64(64 - (bits or BITS))).astype(np.int64)
 
 
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = place(hashes)
+    at = place(hashes, len(bits).bit_length() + 2)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) & (hashes != 0)
 
 
@@ -285,30 +294,22 @@ def _read_shared(shared: dict) -> tuple[np.ndarray, dict[int, np.ndarray]]:
             {size: np.frombuffer(bits.value, np.uint8) for size, bits in shared.items() if size > 1})
 
 
-def _key_counts(numbered: DataFrame, keys_of: Callable, column: str) -> DataFrame:
-    """``column``, c: how often each key (a long) comes among ``keys_of(lang, words, ids)`` of the rows."""
+def _frequent_pairs(numbered: DataFrame, seed: int, shared: dict, min_count: int) -> DataFrame:
+    """w1, w2, h, c: the pairs of frequent words that occur ``min_count`` times, their hash and count."""
     def summed(held: list[np.ndarray]) -> pa.RecordBatch:
         keys, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64),) * 2
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], [column, "c"])
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], ["pair", "c"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _ = _read_shared(shared)
         held: list[np.ndarray] = []
         for lang, words, ids in _read_numbered(batches):
-            held.append(keys_of(lang, words, ids))
+            held.append(pair_keys(frequent_numbers(word_hashes(words, lang, seed), frequent)[ids]))
             if sum(map(len, held)) > 8 * HELD:
                 yield summed(held)
                 held = []
         yield summed(held)
 
-    rows = arrow_map(numbered, work, f"{column} long, c long", BATCH_ROWS)
-    return rows.groupBy(column).agg(F.sum("c").alias("c"))
-
-
-def _frequent_pairs(numbered: DataFrame, seed: int, shared: dict, min_count: int) -> DataFrame:
-    """w1, w2, h, c: the pairs of frequent words that occur ``min_count`` times, their hash and count."""
-    def keys_of(lang: str, words: list[bytes], ids: np.ndarray) -> np.ndarray:
-        return pair_keys(frequent_numbers(word_hashes(words, lang, seed), _read_shared(shared)[0])[ids])
-
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, _ = _read_shared(shared)
         for batch in batches:
@@ -318,20 +319,44 @@ def _frequent_pairs(numbered: DataFrame, seed: int, shared: dict, min_count: int
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(h), batch.column("c")],
                                              ["w1", "w2", "h", "c"])
 
-    counts = _key_counts(numbered, keys_of, "pair").filter(F.col("c") >= min_count)
+    rows = arrow_map(numbered, work, "pair long, c long", BATCH_ROWS)
+    counts = rows.groupBy("pair").agg(F.sum("c").alias("c")).filter(F.col("c") >= min_count)
     return arrow_map(counts, named, "w1 long, w2 long, h long, c long")
 
 
-def _place_counts(numbered: DataFrame, seed: int, shared: dict, size: int) -> DataFrame:
-    """place, c: how many grams of ``size`` words, of those that the filters of
-    fewer words let pass, fall on each place of a filter."""
-    def keys_of(lang: str, words: list[bytes], ids: np.ndarray) -> np.ndarray:
-        frequent, bits = _read_shared(shared)
-        words = frequent_words(word_hashes(words, lang, seed), frequent)[ids]
-        hashes = gram_hashes(words, size)
-        return place(hashes[reach(words, bits, size)[:len(hashes)] >= size])
+def _frequent_places(numbered: DataFrame, seed: int, shared: dict, size: int, least: int, bits: int) -> np.ndarray:
+    """A bitmap of the places of a filter (2 ** ``bits``) on which ``least`` grams of ``size``
+    words fall, of those that the filters of fewer words let pass.  A task adds all it
+    reads to one set of counters, which stop at ``least``, and hands on these."""
+    kind = np.min_scalar_type(least)
 
-    return _key_counts(numbered, keys_of, "place")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, filters = _read_shared(shared)
+        counters = np.zeros(1 << bits, kind)
+        for lang, words, ids in _read_numbered(batches):
+            words = frequent_words(word_hashes(words, lang, seed), frequent)[ids]
+            hashes = gram_hashes(words, size)
+            hashes = hashes[reach(words, filters, size)[:len(hashes)] >= size]
+            at, c = np.unique(place(hashes, bits), return_counts=True)
+            counters[at] = np.minimum(counters[at] + c, least)
+        blocks = counters.reshape(-1, 1 << BLOCK_BITS)
+        for block in np.flatnonzero(blocks.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([blocks[block].tobytes()])],
+                                             ["block", "counters"])
+
+    def summed(rows: pa.Table) -> pa.Table:
+        total = np.zeros(1 << BLOCK_BITS, np.int64)
+        for counters in rows.column("counters"):
+            total += np.frombuffer(counters.as_py(), kind)
+        marks = np.packbits(total >= least, bitorder="little").tobytes()
+        return pa.table({"block": rows.column("block").slice(0, 1), "marks": pa.array([marks])})
+
+    tasks = max(COUNTING_TASKS, numbered.sparkSession.sparkContext.defaultParallelism)
+    rows = arrow_map(numbered.coalesce(tasks), work, "block long, counters binary", BATCH_ROWS)
+    out = np.zeros((1 << (bits - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    for r in rows.groupBy("block").applyInArrow(summed, "block long, marks binary").collect():
+        out[r["block"]] = np.frombuffer(bytes(r["marks"]), np.uint8)
+    return out.ravel()
 
 
 def _edges(numbered: DataFrame, seed: int, shared: dict, width: int, least: int) -> DataFrame:
@@ -421,11 +446,11 @@ def phrase_graph(docs: DataFrame, lang_col: str, text_col: str, min_count: int,
     if counted:
         pairs = stage(_frequent_pairs(numbered, seed, shared, min_count), "phrase-pairs")
         shared = shared | {2: share(_filter_bits(pairs, "h"))}
+    least = max(1, min_count)
+    bits = counter_bits(vocabulary.agg(F.sum("c")).first()[0] or 0, least)
     for size in FILTERS[1:]:
         if size < max_words:
-            often = _place_counts(numbered, seed, shared, size).filter(F.col("c") >= min_count)
-            # a place is the upper bits of a hash; as a hash again for the common helper
-            shared = shared | {size: share(_filter_bits(often.select(F.shiftleft("place", 64 - BITS).alias("h")), "h"))}
+            shared = shared | {size: share(_frequent_places(numbered, seed, shared, size, least, bits))}
 
     names = [f"w{k + 1}" for k in range(max_words)]
     edges = stage(_edges(numbered, seed, shared, max_words, 3 if counted else 1), "phrase-edges")

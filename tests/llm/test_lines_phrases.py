@@ -276,6 +276,57 @@ def test_a_task_hands_on_each_edge_once(spark, monkeypatch):
     assert places == vocabulary.filter("c >= 3").agg(F.sum("c")).first()[0]
 
 
+def _distinct_triples(n, words=12):
+    """Texts over few words, whose pairs are frequent and whose triples mostly are not."""
+    rng = random.Random(n)
+    return [(" ".join(f"w{rng.randrange(words)}" for _ in range(100)), "en") for _ in range(n)]
+
+
+def _made_by_filters(spark, rows, least):
+    """Rows that the scans for the filters of three and four words hand on."""
+    made, real = spark.sparkContext.accumulator(0), C.arrow_map
+
+    def watched(df, fn, schema, *more):
+        def counting(batches):
+            for batch in fn(batches):
+                made.add(batch.num_rows)
+                yield batch
+        return real(df, counting if schema.startswith(("place", "block")) else fn, schema, *more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(C, "arrow_map", watched)
+        C.phrase_graph(_docs(spark, rows).coalesce(1), "lang", "text", least, 5, 0)
+    return made.value
+
+
+def test_filter_scans_grow_no_faster_than_the_words(spark):
+    """With more texts more pairs are frequent, but what the filters' scans hand on
+    grows with the words alone: counters in blocks, whatever triples there are."""
+    few, many = (_made_by_filters(spark, _distinct_triples(n, 40), 60) for n in (200, 1600))
+    assert 0 < many <= 8 * max(few, 2)
+
+
+def test_counters_add_up_over_tasks_and_stop_at_the_least_count(spark):
+    rows = [("a b c d", "en")] * 60 + [("a b c e", "en")] * 400 + [("x y z", None)] * 3
+    for least in (60, 460):
+        docs = _docs(spark, rows).repartition(7)
+        assert _got(C.collocations(docs, min_count=least)) == _phrases_brute(rows, least)
+    # counters wider than a byte
+    rows = _distinct_triples(60, 5)
+    assert _got(C.collocations(_docs(spark, rows).repartition(3), min_count=300)) == _phrases_brute(rows, 300)
+
+
+def test_counters_of_a_filter():
+    assert [C.counter_bits(n, 100) for n in (0, 10 ** 6, 10 ** 8, 5 * 10 ** 8, 10 ** 12)] == [15, 15, 21, 24, 27]
+    for n in (10 ** 7, 10 ** 9):
+        assert n / 2 ** C.counter_bits(n, 100) <= 50
+    hashes = np.array([1 << 49, (1 << 49) - 1, (1 << 64) - 1], np.uint64)
+    assert C.place(hashes, 15).tolist() == [1, 0, 2 ** 15 - 1]
+    bits = np.zeros(1 << 12, np.uint8)
+    bits[0] = 2
+    assert C.passes(bits, hashes).tolist() == [True, False, False]
+
+
 def test_summed_grams_add_up_counts():
     rows = np.array([[1, 2, 3], [9, 0, 0], [1, 2, 3]], np.uint64)
     found, c = C.summed_grams(rows, np.array([4, 5, 6]))
